@@ -1,0 +1,21 @@
+"""Size-checked broadcast of dimension tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimensions above this many rows are joined with a shuffle instead.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
+
+    The check is ``limit(max_rows + 1).count()``: it stops reading as soon as
+    the bound is exceeded, so it stays cheap even when the table is large.
+    Above the bound the plain DataFrame is returned and Spark picks a
+    shuffle join (AQE may still convert it at run time).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

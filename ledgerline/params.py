@@ -54,6 +54,7 @@ class RunParams:
     trade_days: int
     interest_begin: str       # 21st of previous month rolled back to a trading day
     interest_end: str         # 20th of this month
+    interest_begin_nat: str   # 21st of previous month (natural day)
 
     @staticmethod
     def of(busi_date: str) -> "RunParams":
@@ -74,6 +75,7 @@ class RunParams:
             last_trade_day=_ymd(trade[-1]) if trade else None,
             trade_days=len(trade),
             interest_begin=_ymd(ib), interest_end=_ymd(b.replace(day=20)),
+            interest_begin_nat=_ymd(pme.replace(day=21)),
         )
 
 

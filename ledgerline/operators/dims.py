@@ -17,5 +17,12 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     Above the bound the plain DataFrame is returned and Spark picks a
     shuffle join (AQE may still convert it at run time).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    fits = _checked.get(key)
+    if fits is None:
+        fits = _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if fits else df
+
+
+# (session, plan hash, bound) -> fits; a dimension is counted once per session
+_checked: dict[tuple, bool] = {}

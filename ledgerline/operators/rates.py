@@ -66,9 +66,58 @@ def lookup_rate(facts: DataFrame, rdim: DataFrame, oa_col: str, date_col: str,
 
 def lookup_rates(facts: DataFrame, rdim: DataFrame, oa_col: str, date_col: str,
                  fee_types: dict[str, str], how: str = "left") -> DataFrame:
-    for out, ft in fee_types.items():
-        facts = lookup_rate(facts, rdim, oa_col, date_col, ft, out, how)
-    return facts
+    """Attach several fee types.
+
+    When the rate table has at most one valid period per (OA branch, day,
+    fee type) - checked once per session - all fee types come from the
+    day-level rate table in one broadcast equi-join on (OA branch, day).
+    Otherwise each fee type is a separate range join, which keeps the
+    fan-out of overlapping periods.
+    """
+    spark = facts.sparkSession
+    day = rate_day_table(spark, rdim)
+    if day is None:
+        for out, ft in fee_types.items():
+            facts = lookup_rate(facts, rdim, oa_col, date_col, ft, out, how)
+        return facts
+    r = day.select(F.col("oa_branch_id").alias("__oa"), F.col("busi_date").alias("__day"),
+                   *[F.col(f"r_{ft}").alias(out) for out, ft in fee_types.items()])
+    j = facts.join(F.broadcast(r), (F.col(oa_col) == F.col("__oa")) & (F.col(date_col) == F.col("__day")), "left")
+    if how == "inner":
+        j = j.filter(" AND ".join(f"`{out}` IS NOT NULL" for out in fee_types))
+    return j.drop("__oa", "__day")
+
+
+FEE_TYPES = ["1001", "1002", "1003", "1004", "1005", "1006"]
+_day_tables: dict[tuple, DataFrame | None] = {}
+
+
+def rate_day_table(spark, rdim: DataFrame) -> DataFrame | None:
+    """Rates by (OA branch, calendar day) with one column per fee type.
+
+    Built from two bounded parameter tables (rate periods x calendar days),
+    written once per session under the shared checkpoint folder and
+    broadcast.  Returns None when some (branch, day, fee type) has more than
+    one valid period, in which case callers fall back to range joins.
+    """
+    from ..session import scratch_path
+    from ..sources.tables import loaded_dir
+    key = (id(spark), loaded_dir(spark))
+    if key in _day_tables:
+        return _day_tables[key]
+    cal = spark.table("calendar").select("busi_date")
+    x = rdim.join(F.broadcast(cal), F.col("busi_date").between(F.col("begin_date"), F.col("end_date")))
+    dup = x.groupBy("oa_branch_id", "busi_date", "fee_type").count().filter("count > 1").limit(1).count()
+    if dup:
+        _day_tables[key] = None
+        return None
+    wide = x.groupBy("oa_branch_id", "busi_date").pivot("fee_type", FEE_TYPES).agg(F.first("para_value"))
+    wide = wide.select("oa_branch_id", "busi_date", *[F.col(ft).alias(f"r_{ft}") for ft in FEE_TYPES])
+    import uuid
+    path = scratch_path(spark, f"rate_day/{uuid.uuid4().hex[:12]}")
+    wide.write.mode("overwrite").parquet(path)
+    _day_tables[key] = spark.read.parquet(path)
+    return _day_tables[key]
 
 
 def tax_split(amount: Column, vat: Column, surtax: Column | None = None,

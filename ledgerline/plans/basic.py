@@ -175,7 +175,8 @@ WHERE replace(end_dt, '-', '') >= '{M0}' AND replace(st_dt, '-', '') <= '{M1}'""
 def filter_interval_overlap(spark):
     """validity interval overlaps the month."""
     r = spark.table("crm_broker_investor_rela")
-    return r.filter((fn.compact_date("end_dt") >= M0) & (fn.compact_date("st_dt") <= M1))
+    # same order as the compact form, and pushable to the scan
+    return r.filter((F.col("end_dt") >= D0) & (F.col("st_dt") <= D1))
 
 
 @query("filter_closed_accounts", f"""
@@ -541,8 +542,7 @@ FROM crm_broker_investor_rela
 WHERE replace(end_dt, '-', '') >= '{M0}' AND replace(st_dt, '-', '') <= '{M1}'""")
 def main_row_flag(spark):
     """Deterministic main-row flag per account."""
-    r = spark.table("crm_broker_investor_rela").filter(
-        (fn.compact_date("end_dt") >= M0) & (fn.compact_date("st_dt") <= M1))
+    r = spark.table("crm_broker_investor_rela").filter((F.col("end_dt") >= D0) & (F.col("st_dt") <= D1))
     w = Window.partitionBy("investor_id").orderBy("broker_id", "broker_rela_typ")
     return r.select(F.col("investor_id").alias("fund_account_id"), "broker_id", "broker_rela_typ",
                     F.row_number().over(w).cast("int").alias("is_main"))

@@ -577,8 +577,10 @@ SPINE_COLS = ["month_id", "branch_id", "branch_name", "oa_broker_id", "oa_broker
 def ledger_spine_df(spark) -> DataFrame:
     """Valid relationships x broker x department x investor x org, active and
     recently closed accounts, with a deterministic main-row flag."""
+    # dash-form strings order like the compact form: compare them directly so
+    # the validity predicate reaches the parquet scan
     a = spark.table("crm_broker_investor_rela").alias("a").filter(
-        (fn.compact_date("end_dt") >= M0) & (fn.compact_date("st_dt") <= ME) & (F.col("rela_sts") == "A"))
+        (F.col("end_dt") >= D0) & (F.col("st_dt") <= D1) & (F.col("rela_sts") == "A"))
     b = spark.table("crm_broker").alias("b")
     f = spark.table("mdp_dept00").alias("f")
     c = spark.table("dc_investor").alias("c")
@@ -798,9 +800,21 @@ def expense_totals_df(spark) -> DataFrame:
     return b.select(*BROKER_KEYS, *cols)
 
 
+def broker_block_df(spark) -> DataFrame:
+    """Broker base measures and expense totals joined onto the ledger."""
+    b = broker_measures_df(spark)
+    e = expense_totals_df(spark)
+    return b.select(*BROKER_KEYS, *BROKER_BASES).join(e, list(BROKER_KEYS))
+
+
 EXPENSE_SQL = "(SELECT oa_broker_id, rela_type, fund_account_id, " + ", ".join(
     f"{' + '.join(p_ + s for p_ in parts)} AS {g}_total{s}"
     for g, parts in _EXP_PARTS.items() for s in ("", "_after_tax", "_add_tax", "_risk_fund")) + f" FROM {BROKER_SQL} b)"
+_TOTAL_EXPRS = ", ".join(
+    f"{' + '.join(p_ + s for p_ in parts)} AS {g}_total{s}"
+    for g, parts in _EXP_PARTS.items() for s in ("", "_after_tax", "_add_tax", "_risk_fund"))
+BROKER_BLOCK_SQL = (f"(SELECT oa_broker_id, rela_type, fund_account_id, {', '.join(BROKER_BASES)}, "
+                    f"{_TOTAL_EXPRS} FROM {BROKER_SQL} b)")
 
 
 @query("expense_totals", rounded_sql(EXPENSE_COLS, f"{EXPENSE_SQL} e", keys=BROKER_KEYS))
@@ -835,7 +849,8 @@ def clear_remain_fee(spark):
 
 ACCOUNT_COLS = (BALANCE_COLS + TURNOVER_COLS + IV_COLS + NET_REBATE_COLS + ["avg_open_pre_nature", "accrued_interest"]
                 + NET_INTEREST_COLS + INCOME_COLS + ["clear_remain_transfee"])
-LEDGER_COLS = SPINE_COLS + ACCOUNT_COLS + EXPENSE_COLS + ["net_contribution"]
+BLOCK_COLS = BROKER_BASES + EXPENSE_COLS
+LEDGER_COLS = SPINE_COLS + ACCOUNT_COLS + BLOCK_COLS + ["net_contribution"]
 
 
 def account_blocks(spark) -> list[DataFrame]:
@@ -862,14 +877,14 @@ def client_revenue_ledger_df(spark) -> DataFrame:
     j = ledger_spine_df(spark)
     for b in account_blocks(spark):
         j = j.join(b, "fund_account_id", "left")
-    j = j.join(expense_totals_df(spark), list(BROKER_KEYS), "left")
-    filled = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ACCOUNT_COLS + EXPENSE_COLS]
+    j = j.join(broker_block_df(spark), list(BROKER_KEYS), "left")
+    filled = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ACCOUNT_COLS + BLOCK_COLS]
     j = j.select(*SPINE_COLS, *filled)
     return j.withColumn("net_contribution", net_contribution_col())
 
 
 def _ledger_sql() -> str:
-    ex = ", ".join(f"coalesce(e.{c}, 0.0) AS {c}" for c in EXPENSE_COLS)
+    ex = ", ".join(f"coalesce(e.{c}, 0.0) AS {c}" for c in BLOCK_COLS)
     blocks = [("b", BALANCES_SQL, BALANCE_COLS), ("t", TURNOVER_SQL, TURNOVER_COLS),
               ("v", INVESTOR_VALUE_SQL, IV_COLS), ("r", NET_REBATE_SQL, NET_REBATE_COLS),
               ("it", INTEREST_TOTALS_SQL, ["avg_open_pre_nature", "accrued_interest"]),
@@ -883,10 +898,10 @@ def _ledger_sql() -> str:
     inner = f"""(SELECT {', '.join('s.' + c for c in SPINE_COLS)}, {acc}, {ex}
 FROM {SPINE_SQL} s
 {joins}
-LEFT JOIN {EXPENSE_SQL} e ON s.oa_broker_id = e.oa_broker_id AND s.rela_type = e.rela_type
+LEFT JOIN {BROKER_BLOCK_SQL} e ON s.oa_broker_id = e.oa_broker_id AND s.rela_type = e.rela_type
   AND s.fund_account_id = e.fund_account_id)"""
     digits = {"secu_fee": 4, "other_income_risk_fund": 0}
-    outs = [f"{rnd(c, digits.get(c, 2))} AS {c}" for c in ACCOUNT_COLS + EXPENSE_COLS]
+    outs = [f"{rnd(c, digits.get(c, 2))} AS {c}" for c in ACCOUNT_COLS + BLOCK_COLS]
     return f"""SELECT {', '.join(SPINE_COLS)}, {', '.join(outs)}, {rnd(nc)} AS net_contribution
 FROM {inner} l"""
 
@@ -900,6 +915,12 @@ def client_revenue_ledger(spark):
     return rounded(client_revenue_ledger_df(spark), {"secu_fee": 4, "other_income_risk_fund": 0})
 
 
+def ledger_table(spark) -> DataFrame:
+    """The ledger as the written table downstream jobs read (staged once)."""
+    from ..sources.tables import written
+    return written(spark, "client_revenue", lambda: client_revenue_ledger(spark))
+
+
 @query("net_contribution", f"""
 SELECT oa_broker_id, rela_type, fund_account_id, is_main, net_contribution FROM ({LEDGER_SQL}) l""")
 def net_contribution(spark):

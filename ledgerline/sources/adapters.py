@@ -177,7 +177,7 @@ SELECT {BROKER('p.l_suppkey')} AS broker_id, {ACCT('p.o_custkey')} AS investor_i
        cast(p.first_dt as string) AS st_dt,
        cast(p.first_dt + cast((p.o_custkey * 7 + p.l_suppkey) % 1500 as int) as string) AS end_dt,
        CASE WHEN (p.o_custkey + p.l_suppkey) % 11 = 0 THEN 'X' ELSE 'A' END AS rela_sts,
-       '2' AS approve_sts,
+       CASE WHEN (p.o_custkey + p.l_suppkey) % 4 = 0 THEN '2' ELSE '0' END AS approve_sts,
        CASE WHEN (p.o_custkey + p.l_suppkey) % 3 = 0 THEN NULL
             ELSE cast((p.o_custkey + p.l_suppkey) % 10 + 1 as double) / 10 END AS data_pct
 FROM (SELECT o.o_custkey, l.l_suppkey, min(cast(o.o_orderdate as date)) AS first_dt
@@ -264,16 +264,23 @@ SELECT {YMD('l.l_shipdate')} AS n_busi_date, {BR('cu.c_nationkey')} AS branch_id
 FROM {_LINE} JOIN calendar c ON c.busi_date = {YMD('l.l_shipdate')}
 GROUP BY {YMD('l.l_shipdate')}, cu.c_nationkey, o.o_custkey""",
     # ---- business rule tables (derived from customer / supplier attributes)
+    # IB collaboration: relationships of machinery clients with IB staff;
+    # the service name is the broker's name (matched against the ledger).
     "t00107": f"""
-SELECT concat('IB_', c_mktsegment) AS futu_service_name, {ACCT('c_custkey')} AS fund_account_id,
-       {OA('c_nationkey % 5')} AS ib_branch_id, concat('IB office ', cast(c_nationkey % 5 as string)) AS ib_branch_name,
-       CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0
-            ELSE cast(c_custkey % 50 as double) / 100 END AS coope_income_reate
-FROM customer WHERE c_mktsegment = 'MACHINERY'""",
+SELECT DISTINCT b.broker_nam AS futu_service_name, r.investor_id AS fund_account_id,
+       {OA('cast(substr(r.investor_id, 7, 2) as int) % 5')} AS ib_branch_id,
+       concat('IB office ', cast(cast(substr(r.investor_id, 7, 2) as int) % 5 as string)) AS ib_branch_name,
+       CASE cast(substr(r.investor_id, 5, 4) as int) % 4 WHEN 0 THEN NULL WHEN 1 THEN 0
+            ELSE cast(cast(substr(r.investor_id, 5, 4) as int) % 50 as double) / 100 END AS coope_income_reate
+FROM crm_broker_investor_rela r JOIN crm_broker b ON r.broker_id = b.broker_id
+JOIN customer c ON c.c_custkey = cast(r.investor_id as bigint)
+WHERE c.c_mktsegment = 'MACHINERY' AND r.broker_id LIKE 'ZD%'""",
     "t00110": f"""
 SELECT {BROKER('s_suppkey')} AS broker_id, {OA('s_nationkey % 5')} AS broker_branch_id,
        concat('Office ', cast(s_nationkey % 5 as string)) AS broker_branch_name
 FROM supplier WHERE s_acctbal > 0""",
+    # Department reallocation rules: one rule per automobile client, plus a
+    # second (partly expired) rule for every third of them.
     "t00114": f"""
 SELECT {ACCT('c_custkey')} AS fund_account_id,
        CASE c_custkey % 3 WHEN 0 THEN '19970101' WHEN 1 THEN '19970610' ELSE '19960101' END AS begin_date,
@@ -283,12 +290,18 @@ SELECT {ACCT('c_custkey')} AS fund_account_id,
        cast(c_custkey % 3 + 1 as double) / 10 AS done_rate,
        {OA('c_nationkey % 5')} AS out_oa_branch_id, concat('Out ', cast(c_nationkey % 5 as string)) AS out_oa_branch_name,
        {OA('(c_nationkey + 1) % 5')} AS in_oa_branch_id, concat('In ', cast((c_nationkey + 1) % 5 as string)) AS in_oa_branch_name
-FROM customer WHERE c_mktsegment = 'AUTOMOBILE'""",
+FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
+UNION ALL
+SELECT {ACCT('c_custkey')} AS fund_account_id, '19970615' AS begin_date, '19970625' AS end_date,
+       0.05 AS fund_rate, 0.05 AS rights_rate, 0.05 AS done_rate,
+       {OA('(c_nationkey + 2) % 5')} AS out_oa_branch_id, concat('Out ', cast((c_nationkey + 2) % 5 as string)) AS out_oa_branch_name,
+       {OA('(c_nationkey + 3) % 5')} AS in_oa_branch_id, concat('In ', cast((c_nationkey + 3) % 5 as string)) AS in_oa_branch_name
+FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_custkey % 3 = 0""",
     "t00122": f"""
 SELECT '199706' AS busi_month, {ACCT('o.o_custkey')} AS client_id, cu.c_name AS client_name,
        concat('138', lpad(cast(o.o_custkey as string), 8, '0')) AS mobile,
        concat('CT', cast(o.o_orderkey as string)) AS contract_number,
-       concat('Advisory ', o.o_orderpriority) AS product_name, o.o_orderstatus AS product_type,
+       concat('Advisory ', o.o_orderstatus) AS product_name, o.o_orderpriority AS product_type,
        cast(o.o_orderkey % 5 + 1 as string) AS product_risk_level,
        CASE o.o_custkey % 5 WHEN 0 THEN '3' WHEN 1 THEN '1,2,3' WHEN 2 THEN '2,9' WHEN 3 THEN NULL ELSE '4,1' END AS client_risk_level,
        {YMD('o.o_orderdate')} AS contract_begin_date,
@@ -320,6 +333,75 @@ SELECT {YMD('o.o_orderdate')} AS add_date, {ACCT('o.o_custkey')} AS client_id, c
        {R(D2('o.o_totalprice') + ' * 0.004', 2)} AS total_income
 FROM orders o JOIN customer cu ON cu.c_custkey = o.o_custkey
 WHERE o.o_orderpriority = '2-HIGH'""",
+    # Consulting allocations per (month, client, product): kernel split to
+    # two OA branches, performance split to two branches x brokers.
+    "t00122_1": f"""
+SELECT busi_month, client_id, product_name, 'primary' AS alloca_oa_branch_type,
+       {OA('cast(client_id as bigint) % 5')} AS alloca_oa_branch_id,
+       concat('Branch ', cast(cast(client_id as bigint) % 5 as string)) AS alloca_oa_branch_name, 0.6 AS alloca_kernel_rate
+FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k
+UNION ALL
+SELECT busi_month, client_id, product_name, 'secondary' AS alloca_oa_branch_type,
+       {OA('(cast(client_id as bigint) + 1) % 5')} AS alloca_oa_branch_id,
+       concat('Branch ', cast((cast(client_id as bigint) + 1) % 5 as string)) AS alloca_oa_branch_name, 0.4 AS alloca_kernel_rate
+FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k""",
+    "t00122_2": f"""
+SELECT busi_month, client_id, product_name, 'primary' AS alloca_oa_branch_type,
+       {OA('cast(client_id as bigint) % 5')} AS alloca_oa_branch_id,
+       concat('Branch ', cast(cast(client_id as bigint) % 5 as string)) AS alloca_oa_branch_name,
+       0.7 AS alloca_perfor_rate, {BROKER('cast(client_id as bigint) % 97')} AS broker_id,
+       concat('Broker ', cast(cast(client_id as bigint) % 97 as string)) AS broker_name, 0.5 AS broker_perfor_rate
+FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k
+UNION ALL
+SELECT busi_month, client_id, product_name, 'primary' AS alloca_oa_branch_type,
+       {OA('cast(client_id as bigint) % 5')} AS alloca_oa_branch_id,
+       concat('Branch ', cast(cast(client_id as bigint) % 5 as string)) AS alloca_oa_branch_name,
+       0.3 AS alloca_perfor_rate, {BROKER('cast(client_id as bigint) % 89')} AS broker_id,
+       concat('Broker ', cast(cast(client_id as bigint) % 89 as string)) AS broker_name, 0.25 AS broker_perfor_rate
+FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k""",
+    # Asset-management product rights per shipment day, by part brand and
+    # the supplier's region office (some offices unmatched).
+    "t00203": f"""
+SELECT {YMD('l.l_shipdate')} AS busi_date, p.p_brand AS product_name,
+       CASE WHEN s.s_suppkey % 9 = 0 THEN 'UNMAPPED'
+            WHEN n.n_regionkey % 2 = 0 THEN concat('SWHY', r.r_name) ELSE r.r_name END AS broker_branch,
+       {R(D2('l.l_extendedprice') + ' * 0.1', 2)} AS broker_rights
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    # Rule windows per CTP branch for the other-product job.
+    "t00305": f"""
+SELECT concat('R', lpad(cast(n_nationkey as string), 2, '0')) AS pk_id, 'OP02' AS adjust_proj_id,
+       'Branch rule product' AS adjust_proj, {BR('n_nationkey')} AS src_branch_id, n_name AS src_branch_name,
+       {OA('(n_regionkey + 1) % 5')} AS branch_id, concat('Branch ', cast((n_regionkey + 1) % 5 as string)) AS branch_name,
+       concat('AS', cast(n_nationkey % 3 as string)) AS assignee_id, concat('Assignee ', cast(n_nationkey % 3 as string)) AS assignee,
+       concat('0', cast(n_nationkey % 6 + 1 as string)) AS index_id, 'rule index' AS index_name,
+       cast(n_nationkey % 4 + 1 as double) / 10 AS adjust_rate,
+       replace(cast(DATE '1997-05-25' + cast(n_nationkey % 12 as int) as string), '-', '') AS begin_date,
+       replace(cast(DATE '1997-06-12' + cast(n_nationkey % 25 as int) as string), '-', '') AS end_date
+FROM nation""",
+    # Other products: monthly branch totals and their sharing rules.
+    "t00308": f"""
+SELECT substr(r.n_busi_date, 1, 6) AS month_id, 'OP01' AS adjust_proj_id, 'Other product' AS adjust_proj,
+       r.branch_id AS src_branch_id, b.branch_name AS src_branch_name,
+       {R("sum(" + D2('r.rights') + ") / 30", 2)} AS avg_rights,
+       {R("sum(" + D2('r.rights') + ") * 0.5", 2)} AS end_rights,
+       {R("sum(" + D2('r.yes_rights') + ") * 0.4", 2)} AS begin_rights,
+       sum(r.done_amount) AS done_amount, {R("sum(" + D2('r.done_money') + ")", 2)} AS done_money,
+       {R("sum(" + D2('r.remain_transfee') + ")", 2)} AS remain_transfee
+FROM rpt_06008 r JOIN branch b ON r.branch_id = b.branch_id
+GROUP BY substr(r.n_busi_date, 1, 6), r.branch_id, b.branch_name""",
+    "t00309": f"""
+SELECT k.month_id, k.adjust_proj_id, k.src_branch_id, {OA('cast(substr(k.src_branch_id, 2, 2) as int) % 5')} AS branch_id,
+       concat('Branch ', cast(cast(substr(k.src_branch_id, 2, 2) as int) % 5 as string)) AS branch_name,
+       'AS1' AS assignee_id, 'Assignee 1' AS assignee, 0.6 AS rights_rate, 0.5 AS done_rate, 0.3 AS income_rate
+FROM (SELECT DISTINCT month_id, adjust_proj_id, src_branch_id FROM t00308) k
+WHERE cast(substr(k.src_branch_id, 2, 2) as int) % 4 <> 0
+UNION ALL
+SELECT k.month_id, k.adjust_proj_id, k.src_branch_id, {OA('(cast(substr(k.src_branch_id, 2, 2) as int) + 2) % 5')} AS branch_id,
+       concat('Branch ', cast((cast(substr(k.src_branch_id, 2, 2) as int) + 2) % 5 as string)) AS branch_name,
+       'AS2' AS assignee_id, 'Assignee 2' AS assignee, 0.4 AS rights_rate, 0.5 AS done_rate, 0.7 AS income_rate
+FROM (SELECT DISTINCT month_id, adjust_proj_id, src_branch_id FROM t00308) k
+WHERE cast(substr(k.src_branch_id, 2, 2) as int) % 4 <> 0""",
     # ---- parameter tables (fixed values: short literal lists)
     # fee types: 1001 interest, 1002 risk fund, 1003 protection fund,
     # 1004 VAT, 1005 VAT + surtax, 1006 surtax.  Two periods split at
@@ -375,15 +457,22 @@ SELECT func_id, func_name, traceability_dept_id, traceability_dept, account_code
 SELECT adjust_proj_id, adjust_proj, src_branch_id, src_branch_name, index_id, index_name FROM (VALUES
   ('A01', 'Department reallocation', 'SRC', 'source', '01', 'average rights'),
   ('A01', 'Department reallocation', 'SRC', 'source', '02', 'closing rights'),
-  ('A01', 'Department reallocation', 'SRC', 'source', '03', 'turnover lots'),
-  ('A01', 'Department reallocation', 'SRC', 'source', '04', 'turnover money'),
-  ('A01', 'Department reallocation', 'SRC', 'source', '05', 'retained fee'),
-  ('A01', 'Department reallocation', 'SRC', 'source', '06', 'other income'),
+  ('A01', 'Department reallocation', 'SRC', 'source', '03', 'opening rights'),
+  ('A01', 'Department reallocation', 'SRC', 'source', '04', 'turnover lots'),
+  ('A01', 'Department reallocation', 'SRC', 'source', '05', 'turnover money'),
+  ('A01', 'Department reallocation', 'SRC', 'source', '06', 'retained fee'),
   ('A02', 'IB office', 'SRC', 'source', '01', 'average rights'),
-  ('A02', 'IB office', 'SRC', 'source', '05', 'retained fee'),
-  ('A03', 'IB collaboration', 'SRC', 'source', '05', 'retained fee'),
-  ('A03', 'IB collaboration', 'SRC', 'source', '06', 'other income')
-) AS t(adjust_proj_id, adjust_proj, src_branch_id, src_branch_name, index_id, index_name)""",
+  ('A02', 'IB office', 'SRC', 'source', '02', 'closing rights'),
+  ('A02', 'IB office', 'SRC', 'source', '03', 'opening rights'),
+  ('A02', 'IB office', 'SRC', 'source', '06', 'retained fee'),
+  ('A03', 'IB collaboration', 'SRC', 'source', '01', 'average rights'),
+  ('A03', 'IB collaboration', 'SRC', 'source', '03', 'opening rights'),
+  ('A03', 'IB collaboration', 'SRC', 'source', '05', 'turnover money')
+) AS t(adjust_proj_id, adjust_proj, src_branch_id, src_branch_name, index_id, index_name)
+UNION ALL
+SELECT DISTINCT concat('P_COCKPIT_00304_DATA_', substr(p_brand, 7, 2)) AS adjust_proj_id, p_brand AS adjust_proj,
+       'AM' AS src_branch_id, 'Asset management' AS src_branch_name, '01' AS index_id, 'product rights' AS index_name
+FROM part WHERE p_size > 5""",
     "dictionary": dictionary_sql(),
 }
 

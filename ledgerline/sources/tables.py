@@ -81,3 +81,23 @@ def block(fn):
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     return wrapper
+
+
+_written: dict[tuple, DataFrame] = {}
+
+
+def written(spark: SparkSession, name: str, build) -> DataFrame:
+    """Write ``build()`` once per session and data set under the shared
+    checkpoint folder and return the table read back.
+
+    Used where a later job reads an earlier job's output table: the write
+    cuts lineage (a lost executor never recomputes the earlier job) and the
+    later plan starts from a plain parquet scan.
+    """
+    key = (id(spark), loaded_dir(spark), name)
+    df = _written.get(key)
+    if df is None:
+        path = scratch_path(spark, f"jobs/{uuid.uuid4().hex[:12]}/{name}")
+        build().write.mode("overwrite").parquet(path)
+        df = _written[key] = spark.read.parquet(path)
+    return df

@@ -850,6 +850,7 @@ def clear_remain_fee(spark):
 ACCOUNT_COLS = (BALANCE_COLS + TURNOVER_COLS + IV_COLS + NET_REBATE_COLS + ["avg_open_pre_nature", "accrued_interest"]
                 + NET_INTEREST_COLS + INCOME_COLS + ["clear_remain_transfee"])
 BLOCK_COLS = BROKER_BASES + EXPENSE_COLS
+LEDGER_DIGITS = {"secu_fee": 4, "other_income_risk_fund": 0}
 LEDGER_COLS = SPINE_COLS + ACCOUNT_COLS + BLOCK_COLS + ["net_contribution"]
 
 
@@ -874,13 +875,14 @@ def client_revenue_ledger_df(spark) -> DataFrame:
     # The spine is shuffled by account once; every block arrives already
     # hash-partitioned by account from its own aggregate, so the chain of
     # left joins adds no further exchange of the spine.
+    # Blocks are rounded once per account (not once per relationship row).
     j = ledger_spine_df(spark)
     for b in account_blocks(spark):
-        j = j.join(b, "fund_account_id", "left")
-    j = j.join(broker_block_df(spark), list(BROKER_KEYS), "left")
+        j = j.join(rounded(b, LEDGER_DIGITS), "fund_account_id", "left")
+    j = j.join(rounded(broker_block_df(spark)), list(BROKER_KEYS), "left")
     filled = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ACCOUNT_COLS + BLOCK_COLS]
     j = j.select(*SPINE_COLS, *filled)
-    return j.withColumn("net_contribution", net_contribution_col())
+    return j.withColumn("net_contribution", fn.money(net_contribution_col(), 2))
 
 
 def _ledger_sql() -> str:
@@ -900,10 +902,9 @@ FROM {SPINE_SQL} s
 {joins}
 LEFT JOIN {BROKER_BLOCK_SQL} e ON s.oa_broker_id = e.oa_broker_id AND s.rela_type = e.rela_type
   AND s.fund_account_id = e.fund_account_id)"""
-    digits = {"secu_fee": 4, "other_income_risk_fund": 0}
-    outs = [f"{rnd(c, digits.get(c, 2))} AS {c}" for c in ACCOUNT_COLS + BLOCK_COLS]
-    return f"""SELECT {', '.join(SPINE_COLS)}, {', '.join(outs)}, {rnd(nc)} AS net_contribution
-FROM {inner} l"""
+    outs = [f"{rnd(c, LEDGER_DIGITS.get(c, 2))} AS {c}" for c in ACCOUNT_COLS + BLOCK_COLS]
+    return f"""SELECT r.*, {rnd(nc)} AS net_contribution
+FROM (SELECT {', '.join(SPINE_COLS)}, {', '.join(outs)} FROM {inner} l) r"""
 
 
 LEDGER_SQL = _ledger_sql()
@@ -912,7 +913,7 @@ LEDGER_SQL = _ledger_sql()
 @query("client_revenue_ledger", LEDGER_SQL)
 def client_revenue_ledger(spark):
     """B18 (flagship): the monthly client revenue ledger."""
-    return rounded(client_revenue_ledger_df(spark), {"secu_fee": 4, "other_income_risk_fund": 0})
+    return client_revenue_ledger_df(spark)
 
 
 def ledger_table(spark) -> DataFrame:

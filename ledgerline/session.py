@@ -29,10 +29,12 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "ledgerline") -> SparkSession:
+                app_name: str = "ledgerline", driver_memory: str | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+    if driver_memory:  # local mode: the driver JVM is the executor
+        b = b.config("spark.driver.memory", driver_memory)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)

@@ -514,3 +514,23 @@ def with_clause(sql: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+def view_levels() -> list[list[str]]:
+    """Adapter view names grouped so each group only reads earlier groups."""
+    bodies = dict(VIEWS, calendar_base=CALENDAR_SPARK)
+    names = list(bodies)
+    deps = {n: [d for d in _deps(bodies[n], names) if d != n] for n in names}
+    level: dict[str, int] = {}
+
+    def lv(n: str) -> int:
+        if n not in level:
+            level[n] = 1 + max((lv(d) for d in deps[n]), default=-1)
+        return level[n]
+
+    for n in names:
+        lv(n)
+    out: list[list[str]] = [[] for _ in range(max(level.values()) + 1)]
+    for n in names:
+        out[level[n]].append(n)
+    return out

@@ -928,3 +928,21 @@ def net_contribution(spark):
     """Net contribution per ledger row (NULL-safe arithmetic)."""
     return client_revenue_ledger(spark).select("oa_broker_id", "rela_type", "fund_account_id", "is_main",
                                                "net_contribution")
+
+
+# ----------------------------------------------------------- B2 tax split
+
+@query("tax_split", f"""
+SELECT t.fund_account_id, t.busi_date, {rnd('t.market_reduct', 4)} AS amount,
+  {rnd('t.market_reduct / (1 + coalesce(r_vat.para_value, 0))', 4)} AS amount_after_tax,
+  {rnd('t.market_reduct * coalesce(r_surtax.para_value, 0)', 4)} AS amount_add_tax,
+  {rnd('t.market_reduct * coalesce(r_risk.para_value, 0)', 4)} AS amount_risk_fund
+FROM {rated_sql(exchange_rebate_sql(), 't.busi_date')}""")
+def tax_split_q(spark):
+    """B2: amount -> after VAT, surtax part, risk-fund part (missing rate = 0), per row."""
+    from ..operators.rates import tax_split
+    x = rated(exchange_rebate_df(spark), spark, "busi_date")
+    after, add, risk = tax_split(F.col("market_reduct"), F.col("vat"), F.col("surtax"), F.col("risk"))
+    return x.select("fund_account_id", "busi_date", fn.money("market_reduct", 4).alias("amount"),
+                    fn.money(after, 4).alias("amount_after_tax"), fn.money(add, 4).alias("amount_add_tax"),
+                    fn.money(risk, 4).alias("amount_risk_fund"))

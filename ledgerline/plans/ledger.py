@@ -869,17 +869,37 @@ def net_contribution_col():
     return z[0] + z[1] - z[2] - z[3] - z[4] - z[5] - z[6] - z[7]
 
 
-@block
 def client_revenue_ledger_df(spark) -> DataFrame:
-    """The full ledger at (account, broker, relation) grain."""
-    # The spine is shuffled by account once; every block arrives already
-    # hash-partitioned by account from its own aggregate, so the chain of
-    # left joins adds no further exchange of the spine.
+    """The full ledger at (account, broker, relation) grain.
+
+    Stage barrier: the spine and every measure block (each far smaller than
+    the facts it aggregates) are written as their own jobs, concurrently,
+    into a fresh folder under the shared checkpoint folder; the ledger is
+    then one join of the written blocks onto the spine.  Each job keeps a
+    small plan, and a lost executor never recomputes a finished block.
+    """
+    import uuid
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..session import scratch_path
+    run = uuid.uuid4().hex[:12]
     # Blocks are rounded once per account (not once per relationship row).
-    j = ledger_spine_df(spark)
-    for b in account_blocks(spark):
-        j = j.join(rounded(b, LEDGER_DIGITS), "fund_account_id", "left")
-    j = j.join(rounded(broker_block_df(spark)), list(BROKER_KEYS), "left")
+    parts = [("spine", ledger_spine_df(spark))]
+    parts += [(f"b{i}", rounded(b, LEDGER_DIGITS)) for i, b in enumerate(account_blocks(spark))]
+    parts += [("broker", rounded(broker_block_df(spark)))]
+
+    def write(item):
+        name, df = item
+        path = scratch_path(spark, f"ledger/{run}/{name}")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    with ThreadPoolExecutor(max_workers=len(parts)) as pool:
+        frames = list(pool.map(write, parts))
+    j = frames[0]
+    for b in frames[1:-1]:
+        j = j.join(b, "fund_account_id", "left")
+    j = j.join(frames[-1], list(BROKER_KEYS), "left")
     filled = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ACCOUNT_COLS + BLOCK_COLS]
     j = j.select(*SPINE_COLS, *filled)
     return j.withColumn("net_contribution", fn.money(net_contribution_col(), 2))

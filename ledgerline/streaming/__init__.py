@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled mart is a monthly batch system; it has no stream sources,
+event-time windows, watermarks or state.  Month runs are batch jobs
+(``plans.io_jobs.run_month``).
+"""

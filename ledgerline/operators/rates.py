@@ -131,30 +131,8 @@ def tax_split(amount: Column, vat: Column, surtax: Column | None = None,
     return out
 
 
-def tax_split_sums(name: str, amount: Column, vat: str = "vat", surtax: str | None = "surtax",
-                   risk: str | None = "risk") -> list[Column]:
-    """Four aggregates of the tax split of ``amount``: total, after tax,
-    surtax and risk-fund part, named ``name``, ``name_after_tax``,
-    ``name_add_tax``, ``name_risk_fund``."""
-    parts = tax_split(amount, F.col(vat), F.col(surtax) if surtax else None,
-                      F.col(risk) if risk else None)
-    out = [F.sum(amount).alias(name), F.sum(parts[0]).alias(f"{name}_after_tax")]
-    if surtax:
-        out.append(F.sum(parts[1]).alias(f"{name}_add_tax"))
-    if risk:
-        out.append(F.sum(parts[-1]).alias(f"{name}_risk_fund"))
-    return out
-
-
 def with_oa_branch(facts: DataFrame, spark, branch_col: str, how: str = "inner") -> DataFrame:
     """Map a CTP branch column to its OA branch (``oa_branch_id``)."""
     m = spark.table("branch_oa_rela").select(
         F.col("ctp_branch_id").alias("__ctp"), "oa_branch_id", "oa_branch_name")
     return facts.join(F.broadcast(m), F.col(branch_col) == F.col("__ctp"), how).drop("__ctp")
-
-
-def measures_tax_split(df: DataFrame, group: Sequence[str], measures: dict[str, Column]) -> DataFrame:
-    aggs = []
-    for name, amt in measures.items():
-        aggs.extend(tax_split_sums(name, amt))
-    return df.groupBy(*group).agg(*aggs)

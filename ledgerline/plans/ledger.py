@@ -368,12 +368,8 @@ def investor_value_df(spark) -> DataFrame:
                zero.alias("market_ret_client"), zero.alias("transfee_reward_client"))
           .na.fill(0))
     paid = (rated(cash_daily_df(spark), spark, "busi_date").groupBy("fund_account_id")
-            .agg(*split_aggs("interest_paid", "client_interest_settlement")[:1],
-                 F.sum(F.col("interest_paid") / (1 + F.coalesce(F.col("vat"), F.lit(0))))
-                 .alias("client_interest_after_tax"),
-                 F.sum(F.col("interest_paid") * F.coalesce(F.col("surtax"), F.lit(0))).alias("client_interest_add_tax"),
-                 F.sum(F.col("interest_paid") * F.coalesce(F.col("risk"), F.lit(0))).alias("client_interest_risk_fund"),
-                 F.sum("rebate_paid").alias("market_ret_client"))
+            .agg(*split_aggs("interest_paid", "client_interest"), F.sum("rebate_paid").alias("market_ret_client"))
+            .withColumnRenamed("client_interest", "client_interest_settlement")
             .na.fill(0))
     iv = merge_update(iv, paid, ["fund_account_id"], CLIENT_COLS)
     return iv.withColumn("totla_client_ret", F.col("client_interest_settlement") + F.col("market_ret_client")

@@ -69,10 +69,6 @@ def load(spark: SparkSession, sf_dir: str, stage: bool = True) -> SparkSession:
     return spark
 
 
-def table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def loaded_dir(spark: SparkSession) -> str | None:
     """The test-data folder whose tables are currently registered."""
     return _loaded.get(id(spark))

@@ -438,10 +438,13 @@ NET_INTEREST_COLS = ["net_interest_reduce", "net_interest_reduce_after_tax", "in
 @block
 def net_interest_df(spark) -> DataFrame:
     """Accrued interest minus client interest paid (subtrahend NULL -> 0), zero-filled."""
+    return net_interest_of(spark, interest_totals_df(spark), investor_value_df(spark))
+
+
+def net_interest_of(spark, totals: DataFrame, value: DataFrame) -> DataFrame:
     x = spark.table("fund_account").select("fund_account_id")
-    t = interest_totals_df(spark)
-    v = investor_value_df(spark).select("fund_account_id", *CLIENT_COLS[:4])
-    j = x.join(t, "fund_account_id", "left").join(v, "fund_account_id", "left")
+    v = value.select("fund_account_id", *CLIENT_COLS[:4])
+    j = x.join(totals, "fund_account_id", "left").join(v, "fund_account_id", "left")
 
     def d(a, b):
         return F.col(a) - F.coalesce(F.col(b), F.lit(0))
@@ -742,11 +745,15 @@ INCOME_COLS = ["total_income", "total_income_after_tax", "total_income_add_tax",
 
 @block
 def income_totals_df(spark) -> DataFrame:
+    return income_totals_of(spark, investor_value_df(spark), net_rebate_df(spark), net_interest_df(spark))
+
+
+def income_totals_of(spark, value: DataFrame, rebate: DataFrame, interest: DataFrame) -> DataFrame:
     x = spark.table("fund_account").select("fund_account_id")
-    v = investor_value_df(spark).select("fund_account_id", "remain_transfee", "remain_transfee_after_tax",
-                                        "remain_transfee_add_tax", "remain_risk_fund")
-    j = (x.join(v, "fund_account_id", "left").join(net_rebate_df(spark), "fund_account_id", "left")
-         .join(net_interest_df(spark), "fund_account_id", "left").na.fill(0))
+    v = value.select("fund_account_id", "remain_transfee", "remain_transfee_after_tax",
+                     "remain_transfee_add_tax", "remain_risk_fund")
+    j = (x.join(v, "fund_account_id", "left").join(rebate, "fund_account_id", "left")
+         .join(interest, "fund_account_id", "left").na.fill(0))
     return j.select("fund_account_id",
                     (F.col("remain_transfee") + F.col("market_ret_reduce") + F.col("net_interest_reduce"))
                     .alias("total_income"),
@@ -879,10 +886,6 @@ def client_revenue_ledger_df(spark) -> DataFrame:
 
     from ..session import scratch_path
     run = uuid.uuid4().hex[:12]
-    # Blocks are rounded once per account (not once per relationship row).
-    parts = [("spine", ledger_spine_df(spark))]
-    parts += [(f"b{i}", rounded(b, LEDGER_DIGITS)) for i, b in enumerate(account_blocks(spark))]
-    parts += [("broker", rounded(broker_block_df(spark)))]
 
     def write(item):
         name, df = item
@@ -890,8 +893,23 @@ def client_revenue_ledger_df(spark) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    with ThreadPoolExecutor(max_workers=len(parts)) as pool:
-        frames = list(pool.map(write, parts))
+    def write_all(items):
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:
+            return dict(zip([n for n, _ in items], pool.map(write, items)))
+
+    # level 1: independent blocks, each computed exactly once
+    w = write_all([("spine", ledger_spine_df(spark)), ("balances", period_balances_df(spark)),
+                   ("turnover", turnover_df(spark)), ("value", investor_value_df(spark)),
+                   ("rebate", net_rebate_df(spark)), ("interest", interest_totals_df(spark)),
+                   ("clear", clear_remain_df(spark)), ("broker", broker_block_df(spark))])
+    # levels 2 and 3 read the written blocks
+    w.update(write_all([("net_interest", net_interest_of(spark, w["interest"], w["value"]))]))
+    w.update(write_all([("income", income_totals_of(spark, w["value"], w["rebate"], w["net_interest"]))]))
+    blocks = [w["balances"], w["turnover"], w["value"].select("fund_account_id", *IV_COLS), w["rebate"],
+              w["interest"].select("fund_account_id", "avg_open_pre_nature", "accrued_interest"),
+              w["net_interest"], w["income"], w["clear"]]
+    # blocks are rounded once per account (not once per relationship row)
+    frames = [w["spine"]] + [rounded(b, LEDGER_DIGITS) for b in blocks] + [rounded(w["broker"])]
     j = frames[0]
     for b in frames[1:-1]:
         j = j.join(b, "fund_account_id", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .. import functions as fn
+from ..operators.ranking import row_number_by
 from ..operators.rates import lookup_rates, rate_dim, with_oa_branch
 from ..operators.schema import align_to_schema
 from ..params import P
@@ -543,9 +544,9 @@ WHERE replace(end_dt, '-', '') >= '{M0}' AND replace(st_dt, '-', '') <= '{M1}'""
 def main_row_flag(spark):
     """Deterministic main-row flag per account."""
     r = spark.table("crm_broker_investor_rela").filter((F.col("end_dt") >= D0) & (F.col("st_dt") <= D1))
-    w = Window.partitionBy("investor_id").orderBy("broker_id", "broker_rela_typ")
-    return r.select(F.col("investor_id").alias("fund_account_id"), "broker_id", "broker_rela_typ",
-                    F.row_number().over(w).cast("int").alias("is_main"))
+    r = r.select(F.col("investor_id").alias("fund_account_id"), "broker_id", "broker_rela_typ")
+    # exact row_number() over (partition by account ...), safe for a hot account
+    return row_number_by(r, ["fund_account_id"], ["broker_id", "broker_rela_typ"], "is_main")
 
 
 @query("union_populations", f"""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators.merge import merge_update
+from ..operators.ranking import row_number_by
 from ..operators.rates import lookup_rates, rate_dim, with_oa_branch
 from ..params import P
 from ..sources.adapters import REBATE_COLUMNS
@@ -601,8 +602,8 @@ def ledger_spine_df(spark) -> DataFrame:
            F.col("c.investor_nam").alias("client_name")]
     # the two populations are disjoint; one filter replaces the UNION ALL
     s = j.filter(active | closed).select(*sel)
-    w = Window.partitionBy("fund_account_id").orderBy("oa_broker_id", "rela_type", "branch_id")
-    return s.withColumn("is_main", F.row_number().over(w))
+    # skew-safe row_number() over (partition by account order by broker, relation, branch)
+    return row_number_by(s, ["fund_account_id"], ["oa_broker_id", "rela_type", "branch_id"], "is_main")
 
 
 SPINE_SQL = f"""(SELECT s.*, CAST(row_number() OVER (PARTITION BY fund_account_id

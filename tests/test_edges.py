@@ -78,3 +78,19 @@ def test_closed_account_rule(spark):
     c = F.col("close_date")
     keep = [r.close_date for r in df.filter(c.between(P.month_start, P.last_trade_day) | (c >= P.month_end)).collect()]
     assert keep == ["19970601", "19970630", "19970701"]
+
+
+def test_row_number_hot_group(spark):
+    """One group holding most rows is numbered exactly like a window would."""
+    from pyspark.sql import Window
+
+    from ledgerline.operators.ranking import row_number_by
+    rows = [("hot", i) for i in range(3000)] + [(f"g{i % 7}", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, k int")
+    got = row_number_by(df, ["g"], ["k"], "rn", partitions=16)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # the hot group really is spread over several range partitions
+    spread = (df.repartitionByRange(16, "g", "k").withColumn("p", F.spark_partition_id())
+              .filter("g = 'hot'").select("p").distinct().count())
+    assert spread > 4

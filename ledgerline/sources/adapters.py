@@ -49,12 +49,20 @@ def YMD(ts: str) -> str:
 
 
 def D2(x: str) -> str:
-    return f"cast({x} as decimal(18,2))"
+    """Amounts stay DOUBLE (the warehouse type)."""
+    return x
 
 
 def R(x: str, n: int) -> str:
-    """Exact HALF_UP rounding of a decimal expression, returned as DOUBLE."""
-    return f"cast(round({x}, {n}) as double)"
+    """Round a DOUBLE expression to ``n`` digits with plain IEEE double
+    arithmetic: both engines compute bit-identical values."""
+    return f"(floor(({x}) * {10 ** n} + 0.5) / {10 ** n})"
+
+
+def SUMR(x: str, n: int) -> str:
+    """Sum of a DOUBLE expression rounded to ``n`` digits.  Rows are summed
+    in integer micro-units, so the sum is exact and order independent."""
+    return f"(floor(sum(floor(({x}) * 1000000 + 0.5)) / {10 ** (6 - n)} + 0.5) / {10 ** n})"
 
 
 def RELA(x: str) -> str:
@@ -107,7 +115,7 @@ def _iv_cols() -> str:
         "price": D2("l.l_extendedprice"),
     }
     return ",\n  ".join(
-        f"{R(f'sum({base[b]} * {f})', 2)} AS {c}" for c, b, f in _IV_MEASURES)
+        f"{SUMR(f'{base[b]} * {f}', 2)} AS {c}" for c, b, f in _IV_MEASURES)
 
 
 # ---------------------------------------------------------------- views
@@ -187,20 +195,20 @@ FROM (SELECT o.o_custkey, l.l_suppkey, min(cast(o.o_orderdate as date)) AS first
     # orders roll back to Friday).
     "client_sett": f"""
 SELECT c.nature_date AS busi_date, {ACCT('o.o_custkey')} AS fund_account_id,
-       {R(f"sum({D2('o.o_totalprice')})", 2)} AS rights,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.9", 2)} AS yes_rights,
+       {SUMR("o.o_totalprice", 2)} AS rights,
+       {SUMR("o.o_totalprice * 0.9", 2)} AS yes_rights,
        CASE WHEN o.o_custkey % 4 = 0 THEN NULL
-            ELSE {R(f"sum({D2('o.o_totalprice')}) * 0.3", 2)} END AS impawn_money,
+            ELSE {SUMR("o.o_totalprice * 0.3", 2)} END AS impawn_money,
        CASE WHEN o.o_custkey % 9 = 0 THEN NULL
-            ELSE {R(f"sum({D2('o.o_totalprice')}) * 0.25", 2)} END AS market_margin,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.01", 2)} AS hold_profit,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.02", 2)} AS close_profit,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.001", 2)} AS transfee,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.0002", 2)} AS delivery_transfee,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.0001", 2)} AS strikefee,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.0006", 2)} AS market_transfee,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.00012", 2)} AS market_delivery_transfee,
-       {R(f"sum({D2('o.o_totalprice')}) * 0.00006", 2)} AS market_strikefee
+            ELSE {SUMR("o.o_totalprice * 0.25", 2)} END AS market_margin,
+       {SUMR("o.o_totalprice * 0.01", 2)} AS hold_profit,
+       {SUMR("o.o_totalprice * 0.02", 2)} AS close_profit,
+       {SUMR("o.o_totalprice * 0.001", 2)} AS transfee,
+       {SUMR("o.o_totalprice * 0.0002", 2)} AS delivery_transfee,
+       {SUMR("o.o_totalprice * 0.0001", 2)} AS strikefee,
+       {SUMR("o.o_totalprice * 0.0006", 2)} AS market_transfee,
+       {SUMR("o.o_totalprice * 0.00012", 2)} AS market_delivery_transfee,
+       {SUMR("o.o_totalprice * 0.00006", 2)} AS market_strikefee
 FROM orders o JOIN calendar c ON c.busi_date = {YMD('o.o_orderdate')}
 WHERE c.nature_date IS NOT NULL
 GROUP BY c.nature_date, o.o_custkey""",
@@ -246,20 +254,20 @@ SELECT concat(substr({DASH('l.l_shipdate')}, 1, 7), '-01') AS tx_dt,
        CASE WHEN l.l_suppkey % 7 = 0 THEN 'D' ELSE 'M' END AS rec_freq,
        {BROKER('l.l_suppkey')} AS staff_id,
        {RELA('o.o_custkey + l.l_suppkey')} AS srela_typ,
-       {R(f"sum({D2('l.l_extendedprice')} * {D2('l.l_discount')} * 0.03)", 2)} AS ib_amt,
+       {SUMR("l.l_extendedprice * l.l_discount * 0.03", 2)} AS ib_amt,
        CASE WHEN (o.o_custkey + l.l_suppkey) % 4 = 0 THEN NULL
-            ELSE {R(f"sum({D2('l.l_extendedprice')} * 0.00005)", 2)} END AS staff_int_amt
+            ELSE {SUMR("l.l_extendedprice * 0.00005", 2)} END AS staff_int_amt
 FROM {_LINE}
 GROUP BY concat(substr({DASH('l.l_shipdate')}, 1, 7), '-01'), o.o_custkey, l.l_suppkey""",
     # Daily client report by natural day.
     "rpt_06008": f"""
 SELECT {YMD('l.l_shipdate')} AS n_busi_date, {BR('cu.c_nationkey')} AS branch_id,
        {ACCT('o.o_custkey')} AS fund_account_id,
-       {R(f"sum({D2('l.l_extendedprice')})", 2)} AS rights,
-       {R(f"sum({D2('l.l_extendedprice')} * 0.95)", 2)} AS yes_rights,
-       {R(f"sum({D2('l.l_extendedprice')} * {D2('l.l_discount')} * 0.02)", 2)} AS remain_transfee,
+       {SUMR("l.l_extendedprice", 2)} AS rights,
+       {SUMR("l.l_extendedprice * 0.95", 2)} AS yes_rights,
+       {SUMR("l.l_extendedprice * l.l_discount * 0.02", 2)} AS remain_transfee,
        sum(l.l_quantity) AS done_amount,
-       {R(f"sum({D2('l.l_extendedprice')})", 2)} AS done_money,
+       {SUMR("l.l_extendedprice", 2)} AS done_money,
        max(c.trade_flag) AS trade_flag
 FROM {_LINE} JOIN calendar c ON c.busi_date = {YMD('l.l_shipdate')}
 GROUP BY {YMD('l.l_shipdate')}, cu.c_nationkey, o.o_custkey""",
@@ -383,11 +391,11 @@ FROM nation""",
     "t00308": f"""
 SELECT substr(r.n_busi_date, 1, 6) AS month_id, 'OP01' AS adjust_proj_id, 'Other product' AS adjust_proj,
        r.branch_id AS src_branch_id, b.branch_name AS src_branch_name,
-       {R("sum(" + D2('r.rights') + ") / 30", 2)} AS avg_rights,
-       {R("sum(" + D2('r.rights') + ") * 0.5", 2)} AS end_rights,
-       {R("sum(" + D2('r.yes_rights') + ") * 0.4", 2)} AS begin_rights,
-       sum(r.done_amount) AS done_amount, {R("sum(" + D2('r.done_money') + ")", 2)} AS done_money,
-       {R("sum(" + D2('r.remain_transfee') + ")", 2)} AS remain_transfee
+       {SUMR("r.rights / 30", 2)} AS avg_rights,
+       {SUMR("r.rights * 0.5", 2)} AS end_rights,
+       {SUMR("r.yes_rights * 0.4", 2)} AS begin_rights,
+       sum(r.done_amount) AS done_amount, {SUMR("r.done_money", 2)} AS done_money,
+       {SUMR("r.remain_transfee", 2)} AS remain_transfee
 FROM rpt_06008 r JOIN branch b ON r.branch_id = b.branch_id
 GROUP BY substr(r.n_busi_date, 1, 6), r.branch_id, b.branch_name""",
     "t00309": f"""

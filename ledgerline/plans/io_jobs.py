@@ -200,9 +200,23 @@ def run_month(spark) -> dict[str, DataFrame]:
     return out
 
 
+PIPELINE_JOB_KEYS = {"t_00125": "ib_collab_income", "t_00140": "ib_office_income", "t_00208": "otc_month_copy",
+                     "t_00156": "special_client_revenue", "t_00128_data": "insurance_fund_base",
+                     "t_00123": "consulting_kernel_split", "t_00114_data": "dept_reallocation"}
+
+
 def _pipeline_sql() -> str:
-    parts = [f"SELECT func_id, account_code, allocated_money FROM ({post_to_accounts_sql(posting_jobs._facts_sql(k), **posting_jobs.COMMON, **c)}) p"
-             for k, c in posting_jobs.POSTINGS.items()]
+    """Postings read the *written* job tables, i.e. the job queries' output."""
+    from .registry import REGISTRY
+    parts = []
+    for k, c in posting_jobs.POSTINGS.items():
+        src = f"({REGISTRY[PIPELINE_JOB_KEYS[POSTING_INPUT[k]]][1]})"
+        if k == "post_otc":
+            src = f"(SELECT o.*, x.oa_branch_id FROM {src} o JOIN branch_oa_rela x ON o.branch_id = x.ctp_branch_id)"
+        if k == "post_special":
+            src = f"(SELECT * FROM {src} s WHERE month_id = '{P.month_id}')"
+        parts.append(f"SELECT func_id, account_code, allocated_money FROM "
+                     f"({post_to_accounts_sql(src, **posting_jobs.COMMON, **c)}) p")
     return f"""SELECT func_id, account_code, {rnd('sum(allocated_money)')} AS posted_money, count(*) AS n_rows
 FROM ({' UNION ALL '.join(parts)}) x GROUP BY func_id, account_code"""
 

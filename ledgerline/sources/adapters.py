@@ -8,8 +8,9 @@ scale factor.
 
 Conventions (match the warehouse being modelled):
 * dates are strings, ``yyyymmdd`` or dash form ``yyyy-mm-dd``;
-* amounts are DOUBLE holding exact 2/4-digit decimal values (computed in
-  DECIMAL, rounded HALF_UP, then cast), so both engines read identical inputs;
+* amounts are DOUBLE, rounded with plain IEEE double arithmetic
+  (``floor(x * 10^n + 0.5) / 10^n``; sums over integer micro-units), so both
+  engines compute bit-identical inputs;
 * ids: account ``00000042`` (zero padded customer key), branch ``B07``
   (nation key), OA branch ``O3`` (region key), broker ``ZD000005`` /
   ``ST000006`` (supplier key, ``ZD`` staff for every fifth supplier).

@@ -302,7 +302,7 @@ SELECT {ACCT('c_custkey')} AS fund_account_id,
 FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
 UNION ALL
 SELECT {ACCT('c_custkey')} AS fund_account_id, '19970615' AS begin_date, '19970625' AS end_date,
-       0.05 AS fund_rate, 0.05 AS rights_rate, 0.05 AS done_rate,
+       cast(0.05 as double) AS fund_rate, cast(0.05 as double) AS rights_rate, cast(0.05 as double) AS done_rate,
        {OA('(c_nationkey + 2) % 5')} AS out_oa_branch_id, concat('Out ', cast((c_nationkey + 2) % 5 as string)) AS out_oa_branch_name,
        {OA('(c_nationkey + 3) % 5')} AS in_oa_branch_id, concat('In ', cast((c_nationkey + 3) % 5 as string)) AS in_oa_branch_name
 FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_custkey % 3 = 0""",
@@ -347,26 +347,26 @@ WHERE o.o_orderpriority = '2-HIGH'""",
     "t00122_1": f"""
 SELECT busi_month, client_id, product_name, 'primary' AS alloca_oa_branch_type,
        {OA('cast(client_id as bigint) % 5')} AS alloca_oa_branch_id,
-       concat('Branch ', cast(cast(client_id as bigint) % 5 as string)) AS alloca_oa_branch_name, 0.6 AS alloca_kernel_rate
+       concat('Branch ', cast(cast(client_id as bigint) % 5 as string)) AS alloca_oa_branch_name, cast(0.6 as double) AS alloca_kernel_rate
 FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k
 UNION ALL
 SELECT busi_month, client_id, product_name, 'secondary' AS alloca_oa_branch_type,
        {OA('(cast(client_id as bigint) + 1) % 5')} AS alloca_oa_branch_id,
-       concat('Branch ', cast((cast(client_id as bigint) + 1) % 5 as string)) AS alloca_oa_branch_name, 0.4 AS alloca_kernel_rate
+       concat('Branch ', cast((cast(client_id as bigint) + 1) % 5 as string)) AS alloca_oa_branch_name, cast(0.4 as double) AS alloca_kernel_rate
 FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k""",
     "t00122_2": f"""
 SELECT busi_month, client_id, product_name, 'primary' AS alloca_oa_branch_type,
        {OA('cast(client_id as bigint) % 5')} AS alloca_oa_branch_id,
        concat('Branch ', cast(cast(client_id as bigint) % 5 as string)) AS alloca_oa_branch_name,
-       0.7 AS alloca_perfor_rate, {BROKER('cast(client_id as bigint) % 97')} AS broker_id,
-       concat('Broker ', cast(cast(client_id as bigint) % 97 as string)) AS broker_name, 0.5 AS broker_perfor_rate
+       cast(0.7 as double) AS alloca_perfor_rate, {BROKER('cast(client_id as bigint) % 97')} AS broker_id,
+       concat('Broker ', cast(cast(client_id as bigint) % 97 as string)) AS broker_name, cast(0.5 as double) AS broker_perfor_rate
 FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k
 UNION ALL
 SELECT busi_month, client_id, product_name, 'primary' AS alloca_oa_branch_type,
        {OA('cast(client_id as bigint) % 5')} AS alloca_oa_branch_id,
        concat('Branch ', cast(cast(client_id as bigint) % 5 as string)) AS alloca_oa_branch_name,
-       0.3 AS alloca_perfor_rate, {BROKER('cast(client_id as bigint) % 89')} AS broker_id,
-       concat('Broker ', cast(cast(client_id as bigint) % 89 as string)) AS broker_name, 0.25 AS broker_perfor_rate
+       cast(0.3 as double) AS alloca_perfor_rate, {BROKER('cast(client_id as bigint) % 89')} AS broker_id,
+       concat('Broker ', cast(cast(client_id as bigint) % 89 as string)) AS broker_name, cast(0.25 as double) AS broker_perfor_rate
 FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k""",
     # Asset-management product rights per shipment day, by part brand and
     # the supplier's region office (some offices unmatched).
@@ -402,13 +402,13 @@ GROUP BY substr(r.n_busi_date, 1, 6), r.branch_id, b.branch_name""",
     "t00309": f"""
 SELECT k.month_id, k.adjust_proj_id, k.src_branch_id, {OA('cast(substr(k.src_branch_id, 2, 2) as int) % 5')} AS branch_id,
        concat('Branch ', cast(cast(substr(k.src_branch_id, 2, 2) as int) % 5 as string)) AS branch_name,
-       'AS1' AS assignee_id, 'Assignee 1' AS assignee, 0.6 AS rights_rate, 0.5 AS done_rate, 0.3 AS income_rate
+       'AS1' AS assignee_id, 'Assignee 1' AS assignee, cast(0.6 as double) AS rights_rate, cast(0.5 as double) AS done_rate, cast(0.3 as double) AS income_rate
 FROM (SELECT DISTINCT month_id, adjust_proj_id, src_branch_id FROM t00308) k
 WHERE cast(substr(k.src_branch_id, 2, 2) as int) % 4 <> 0
 UNION ALL
 SELECT k.month_id, k.adjust_proj_id, k.src_branch_id, {OA('(cast(substr(k.src_branch_id, 2, 2) as int) + 2) % 5')} AS branch_id,
        concat('Branch ', cast((cast(substr(k.src_branch_id, 2, 2) as int) + 2) % 5 as string)) AS branch_name,
-       'AS2' AS assignee_id, 'Assignee 2' AS assignee, 0.4 AS rights_rate, 0.5 AS done_rate, 0.7 AS income_rate
+       'AS2' AS assignee_id, 'Assignee 2' AS assignee, cast(0.4 as double) AS rights_rate, cast(0.5 as double) AS done_rate, cast(0.7 as double) AS income_rate
 FROM (SELECT DISTINCT month_id, adjust_proj_id, src_branch_id FROM t00308) k
 WHERE cast(substr(k.src_branch_id, 2, 2) as int) % 4 <> 0""",
     # ---- parameter tables (fixed values: short literal lists)
@@ -416,7 +416,7 @@ WHERE cast(substr(k.src_branch_id, 2, 2) as int) % 4 <> 0""",
     # 1004 VAT, 1005 VAT + surtax, 1006 surtax.  Two periods split at
     # 1997-06-15; region O4 has no rate (default-0 path).
     "rate_param": """
-SELECT fee_type, branch_id, begin_date, end_date, para_value FROM (VALUES
+SELECT fee_type, branch_id, begin_date, end_date, cast(para_value as double) AS para_value FROM (VALUES
   ('1001', 'O0,O1,O2', '19950101', '19970614', 0.0035),
   ('1001', 'O0,O1,O2', '19970615', '20011231', 0.0030),
   ('1001', 'O3', '19950101', '20011231', 0.0040),

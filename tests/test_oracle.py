@@ -29,6 +29,10 @@ def _norm(v):
     return v
 
 
+_SPARK = {"string": "str", "int": "int32", "bigint": "int64", "double": "double", "boolean": "bool", "date": "date"}
+_DUCK = {"VARCHAR": "str", "INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "double", "BOOLEAN": "bool", "DATE": "date"}
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows),
@@ -48,5 +52,8 @@ def test_matches_oracle(spark, duck, key):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    stypes = {f.name: _SPARK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    dtypes = {c: _DUCK.get(str(t), str(t)) for c, t in zip(dcols, [d[1] for d in cur.description])}
+    assert stypes == dtypes
     assert len(srows) == len(drows)
     assert _rows(df.columns, srows) == _rows(dcols, drows)

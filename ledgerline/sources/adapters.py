@@ -479,7 +479,7 @@ SELECT adjust_proj_id, adjust_proj, src_branch_id, src_branch_name, index_id, in
   ('A03', 'IB collaboration', 'SRC', 'source', '05', 'turnover money')
 ) AS t(adjust_proj_id, adjust_proj, src_branch_id, src_branch_name, index_id, index_name)
 UNION ALL
-SELECT DISTINCT concat('P_COCKPIT_00304_DATA_', substr(p_brand, 7, 2)) AS adjust_proj_id, p_brand AS adjust_proj,
+SELECT DISTINCT concat('JOB_ASSET_PRODUCT_01_', substr(p_brand, 7, 2)) AS adjust_proj_id, p_brand AS adjust_proj,
        'AM' AS src_branch_id, 'Asset management' AS src_branch_name, '01' AS index_id, 'product rights' AS index_name
 FROM part WHERE p_size > 5""",
     "dictionary": dictionary_sql(),

@@ -1,5 +1,5 @@
-"""Every registered query against its DuckDB oracle (the reference's own
-test compares each mart table with an independent statement of it)."""
+"""Every registered query against its DuckDB oracle: each mart table is
+compared with an independent SQL statement of the same semantics."""
 
 import math
 import os

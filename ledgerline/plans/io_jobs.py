@@ -135,17 +135,22 @@ def _right_block(spark, pair: str) -> DataFrame:
 
 
 def _recon_sql() -> str:
+    """The ledger is computed once (materialized CTE); one sum scan per side."""
     from .registry import REGISTRY
     right = {"ledger_vs_balances": "period_balances", "ledger_vs_turnover": "turnover_fee",
              "ledger_vs_investor_value": "investor_month_value"}
+    ctes = [f"led AS MATERIALIZED ({ledger.LEDGER_SQL})"]
     parts = []
-    for pair, lp, rp, cols in RECON_PAIRS:
+    for i, (pair, lp, rp, cols) in enumerate(RECON_PAIRS):
+        sums = ", ".join(f"coalesce(sum({c}), 0.0) AS {c}" for c in cols)
+        ctes.append(f"l{i} AS (SELECT {sums} FROM led WHERE {lp})")
+        ctes.append(f"r{i} AS (SELECT {sums} FROM ({REGISTRY[right[pair]][1]}) r WHERE {rp})")
         for c in cols:
-            parts.append(f"""SELECT '{pair}' AS pair, '{c}' AS column_name,
-  (SELECT coalesce(sum({c}), 0.0) FROM ({ledger.LEDGER_SQL}) l WHERE {lp}) AS l_sum,
-  (SELECT coalesce(sum({c}), 0.0) FROM ({REGISTRY[right[pair]][1]}) r WHERE {rp}) AS r_sum""")
+            parts.append(f"SELECT '{pair}' AS pair, '{c}' AS column_name, l.{c} AS l_sum, r.{c} AS r_sum "
+                         f"FROM l{i} l, r{i} r")
     body = "\nUNION ALL\n".join(parts)
-    return f"""SELECT pair, column_name, {rnd('l_sum')} AS left_sum, {rnd('r_sum')} AS right_sum,
+    return f"""WITH {', '.join(ctes)}
+SELECT pair, column_name, {rnd('l_sum')} AS left_sum, {rnd('r_sum')} AS right_sum,
   {rnd('l_sum - r_sum')} AS diff, abs(l_sum - r_sum) >= 0.1 AS mismatch
 FROM ({body}) x"""
 

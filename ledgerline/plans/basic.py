@@ -432,7 +432,7 @@ SELECT fund_account_id,
        sum(CASE WHEN fund_projectid = 'A031' THEN occur_money ELSE 0 END) AS rebate_paid,
        sum(CASE WHEN fund_projectid = 'A032' THEN occur_money ELSE 0 END) AS interest_paid
 FROM fund_jour
-WHERE busi_date BETWEEN '{M0}' AND '{P.last_trade_day}' AND fund_direct = '1'
+WHERE busi_date BETWEEN '{P.first_trade_day}' AND '{P.last_trade_day}' AND fund_direct = '1'
   AND fund_projectid IN ('A031', 'A032')
 GROUP BY fund_account_id"""
 

@@ -17,7 +17,7 @@ from .basic import EXCLUDED
 from .ledger import LEDGER_SQL, ledger_table, rnd, rounded, rounded_sql
 from .registry import query
 
-M0, ME, LT = P.month_start, P.month_end, P.last_trade_day
+M0, ME, LT, FT = P.month_start, P.month_end, P.last_trade_day, P.first_trade_day
 LEDGER = f"({LEDGER_SQL})"
 
 # ----------------------------------------------------------- B19 / J12 dept reallocation
@@ -200,7 +200,7 @@ def special_client_df(spark) -> DataFrame:
     from .ledger import SPECIAL_REBATE_SPEC, exchange_rebate_df
     reb = exchange_rebate_df(spark, SPECIAL_REBATE_SPEC).select("fund_account_id", "busi_date", "market_reduct")
     cash = (spark.table("fund_jour")
-            .filter((F.col("fund_type") == "3") & (F.col("fund_direct") == "1") & F.col("busi_date").between(M0, LT))
+            .filter((F.col("fund_type") == "3") & (F.col("fund_direct") == "1") & F.col("busi_date").between(FT, LT))
             .groupBy("fund_account_id", "busi_date").agg(F.sum("occur_money").alias("occur_money")))
     rules = spark.table("t00153")
     r_dates = rules.select(F.col("client_id").alias("fund_account_id"), "begin_date", "end_date")
@@ -209,7 +209,7 @@ def special_client_df(spark) -> DataFrame:
           .filter(F.col("busi_date").between(F.col("begin_date"), F.col("end_date")))
           .groupBy("busi_date", "fund_account_id")
           .agg(F.sum(F.col("market_reduct") - F.coalesce(F.col("occur_money"), F.lit(0))).alias("market_ret_reduce")))
-    t4 = (spark.table("rpt_06008").filter(F.col("n_busi_date").between(M0, LT))
+    t4 = (spark.table("rpt_06008").filter(F.col("n_busi_date").between(FT, LT))
           .join(r_dates, "fund_account_id")
           .filter(F.col("n_busi_date").between(F.col("begin_date"), F.col("end_date")))
           .groupBy(F.col("n_busi_date").alias("busi_date"), "fund_account_id")
@@ -236,7 +236,7 @@ def _special_sql() -> str:
 FROM (SELECT t.busi_date, t.fund_account_id, sum(t.market_reduct - coalesce(t1.occur_money, 0)) AS market_ret_reduce
       FROM {exchange_rebate_sql(SPECIAL_REBATE_SPEC)} t
       LEFT JOIN (SELECT fund_account_id, busi_date, sum(occur_money) AS occur_money FROM fund_jour
-                 WHERE fund_type = '3' AND fund_direct = '1' AND busi_date BETWEEN '{M0}' AND '{LT}'
+                 WHERE fund_type = '3' AND fund_direct = '1' AND busi_date BETWEEN '{FT}' AND '{LT}'
                  GROUP BY fund_account_id, busi_date) t1
         ON t.busi_date = t1.busi_date AND t.fund_account_id = t1.fund_account_id
       JOIN t00153 a ON t.fund_account_id = a.client_id
@@ -244,7 +244,7 @@ FROM (SELECT t.busi_date, t.fund_account_id, sum(t.market_reduct - coalesce(t1.o
       GROUP BY t.busi_date, t.fund_account_id) t
 LEFT JOIN (SELECT t.n_busi_date AS busi_date, t.fund_account_id, sum(t.remain_transfee) AS remain_transfee
            FROM rpt_06008 t JOIN t00153 a ON t.fund_account_id = a.client_id
-           WHERE t.n_busi_date BETWEEN '{M0}' AND '{LT}' AND t.n_busi_date BETWEEN a.begin_date AND a.end_date
+           WHERE t.n_busi_date BETWEEN '{FT}' AND '{LT}' AND t.n_busi_date BETWEEN a.begin_date AND a.end_date
            GROUP BY t.n_busi_date, t.fund_account_id) t1
   ON t.busi_date = t1.busi_date AND t.fund_account_id = t1.fund_account_id
 JOIN t00153 a ON t.fund_account_id = a.client_id

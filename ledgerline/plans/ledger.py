@@ -27,6 +27,8 @@ from .registry import query
 
 M0, ME, FT, LT = P.month_start, P.month_end, P.first_trade_day, P.last_trade_day
 D0, D1 = P.month_start_dash, P.month_end_dash
+# the month's trading window [first trade day, last trade day up to busi_date]
+FT_DASH, LT_DASH = f"{FT[:4]}-{FT[4:6]}-{FT[6:]}", f"{LT[:4]}-{LT[4:6]}-{LT[6:]}"
 PD0, PD1 = P.prev_month_start_dash, P.prev_month_end_dash
 
 
@@ -182,7 +184,7 @@ def exchange_rebate(spark):
 def cash_daily_df(spark) -> DataFrame:
     """Client cash paid per (account, day): A031 rebate, A032 interest."""
     j = spark.table("fund_jour").filter(
-        (F.col("fund_direct") == "1") & F.col("busi_date").between(M0, LT)
+        (F.col("fund_direct") == "1") & F.col("busi_date").between(FT, LT)
         & F.col("fund_projectid").isin("A031", "A032"))
     return (j.groupBy("fund_account_id", "busi_date")
             .agg(F.sum(F.when(F.col("fund_projectid") == "A031", F.col("occur_money")).otherwise(0))
@@ -194,7 +196,7 @@ def cash_daily_df(spark) -> DataFrame:
 CASH_DAILY_SQL = f"""(SELECT fund_account_id, busi_date,
   sum(CASE WHEN fund_projectid = 'A031' THEN occur_money ELSE 0 END) AS rebate_paid,
   sum(CASE WHEN fund_projectid = 'A032' THEN occur_money ELSE 0 END) AS interest_paid
-FROM fund_jour WHERE fund_direct = '1' AND busi_date BETWEEN '{M0}' AND '{LT}'
+FROM fund_jour WHERE fund_direct = '1' AND busi_date BETWEEN '{FT}' AND '{LT}'
   AND fund_projectid IN ('A031', 'A032')
 GROUP BY fund_account_id, busi_date)"""
 
@@ -715,7 +717,7 @@ TURNOVER_COLS = ["done_money", "done_amount", "secu_fee"]
 
 @block
 def turnover_df(spark) -> DataFrame:
-    h = spark.table("hold_balance").filter(F.col("busi_date").between(M0, LT))
+    h = spark.table("hold_balance").filter(F.col("busi_date").between(FT, LT))
     h = with_oa_branch(h, spark, "branch_id")
     h = lookup_rates(h, rate_dim(spark), "oa_branch_id", "busi_date", {"rate": "1003"})
     return (h.groupBy("fund_account_id")
@@ -729,7 +731,7 @@ TURNOVER_SQL = f"""(SELECT t.fund_account_id, sum(t.done_sum) AS done_money, sum
 FROM hold_balance t JOIN branch_oa_rela x ON t.branch_id = x.ctp_branch_id
 LEFT JOIN rate_param c ON instr(c.branch_id, x.oa_branch_id) > 0 AND c.fee_type = '1003'
      AND t.busi_date BETWEEN c.begin_date AND c.end_date
-WHERE t.busi_date BETWEEN '{M0}' AND '{LT}'
+WHERE t.busi_date BETWEEN '{FT}' AND '{LT}'
 GROUP BY t.fund_account_id)"""
 
 
@@ -833,14 +835,14 @@ def expense_totals(spark):
 def clear_remain_df(spark) -> DataFrame:
     """Net retained fee: per row subsistence - fd - return - coalesce(soft, 0)
     (NULL when any of the first three is NULL), summed per account."""
-    c = spark.table("adm_cust_01").filter(F.col("tx_dt").between(D0, D1))
+    c = spark.table("adm_cust_01").filter(F.col("tx_dt").between(FT_DASH, LT_DASH))
     e = F.col("subsistence_fee_amt") - F.col("fd_amt") - F.col("return_amt") - F.coalesce(F.col("soft_amt"), F.lit(0))
     return c.groupBy(F.col("investor_id").alias("fund_account_id")).agg(F.sum(e).alias("clear_remain_transfee"))
 
 
 CLEAR_SQL = f"""(SELECT investor_id AS fund_account_id,
   sum(subsistence_fee_amt - fd_amt - return_amt - coalesce(soft_amt, 0)) AS clear_remain_transfee
-FROM adm_cust_01 WHERE tx_dt BETWEEN '{D0}' AND '{D1}' GROUP BY investor_id)"""
+FROM adm_cust_01 WHERE tx_dt BETWEEN '{FT_DASH}' AND '{LT_DASH}' GROUP BY investor_id)"""
 
 
 @query("clear_remain_fee", rounded_sql(["clear_remain_transfee"], f"{CLEAR_SQL} c"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import line_dedup, sharding, simhash
+from ledgerline.llm import decontaminate, line_dedup, packing, sharding, simhash
 
 QUERIES = {
     "op2_sharding": sharding.query,
+    "op3_packing": packing.query,
     "op4_line_dedup": line_dedup.query,
+    "op8_decontamination": decontaminate.query,
     "op10_simhash": simhash.query,
 }
 
 ORACLES = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
 }

@@ -248,7 +248,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
     bad = written(matches(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")),
                           items, id_col="key", **params).select("doc_id").distinct(), "contaminated")
     rows = packed(docs).withColumn("key", F.xxhash64(F.col("doc_id"), F.col("row.text")))
-    return rows.join(bad.select(F.col("doc_id").alias("key")), "key", "left_anti").select(*unpacked(docs.columns))
+    return rows.join(bad.select(F.col("doc_id").alias("key")).hint("shuffle_hash"), "key", "left_anti").select(*unpacked(docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -88,10 +88,10 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISO
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-                counts: bool = False) -> DataFrame:
+                counts: bool = False, length_col: str | None = None) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``.
 
-    With ``counts``, the columns ``chunks_removed`` and ``lines_removed`` are
+    ``length_col`` names a column to set to the new length of texts that lost lines.  With ``counts``, the columns ``chunks_removed`` and ``lines_removed`` are
     appended (replacing columns of these names).
     """
     gone = written(repeated_chunks(docs.select("doc_id", "text"), window, divisor, min_lines).groupBy("doc_id", "k")
@@ -108,7 +108,12 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     columns = [c for c in docs.columns if not (counts and c in ("chunks_removed", "lines_removed"))]
     more = [F.when(F.col("cut").isNull(), 0).otherwise(F.size("cut")).alias("chunks_removed"),
             F.expr("coalesce(aggregate(cut, 0, (s, c) -> s + c.n), 0)").alias("lines_removed")] if counts else []
-    return x.select(*unpacked(columns, {"text": text}), *more)
+    replaced = {"text": text}
+    if length_col in docs.columns:
+        same = F.col("row").getField(length_col)
+        replaced[length_col] = F.when(F.col("cut").isNull(), same).otherwise(
+            F.length(text).cast(docs.schema[length_col].dataType))
+    return x.select(*unpacked(columns, replaced), *more)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, line_dedup, packing, sharding, simhash
+from ledgerline.llm import decontaminate, line_dedup, packing, quality, sharding, simhash
 
 QUERIES = {
+    "op1_quality": quality.query,
     "op2_sharding": sharding.query,
     "op3_packing": packing.query,
     "op4_line_dedup": line_dedup.query,

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import components, written
+from ledgerline.llm.common import components, packed, row_key, unpacked, written
 
 SEGMENT = 32
 BLOCK = 1 << 15
@@ -127,25 +127,41 @@ def links(fps: DataFrame, max_bits: int = 2, pair_limit: int = 64) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 42, pair_limit: int = 64,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp, component_id``: one row per input row, component_id the smallest reachable id."""
+    """``doc_id, fp, root, component_id``: one row per input row.
+
+    ``component_id`` is the smallest reachable id, ``root`` the component's smallest fingerprint.
+    """
     fp = written(fingerprints(docs, shingle, seed, id_col, text_col), "simhash-fp")
     classes = written(fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     comp = components(links(classes.select("fp"), max_bits, pair_limit), "simhash-components")
     rooted = classes.join(comp, classes.fp == comp.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return fp.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return fp.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component (other columns kept).
+    """One row of every component: the smallest id, then the smallest row key; all columns pass unchanged.
 
-    Rows with a null id are kept when their component has no id at all.
+    Null ids are chosen only where the component has no other.  Of rows with
+    the chosen id and text, one stays.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), **params)
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    rows = packed(docs).withColumn("key", F.struct("doc_id", F.xxhash64(F.col("doc_id"), F.col("row.text")).alias("k")))
+    found = near_duplicates(docs.select(F.struct("doc_id", row_key().alias("k")).alias("key"), "text"),
+                            id_col="key", **params)
+    order = F.struct(F.col("doc_id.doc_id").isNull(), F.col("doc_id.doc_id"), F.col("doc_id.k"))
+    kept = found.groupBy("root").agg(F.min_by("doc_id", order).alias("pick"), F.min(order).alias("first"))
+    counts = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = written(kept.join(counts, F.expr("pick <=> doc_id")).select("pick", "n"), "simhash-kept").alias("k")
+    same = F.expr("d.key.doc_id <=> k.pick.doc_id and d.key.k = k.pick.k")
+    once = rows.alias("d").join(kept.where("n = 1").hint("shuffle_hash"), same, "left_semi").select(*unpacked(docs.columns))
+    repeated = kept.where("n > 1").select("pick").alias("k")
+    if repeated.isEmpty():
+        return once
+    again = rows.alias("d").join(repeated, same, "left_semi").groupBy("key").agg(
+        F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select(*unpacked(docs.columns))
+    return once.unionAll(again)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

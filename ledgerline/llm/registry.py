@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, line_dedup, packing, quality, sharding, simhash
+from ledgerline.llm import decontaminate, line_dedup, mtree, packing, quality, sharding, simhash
 
 QUERIES = {
     "op1_quality": quality.query,
     "op2_sharding": sharding.query,
     "op3_packing": packing.query,
     "op4_line_dedup": line_dedup.query,
+    "op6_mtree": mtree.query,
     "op8_decontamination": decontaminate.query,
     "op10_simhash": simhash.query,
 }
 
 ORACLES = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op6_mtree": mtree.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
 }

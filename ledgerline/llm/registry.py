@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, line_dedup, mtree, packing, quality, sharding, simhash
+from ledgerline.llm import decontaminate, line_dedup, lm, mtree, packing, quality, sharding, simhash
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.query,
     "op6_mtree": mtree.query,
     "op8_decontamination": decontaminate.query,
+    "op9_language_model": lm.query,
     "op10_simhash": simhash.query,
 }
 

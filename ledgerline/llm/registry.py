@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, line_dedup, lm, mtree, packing, quality, sharding, simhash
+from ledgerline.llm import decontaminate, line_dedup, lm, mtree, packing, quality, repeats, sharding, simhash
 
 QUERIES = {
     "op1_quality": quality.query,
     "op2_sharding": sharding.query,
     "op3_packing": packing.query,
     "op4_line_dedup": line_dedup.query,
+    "op5_repeats": repeats.query,
     "op6_mtree": mtree.query,
     "op8_decontamination": decontaminate.query,
     "op9_language_model": lm.query,

@@ -55,7 +55,11 @@ def chunk_bounds(hashes: Column, window: int = WINDOW, divisor: int = DIVISOR) -
 
 
 def chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
-    """``doc_id, k, first, n, hash`` of every chunk of at least ``min_lines`` lines."""
+    """``doc_id, k, first, n, hash`` of every chunk of at least ``min_lines`` lines.
+
+    The outer form of ``inline`` keeps the optimizer from inferring a filter on
+    its input, which would compute the chunks a second time, once a line.
+    """
     x = docs.where("text is not null and text <> ''").select("doc_id", row_key().alias("k"), "text")
     x = x.select("doc_id", "k", F.transform(F.split("text", "\n", -1), line_hash).alias("h"))
     x = x.select("doc_id", "k", "h", chunk_bounds(F.col("h"), window, divisor).alias("ends"))
@@ -65,7 +69,7 @@ def chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_li
         f"filter(zip_with(before, ends, (a, b) -> struct(a + 1 as first, b - a as n)), p -> p.n >= {min_lines})").alias("parts"))
     return x.select("doc_id", "k", F.expr(
         "transform(parts, p -> struct(p.first as first, p.n as n, xxhash64(slice(h, p.first, p.n)) as hash))")
-        .alias("parts")).select("doc_id", "k", F.inline("parts"))
+        .alias("parts")).select("doc_id", "k", F.inline_outer("parts")).where("n is not null")
 
 
 def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR,
@@ -79,9 +83,10 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISO
     same = F.expr("t.doc_id <=> l.doc_id and t.k = l.k")
     x = texts.join(lists.alias("l").hint("shuffle_hash"), same).select("t.doc_id", "t.k", "text", "parts")
     x = x.select("doc_id", "k", F.split("text", "\n", -1).alias("lines"), "parts")
-    x = written(x.select("doc_id", "k", F.inline(F.expr(
+    # two uses of `lines` in the function keep the optimizer from moving the split into it (once a chunk)
+    x = written(x.select("doc_id", "k", F.inline_outer(F.expr(
         "transform(parts, p -> struct(p.first as first, p.n as n, p.hash as hash, "
-        "array_join(slice(lines, p.first, p.n), '\n') as bytes))"))), "line-candidates")
+        "array_join(slice(lines, p.first, least(p.n, size(lines))), '\n') as bytes))"))), "line-candidates")
     heads = x.groupBy("hash", "bytes").agg(F.min(F.struct("doc_id", "k", "first")).alias("head"))
     later = x.join(heads, ["hash", "bytes"]).where("not (struct(doc_id, k, first) <=> head)")
     return later.select("doc_id", "k", "first", "n").distinct()

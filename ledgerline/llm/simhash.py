@@ -108,7 +108,7 @@ def links(fps: DataFrame, max_bits: int = 2, pair_limit: int = 64) -> DataFrame:
     if max_bits != 2:
         raise ValueError("two segments with one deleted bit find distances of at most 2 bits")
     counts = written(index_keys(fps).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-shared")
-    shared = written(index_keys(fps).join(counts, "key"), "simhash-near")
+    shared = written(index_keys(fps).join(counts.hint("merge"), "key"), "simhash-near")
     near = shared.where(f"n <= {pair_limit}")
     a, b = near.alias("a"), near.alias("b")
     order = F.expr("(a.bit = 0 and b.bit = 1) or (a.bit is null and b.bit is null and a.fp < b.fp)")

@@ -1,7 +1,7 @@
 """Business-calendar operators as DataFrame joins against the ``calendar`` view.
 
 The calendar is a bounded dimension (one row per natural day, ~366 per
-year), so it is broadcast; every operator here is a per-row or per-group
+year), below Spark's broadcast threshold; every operator here is a per-row or per-group
 lookup that runs inside the fact's own partitions with no shuffle.
 """
 
@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dims import sized_broadcast
-
-MAX_CAL_ROWS = 400_000  # > 1000 years of days: far above any real calendar
 
 
 def with_trade_ordinal(cal: DataFrame) -> DataFrame:
@@ -35,11 +32,9 @@ def nth_trading_day(df: DataFrame, cal: DataFrame, date_col: str, n, out: str =
     """
     n = F.lit(n) if isinstance(n, int) else (F.col(n) if isinstance(n, str) else n)
     c = with_trade_ordinal(cal)
-    ords = sized_broadcast(c.select(F.col("busi_date").alias("__d"), F.col("trade_ord").alias("__ord")),
-                           MAX_CAL_ROWS)
-    trade = sized_broadcast(c.filter(F.col("trade_flag") == "1")
-                            .select(F.col("trade_ord").alias("__tord"), F.col("busi_date").alias(out)),
-                            MAX_CAL_ROWS)
+    ords = c.select(F.col("busi_date").alias("__d"), F.col("trade_ord").alias("__ord"))
+    trade = (c.filter(F.col("trade_flag") == "1")
+             .select(F.col("trade_ord").alias("__tord"), F.col("busi_date").alias(out)))
     x = df.join(ords, F.col(date_col) == F.col("__d"), "left")
     x = x.withColumn("__target", F.when(F.col("__ord") > 0, F.col("__ord") + n))
     return x.join(trade, F.col("__target") == F.col("__tord"), "left").drop("__d", "__ord", "__target", "__tord")
@@ -47,7 +42,7 @@ def nth_trading_day(df: DataFrame, cal: DataFrame, date_col: str, n, out: str =
 
 def calendar_attrs(df: DataFrame, cal: DataFrame, date_col: str) -> DataFrame:
     """Attach ``trade_flag`` and ``nature_date`` (last trading day on or before)."""
-    c = sized_broadcast(cal.select(F.col("busi_date").alias("__d"), "trade_flag", "nature_date"), MAX_CAL_ROWS)
+    c = cal.select(F.col("busi_date").alias("__d"), "trade_flag", "nature_date")
     return df.join(c, F.col(date_col) == F.col("__d"), "left").drop("__d")
 
 
@@ -58,22 +53,12 @@ def period_bounds(cal: DataFrame, begin_date=None, end_date=None, begin_month=No
     Any mix of date range, month range, year, month and trading-only; an
     empty period gives ``(NULL, NULL, 0)``.
     """
-    c = cal
     d = F.col("busi_date")
-    if year:
-        c = c.filter(d.startswith(year))
-    if month:
-        c = c.filter(d.startswith(month))
-    if begin_date:
-        c = c.filter(d >= begin_date)
-    if end_date:
-        c = c.filter(d <= end_date)
-    if begin_month:
-        c = c.filter(F.substring(d, 1, 6) >= begin_month)
-    if end_month:
-        c = c.filter(F.substring(d, 1, 6) <= end_month)
-    if trading:
-        c = c.filter(F.col("trade_flag") == "1")
+    # every bound is a range of days: yyyymmdd strings order like dates
+    lows = [x for x in (begin_date, begin_month, year, month) if x]
+    highs = [x + "99999999"[len(x):] for x in (end_date, end_month, year, month) if x]
+    inside = d.between(max(lows, default=""), min(highs, default="99999999"))
+    c = cal.filter(inside & (F.col("trade_flag") == "1") if trading else inside)
     return c.agg(F.min(d).alias("begin_date"), F.max(d).alias("end_date"), F.count(d).alias("total_days"))
 
 

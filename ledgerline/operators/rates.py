@@ -1,25 +1,24 @@
-"""Effective-dated rate lookup and tax split.
+"""Effective-dated rate lookup, run-date rates and tax split.
 
 Rates live in a parameter table ``(fee_type, branch_id, begin_date,
 end_date, para_value)`` whose ``branch_id`` is a text list of OA branches,
-matched by substring containment.  Instead of a theta join of every fact
-row against the rate table (a nested-loop join), the rate table is first
-resolved against the OA branch dimension - both bounded parameter tables -
-into ``(oa_branch_id, fee_type, begin_date, end_date, para_value)``.  Facts
-then meet it through an equi-join on ``(oa_branch_id, fee_type)`` with the
-date range as residual, which Spark runs as a broadcast hash join.  Two
-matching periods still fan a row out, as the containment join would.
+matched by substring containment.  The rate table is first resolved against
+the OA branch dimension (both are parameter tables) into one row per OA
+branch and period.  Facts meet it through an equi-join on the OA branch with
+the date range as residual condition, one join per fee type.  It holds for any
+date and fee type; two matching periods fan a row out, and a rate row with a
+NULL value is a match, as in the containment join.
+
+No broadcast hints: Spark broadcasts the rate side below its own threshold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dims import sized_broadcast
-
 
 def expand_rates(rates: DataFrame, oa_ids: DataFrame, match: str = "substring") -> DataFrame:
     """Resolve the branch text list of each rate row to OA branch ids.
@@ -36,7 +35,7 @@ def expand_rates(rates: DataFrame, oa_ids: DataFrame, match: str = "substring")
     else:
         cond = F.instr(F.col("r.branch_id"), F.col("i.oa_branch_id")) > 0
     # both sides are small parameter tables; this is the only non-equi join
-    return (r.join(F.broadcast(ids.alias("i")), cond, "inner")
+    return (r.join(ids.alias("i"), cond, "inner")
             .select("i.oa_branch_id", "r.fee_type", "r.begin_date", "r.end_date",
                     "r.para_value"))
 
@@ -44,7 +43,7 @@ def expand_rates(rates: DataFrame, oa_ids: DataFrame, match: str = "substring")
 def rate_dim(spark, match: str = "substring") -> DataFrame:
     """Expanded rate dimension from the registered ``rate_param`` and OA map."""
     oa = spark.table("branch_oa_rela").select("oa_branch_id")
-    return sized_broadcast(expand_rates(spark.table("rate_param"), oa, match))
+    return expand_rates(spark.table("rate_param"), oa, match)
 
 
 def lookup_rate(facts: DataFrame, rdim: DataFrame, oa_col: str, date_col: str,
@@ -61,63 +60,36 @@ def lookup_rate(facts: DataFrame, rdim: DataFrame, oa_col: str, date_col: str,
                  F.col("para_value").alias(out)))
     cond = ((F.col(oa_col) == F.col(f"__oa_{out}"))
             & F.col(date_col).between(F.col(f"__b_{out}"), F.col(f"__e_{out}")))
-    return facts.join(F.broadcast(r), cond, how).drop(f"__oa_{out}", f"__b_{out}", f"__e_{out}")
+    return facts.join(r, cond, how).drop(f"__oa_{out}", f"__b_{out}", f"__e_{out}")
 
 
 def lookup_rates(facts: DataFrame, rdim: DataFrame, oa_col: str, date_col: str,
-                 fee_types: dict[str, str], how: str = "left") -> DataFrame:
-    """Attach several fee types.
-
-    When the rate table has at most one valid period per (OA branch, day,
-    fee type) - checked once per session - all fee types come from the
-    day-level rate table in one broadcast equi-join on (OA branch, day).
-    Otherwise each fee type is a separate range join, which keeps the
-    fan-out of overlapping periods.
-    """
-    spark = facts.sparkSession
-    day = rate_day_table(spark, rdim)
-    if day is None:
-        for out, ft in fee_types.items():
-            facts = lookup_rate(facts, rdim, oa_col, date_col, ft, out, how)
-        return facts
-    r = day.select(F.col("oa_branch_id").alias("__oa"), F.col("busi_date").alias("__day"),
-                   *[F.col(f"r_{ft}").alias(out) for out, ft in fee_types.items()])
-    j = facts.join(F.broadcast(r), (F.col(oa_col) == F.col("__oa")) & (F.col(date_col) == F.col("__day")), "left")
-    if how == "inner":
-        j = j.filter(" AND ".join(f"`{out}` IS NOT NULL" for out in fee_types))
-    return j.drop("__oa", "__day")
-
-
-FEE_TYPES = ["1001", "1002", "1003", "1004", "1005", "1006"]
-_day_tables: dict[tuple, DataFrame | None] = {}
-
-
-def rate_day_table(spark, rdim: DataFrame) -> DataFrame | None:
-    """Rates by (OA branch, calendar day) with one column per fee type.
-
-    Built from two bounded parameter tables (rate periods x calendar days),
-    written once per session under the shared checkpoint folder and
-    broadcast.  Returns None when some (branch, day, fee type) has more than
-    one valid period, in which case callers fall back to range joins.
+                 fee_types: Mapping[str, str], how: str = "left") -> DataFrame:
+    """Attach several fee types (``fee_types``: output column -> fee type)."""
+    for out, ft in fee_types.items():
+        facts = lookup_rate(facts, rdim, oa_col, date_col, ft, out, how)
+    return facts
+
+
+def run_date_rates(facts: DataFrame, rates: DataFrame, run_date: str, fee_types: Mapping[str, str],
+                   oa_col: str | None = None) -> DataFrame:
+    """Attach the rates valid at the run date, inner: without a rate there are no rows.
+
+    By default a rate holds for every row, whatever its branch, and two valid
+    rates of a fee type give two rows.  With ``oa_col`` a rate's branch list
+    must contain the row's OA branch.
     """
-    from ..session import scratch_path
-    from ..sources.tables import loaded_dir
-    key = (id(spark), loaded_dir(spark))
-    if key in _day_tables:
-        return _day_tables[key]
-    cal = spark.table("calendar").select("busi_date")
-    x = rdim.join(F.broadcast(cal), F.col("busi_date").between(F.col("begin_date"), F.col("end_date")))
-    dup = x.groupBy("oa_branch_id", "busi_date", "fee_type").count().filter("count > 1").limit(1).count()
-    if dup:
-        _day_tables[key] = None
-        return None
-    wide = x.groupBy("oa_branch_id", "busi_date").pivot("fee_type", FEE_TYPES).agg(F.first("para_value"))
-    wide = wide.select("oa_branch_id", "busi_date", *[F.col(ft).alias(f"r_{ft}") for ft in FEE_TYPES])
-    import uuid
-    path = scratch_path(spark, f"rate_day/{uuid.uuid4().hex[:12]}")
-    wide.write.mode("overwrite").parquet(path)
-    _day_tables[key] = spark.read.parquet(path)
-    return _day_tables[key]
+    valid = rates.filter((F.col("begin_date") <= run_date) & (F.col("end_date") >= run_date))
+    for out, ft in fee_types.items():
+        r = valid.filter(F.col("fee_type") == ft).select(
+            F.col("fee_type").alias(f"__ft_{out}"), F.col("para_value").alias(out),
+            *([F.col("branch_id").alias(f"__list_{out}")] if oa_col else []))
+        x = facts.withColumn("__ft", F.lit(ft))
+        cond = F.col("__ft") == F.col(f"__ft_{out}")
+        if oa_col:
+            cond = cond & (F.instr(F.col(f"__list_{out}"), F.nullif(F.col(oa_col), F.lit(""))) > 0)
+        facts = x.join(r, cond).drop("__ft", f"__ft_{out}", f"__list_{out}")
+    return facts
 
 
 def tax_split(amount: Column, vat: Column, surtax: Column | None = None,
@@ -135,4 +107,4 @@ def with_oa_branch(facts: DataFrame, spark, branch_col: str, how: str = "inner")
     """Map a CTP branch column to its OA branch (``oa_branch_id``)."""
     m = spark.table("branch_oa_rela").select(
         F.col("ctp_branch_id").alias("__ctp"), "oa_branch_id", "oa_branch_name")
-    return facts.join(F.broadcast(m), F.col(branch_col) == F.col("__ctp"), how).drop("__ctp")
+    return facts.join(m, F.col(branch_col) == F.col("__ctp"), how).drop("__ctp")

@@ -71,9 +71,12 @@ def RELA(x: str) -> str:
             f"WHEN 2 THEN '002' WHEN 3 THEN '003' ELSE '009' END")
 
 
-# Business calendar span (a bounded dimension: one row per natural day).
-CAL_START = "1995-01-01"
-CAL_END = "2001-12-31"
+# Business calendar span: from two months before the first date of the dated
+# tables to the end of the month after the last one, one row per natural day.
+_FIRST = ("least((SELECT min(cast(o_orderdate as date)) FROM orders), "
+          "(SELECT min(cast(l_shipdate as date)) FROM lineitem))")
+_LAST = ("greatest((SELECT max(cast(o_orderdate as date)) FROM orders), "
+         "(SELECT max(cast(l_shipdate as date)) FROM lineitem))")
 
 # Exchange rebate columns (fixed values: the sixteen exchange fee columns of
 # the rebate source table, in source order).
@@ -126,14 +129,17 @@ CALENDAR_SPARK = f"""
 SELECT replace(cast(cal_date as string), '-', '') AS busi_date, cal_date,
        CASE WHEN weekday(cal_date) < 5 THEN '1' ELSE '0' END AS trade_flag,
        '1' AS market_no
-FROM (SELECT explode(sequence(DATE '{CAL_START}', DATE '{CAL_END}', INTERVAL 1 DAY)) AS cal_date) s
+FROM (SELECT explode(sequence(add_months(trunc(lo, 'MM'), -2), last_day(add_months(hi, 1)), INTERVAL 1 DAY)) AS cal_date
+      FROM (SELECT {_FIRST} AS lo, {_LAST} AS hi) b) s
 """
 
 CALENDAR_DUCK = f"""
 SELECT replace(cast(cal_date as string), '-', '') AS busi_date, cal_date,
        CASE WHEN isodow(cal_date) <= 5 THEN '1' ELSE '0' END AS trade_flag,
        '1' AS market_no
-FROM (SELECT cast(unnest(generate_series(DATE '{CAL_START}', DATE '{CAL_END}', INTERVAL 1 DAY)) as date) AS cal_date) s
+FROM (SELECT cast(unnest(generate_series(date_trunc('month', lo) - INTERVAL 2 MONTH,
+                                         last_day(cast(hi + INTERVAL 1 MONTH as date)), INTERVAL 1 DAY)) as date) AS cal_date
+      FROM (SELECT {_FIRST} AS lo, {_LAST} AS hi) b) s
 """
 
 # The calendar with nature date = last trading day on or before each day.
@@ -304,7 +310,7 @@ UNION ALL
 SELECT {ACCT('c_custkey')} AS fund_account_id, '19970615' AS begin_date, '19970625' AS end_date,
        cast(0.05 as double) AS fund_rate, cast(0.05 as double) AS rights_rate, cast(0.05 as double) AS done_rate,
        {OA('(c_nationkey + 2) % 5')} AS out_oa_branch_id, concat('Out ', cast((c_nationkey + 2) % 5 as string)) AS out_oa_branch_name,
-       {OA('(c_nationkey + 3) % 5')} AS in_oa_branch_id, concat('In ', cast((c_nationkey + 3) % 5 as string)) AS in_oa_branch_name
+       {OA('(c_nationkey + 4) % 5')} AS in_oa_branch_id, concat('In ', cast((c_nationkey + 4) % 5 as string)) AS in_oa_branch_name
 FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_custkey % 3 = 0""",
     "t00122": f"""
 SELECT '199706' AS busi_month, {ACCT('o.o_custkey')} AS client_id, cu.c_name AS client_name,
@@ -435,6 +441,17 @@ SELECT fee_type, branch_id, begin_date, end_date, cast(para_value as double) AS
   ('1006', 'O0,O1,O2', '19950101', '19970614', 0.12),
   ('1006', 'O0,O1,O2', '19970615', '20011231', 0.07),
   ('1006', 'O3', '19950101', '20011231', 0.1)
+) AS t(fee_type, branch_id, begin_date, end_date, para_value)""",
+    # company-wide rates of the posting jobs: no branch; 1005 has two rows
+    # valid at once, 1006 an expired one
+    "run_rate": """
+SELECT fee_type, branch_id, begin_date, end_date, cast(para_value as double) AS para_value FROM (VALUES
+  ('1002', 'O0,O1,O2,O3,O4', '19950101', '20011231', 0.06),
+  ('1004', 'O0,O1,O2,O3,O4', '19950101', '20011231', 0.09),
+  ('1005', 'O0,O1,O2', '19950101', '20011231', 0.072),
+  ('1005', 'O3,O4', '19970601', '20011231', 0.0672),
+  ('1006', 'O0,O1,O2,O3,O4', '19950101', '19970614', 0.12),
+  ('1006', 'O0,O1,O2,O3,O4', '19970615', '20011231', 0.07)
 ) AS t(fee_type, branch_id, begin_date, end_date, para_value)""",
     "acount_func_rela": """
 SELECT func_id, func_name, traceability_dept_id, traceability_dept, account_code, account_name FROM (VALUES

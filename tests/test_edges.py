@@ -68,8 +68,15 @@ def test_reconcile_tolerance(spark):
 def test_scoped_replace(spark):
     t = spark.createDataFrame([("05", "A", 1.0), ("06", "A", 2.0), ("06", "B", 3.0)], "m string, p string, v double")
     n = spark.createDataFrame([("06", "A", 9.0)], "m string, p string, v double")
-    got = sorted(tuple(r) for r in scoped_replace(t, n, ["m", "p"]).collect())
+    scope = spark.createDataFrame([("06", "A")], "m string, p string")
+    got = sorted(tuple(r) for r in scoped_replace(t, n, scope).collect())
     assert got == [("05", "A", 1.0), ("06", "A", 9.0), ("06", "B", 3.0)]
+    # a re-run without rows clears its scope; NULL keys are scopes like any other
+    got = sorted(tuple(r) for r in scoped_replace(t, n.limit(0), scope).collect())
+    assert got == [("05", "A", 1.0), ("06", "B", 3.0)]
+    nulls = t.unionByName(spark.createDataFrame([("06", None, 4.0)], "m string, p string, v double"))
+    got = [tuple(r) for r in scoped_replace(nulls, n.limit(0), nulls.filter("p is null").select("m", "p")).collect()]
+    assert sorted(got) == [("05", "A", 1.0), ("06", "A", 2.0), ("06", "B", 3.0)]
 
 
 def test_closed_account_rule(spark):
@@ -87,10 +94,80 @@ def test_row_number_hot_group(spark):
     from ledgerline.operators.ranking import row_number_by
     rows = [("hot", i) for i in range(3000)] + [(f"g{i % 7}", i) for i in range(500)]
     df = spark.createDataFrame(rows, "g string, k int")
-    got = row_number_by(df, ["g"], ["k"], "rn", partitions=16)
+    got = row_number_by(df, ["g"], ["k"], "rn", spread=True, partitions=16)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     # the hot group really is spread over several range partitions
     spread = (df.repartitionByRange(16, "g", "k").withColumn("p", F.spark_partition_id())
               .filter("g = 'hot'").select("p").distinct().count())
     assert spread > 4
+
+
+def test_row_number_keeps_null_groups(spark):
+    from ledgerline.operators.ranking import row_number_by
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 1)], "g string, k int")
+    want = [("a", 1, 1), (None, 1, 1), (None, 2, 2)]
+    for spread in (False, True):
+        got = row_number_by(df, ["g"], ["k"], "rn", spread=spread).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+_RATES = "fee_type string, branch_id string, begin_date string, end_date string, para_value double"
+
+
+def test_rate_lookup_any_date_fee_and_overlap(spark):
+    from ledgerline.operators.rates import lookup_rates
+    rates = spark.createDataFrame([("1004", "O1", "20000101", "20301231", 0.06), ("1007", "O1", "20000101", "20301231", 0.5),
+                                   ("1005", "O1", "20000101", "20301231", None), ("1002", "O1", "20000101", "20301231", 0.1),
+                                   ("1002", "O1", "20150101", "20151231", 0.2)], _RATES)
+    dim = expand_rates(rates, spark.createDataFrame([("O1",), ("O2",)], "oa string"))
+    facts = spark.createDataFrame([("O1", "20150601"), ("O2", "20150601"), ("O1", "19990101")], "oa string, d string")
+    got = lookup_rates(facts, dim, "oa", "d", {"vat": "1004", "other": "1007"}).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("O1", "20150601", 0.06, 0.5), ("O2", "20150601", None, None),
+                                                       ("O1", "19990101", None, None)], key=str)
+    assert lookup_rates(facts, dim, "oa", "d", {"nil": "1005"}, how="inner").collect()[0].nil is None
+    assert sorted(r.risk for r in lookup_rates(facts, dim, "oa", "d", {"risk": "1002"}, how="inner").collect()) == [0.1, 0.2]
+    second = expand_rates(rates.withColumn("para_value", F.lit(0.99)), spark.createDataFrame([("O1",)], "oa string"))
+    assert lookup_rates(facts, second, "oa", "d", {"vat": "1004"}, how="inner").collect()[0].vat == 0.99
+
+
+def test_run_date_rates_split_and_branch(spark):
+    from ledgerline.operators.rates import run_date_rates
+    rates = spark.createDataFrame([("1004", "O1,O2", "20000101", "20001231", 0.1), ("1004", "O3", "20000101", "20001231", 0.2),
+                                   ("1004", "O1", "19990101", "19991231", 0.9)], _RATES)
+    facts = spark.createDataFrame([("O1", 1), ("O3", 2), ("", 3)], "oa string, k int")
+    plain = run_date_rates(facts, rates, "20000615", {"vat": "1004"}).collect()
+    assert sorted((r.k, r.vat) for r in plain) == [(k, v) for k in (1, 2, 3) for v in (0.1, 0.2)]
+    by_branch = run_date_rates(facts, rates, "20000615", {"vat": "1004"}, oa_col="oa").collect()
+    assert sorted((r.k, r.vat) for r in by_branch) == [(1, 0.1), (2, 0.2)]
+    assert run_date_rates(facts, rates, "20000615", {"vat": "1004", "no": "1009"}).count() == 0
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from ledgerline import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_calendar_covers_the_data(spark):
+    from ledgerline.sources import tables
+    sf = "/root/testdata/sf0.01"
+    tables.load(spark, sf, stage=False)
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    want = orders.agg(F.sum("o_totalprice")).first()[0]
+    got = spark.table("client_sett").agg(F.sum("rights")).first()[0]
+    assert abs(want - got) < 0.01 * orders.count()

@@ -9,7 +9,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .. import functions as fn
 from ..operators.ranking import row_number_by
-from ..operators.rates import lookup_rates, rate_dim, with_oa_branch
+from ..operators.rates import lookup_rates, rate_dim, run_date_rates, with_oa_branch
 from ..operators.schema import align_to_schema
 from ..params import P
 from ..sources.dictionary import code_map
@@ -282,40 +282,19 @@ def rate_lookup_asof(spark):
     return t.select("fund_account_id", "busi_date", "oa_branch_id", "vat", "surtax", "risk")
 
 
-RUN_RATES_SQL = f"""
-SELECT o.client_id, o.total_income, x.oa_branch_id, b.para_value AS risk, c.para_value AS vat,
-       d.para_value AS surtax
+@query("rate_as_of_run_date", f"""
+SELECT o.client_id, o.total_income, o.branch_id, b.para_value AS risk, c.para_value AS vat, e.para_value AS surtax
 FROM t00207 o
-JOIN branch_oa_rela x ON o.branch_id = x.ctp_branch_id
-JOIN rate_param b ON b.fee_type = '1002' AND instr(b.branch_id, x.oa_branch_id) > 0
-     AND '{P.busi_date}' BETWEEN b.begin_date AND b.end_date
-JOIN rate_param c ON c.fee_type = '1004' AND instr(c.branch_id, x.oa_branch_id) > 0
-     AND '{P.busi_date}' BETWEEN c.begin_date AND c.end_date
-JOIN rate_param d ON d.fee_type = '1006' AND instr(d.branch_id, x.oa_branch_id) > 0
-     AND '{P.busi_date}' BETWEEN d.begin_date AND d.end_date
-WHERE o.add_date BETWEEN '{M0}' AND '{M1}'"""
-
-
-def run_date_rates(facts, spark, branch_col: str = "branch_id", busi_date: str = P.busi_date,
-                   fee_types=None):
-    """Attach rates valid at the run date, inner: a row without a rate is dropped.
-
-    Rates are matched on the row's OA branch (an equi-join on a broadcast
-    dimension), so every row meets at most one valid period per fee type.
-    """
-    fee_types = fee_types or {"risk": "1002", "vat": "1004", "surtax": "1006"}
-    t = with_oa_branch(facts, spark, branch_col).withColumn("__run", F.lit(busi_date))
-    t = lookup_rates(t, rate_dim(spark), "oa_branch_id", "__run", fee_types, how="inner")
-    return t.drop("__run")
-
-
-@query("rate_as_of_run_date", RUN_RATES_SQL)
+CROSS JOIN run_rate b CROSS JOIN run_rate c CROSS JOIN run_rate e
+WHERE o.add_date BETWEEN '{M0}' AND '{M1}'
+  AND b.fee_type = '1002' AND b.begin_date <= '{P.busi_date}' AND b.end_date >= '{P.busi_date}'
+  AND c.fee_type = '1004' AND c.begin_date <= '{P.busi_date}' AND c.end_date >= '{P.busi_date}'
+  AND e.fee_type = '1005' AND e.begin_date <= '{P.busi_date}' AND e.end_date >= '{P.busi_date}'""")
 def rate_as_of_run_date(spark):
-    """Rates valid at the run date, inner (absent rate -> no rows)."""
+    """Rates valid at the run date, inner and without a branch; two valid rates (1005) make two rows."""
     o = (spark.table("t00207").filter(F.col("add_date").between(M0, M1))
          .select("client_id", "total_income", "branch_id"))
-    return run_date_rates(o, spark).select("client_id", "total_income", "oa_branch_id",
-                                           "risk", "vat", "surtax")
+    return run_date_rates(o, spark.table("run_rate"), P.busi_date, {"risk": "1002", "vat": "1004", "surtax": "1005"})
 
 
 @query("cross_join_account_map", f"""
@@ -376,7 +355,7 @@ def join_left_null_rejecting(spark):
     """Left join then a null-rejecting filter == inner join (written inner)."""
     r = spark.table("crm_broker_investor_rela")
     o = spark.table("t00110")
-    return r.join(F.broadcast(o), "broker_id").select("broker_id", "investor_id", "broker_branch_id",
+    return r.join(o, "broker_id").select("broker_id", "investor_id", "broker_branch_id",
                                                        "broker_branch_name")
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .. import functions as fn
-from ..operators.posting import post_to_accounts, post_to_accounts_sql
 from ..operators.reconcile import reconcile
 from ..operators.sink import read_table, scoped_replace, write_table
 from ..params import P
@@ -109,7 +108,9 @@ def scoped_replace_q(spark):
     stale.unionByName(office).write.mode("overwrite").parquet(v1)
     target = spark.read.parquet(v1)
     v2 = _fresh(spark, "adjust_v2")
-    scoped_replace(target, dept.unionByName(collab), ["month_id", "adjust_proj_id"]) \
+    runs = spark.table("proj_index_rela").where("adjust_proj_id in ('A01', 'A03')") \
+        .select(F.lit(P.month_id).alias("month_id"), "adjust_proj_id").distinct()
+    scoped_replace(target, dept.unionByName(collab), runs) \
         .write.mode("overwrite").parquet(v2)
     return spark.read.parquet(v2)
 
@@ -172,7 +173,7 @@ def reconcile_numeric_sums(spark):
 
 # Ordered jobs of a month run: (output table, builder, tables it reads).
 MONTH_JOBS = [
-    ("client_revenue", lambda s: ledger.client_revenue_ledger(s), ["warehouse"]),
+    ("client_revenue", lambda s: ledger.ledger_table(s), ["warehouse"]),
     ("t_00123", lambda s: jobs.consulting_kernel_split(s), ["t00122", "t00122_1"]),
     ("t_00128_data", lambda s: jobs.insurance_fund_base(s), ["client_revenue"]),
     ("t_00114_data", lambda s: jobs.dept_reallocation(s), ["rpt_06008", "t00114"]),
@@ -193,15 +194,7 @@ def run_month(spark) -> dict[str, DataFrame]:
     for name, build, _reads in MONTH_JOBS:
         out[name] = written(spark, f"month_{name}", lambda b=build: b(spark))
     for key, src in POSTING_INPUT.items():
-        facts = out[src]
-        if key == "post_otc":
-            x = spark.table("branch_oa_rela").select(F.col("ctp_branch_id").alias("branch_id"), "oa_branch_id")
-            facts = facts.join(F.broadcast(x), "branch_id")
-        if key == "post_special":
-            facts = facts.filter(F.col("month_id") == P.month_id)
-        cfg = posting_jobs.POSTINGS[key]
-        out[key] = written(spark, f"month_{key}",
-                           lambda f=facts, c=cfg: post_to_accounts(f, spark, **posting_jobs.COMMON, **c))
+        out[key] = written(spark, f"month_{key}", lambda k=key, s=src: posting_jobs.post(spark, k, out[s]))
     return out
 
 
@@ -214,14 +207,9 @@ def _pipeline_sql() -> str:
     """Postings read the *written* job tables, i.e. the job queries' output."""
     from .registry import REGISTRY
     parts = []
-    for k, c in posting_jobs.POSTINGS.items():
+    for k, sql in posting_jobs.POST_SQL.items():
         src = f"({REGISTRY[PIPELINE_JOB_KEYS[POSTING_INPUT[k]]][1]})"
-        if k == "post_otc":
-            src = f"(SELECT o.*, x.oa_branch_id FROM {src} o JOIN branch_oa_rela x ON o.branch_id = x.ctp_branch_id)"
-        if k == "post_special":
-            src = f"(SELECT * FROM {src} s WHERE month_id = '{P.month_id}')"
-        parts.append(f"SELECT func_id, account_code, allocated_money FROM "
-                     f"({post_to_accounts_sql(src, **posting_jobs.COMMON, **c)}) p")
+        parts.append(f"SELECT func_id, account_code, allocated_money FROM ({sql(src)}) p")
     return f"""SELECT func_id, account_code, {rnd('sum(allocated_money)')} AS posted_money, count(*) AS n_rows
 FROM ({' UNION ALL '.join(parts)}) x GROUP BY func_id, account_code"""
 

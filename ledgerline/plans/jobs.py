@@ -278,13 +278,13 @@ def ib_collab_df(spark) -> DataFrame:
                     F.col("oa_broker_id").alias("broker_id"), F.col("oa_broker_name").alias("broker_name"),
                     F.col("branch_id").alias("ctp_branch_id"), F.col("branch_name").alias("ctp_branch_name"),
                     F.col("yes_rights").alias("begin_rights"), "end_rights", "avg_rights", "remain_transfee",
-                    (F.coalesce("zd_broker_rebate", F.lit(0)) + F.coalesce("zd_broker_eret", F.lit(0)))
+                    (F.coalesce("ib_rebate", F.lit(0)) + F.coalesce("ib_ret", F.lit(0)))
                     .alias("ibxt_income"),
-                    fn.safe_divide("zd_broker_interest", "coope_income_reate").alias("interest_clear_income"),
-                    fn.safe_divide("zd_broker_eret", "coope_income_reate").alias("market_reduct_income"),
+                    fn.safe_divide("ib_interest", "coope_income_reate").alias("interest_clear_income"),
+                    fn.safe_divide("ib_ret", "coope_income_reate").alias("market_reduct_income"),
                     F.col("coope_income_reate").alias("ibxt_income_reate"),
-                    F.col("zd_broker_interest").alias("ibxt_interest_clear_income"),
-                    F.col("zd_broker_eret").alias("ibxt_market_reduct_income"))
+                    F.col("ib_interest").alias("ibxt_interest_clear_income"),
+                    F.col("ib_ret").alias("ibxt_market_reduct_income"))
 
 
 def _safe(x):
@@ -294,11 +294,11 @@ def _safe(x):
 IB_COLLAB_SQL = f"""(SELECT t.month_id, a.ib_branch_id, a.ib_branch_name, t.fund_account_id, t.client_name,
   t.oa_broker_id AS broker_id, t.oa_broker_name AS broker_name, t.branch_id AS ctp_branch_id,
   t.branch_name AS ctp_branch_name, t.yes_rights AS begin_rights, t.end_rights, t.avg_rights, t.remain_transfee,
-  coalesce(t.zd_broker_rebate, 0) + coalesce(t.zd_broker_eret, 0) AS ibxt_income,
-  t.zd_broker_interest / {_safe('a.coope_income_reate')} AS interest_clear_income,
-  t.zd_broker_eret / {_safe('a.coope_income_reate')} AS market_reduct_income,
-  a.coope_income_reate AS ibxt_income_reate, t.zd_broker_interest AS ibxt_interest_clear_income,
-  t.zd_broker_eret AS ibxt_market_reduct_income
+  coalesce(t.ib_rebate, 0) + coalesce(t.ib_ret, 0) AS ibxt_income,
+  t.ib_interest / {_safe('a.coope_income_reate')} AS interest_clear_income,
+  t.ib_ret / {_safe('a.coope_income_reate')} AS market_reduct_income,
+  a.coope_income_reate AS ibxt_income_reate, t.ib_interest AS ibxt_interest_clear_income,
+  t.ib_ret AS ibxt_market_reduct_income
 FROM {LEDGER} t JOIN t00107 a ON t.oa_broker_name = a.futu_service_name AND t.fund_account_id = a.fund_account_id
 WHERE t.month_id = '{P.month_id}')"""
 IB_COLLAB_VALS = ["begin_rights", "end_rights", "avg_rights", "remain_transfee", "ibxt_income",
@@ -328,12 +328,12 @@ def ib_office_df(spark) -> DataFrame:
     b = spark.table("t00110")
     j = (t.join(a, (t.oa_broker_id == a.a_broker_id) & (t.fund_account_id == a.a_investor_id)
                 & (t.rela_type == a.a_rela_type))
-         .join(F.broadcast(b), t.oa_broker_id == b.broker_id))
+         .join(b, t.oa_broker_id == b.broker_id))
     share = F.coalesce(F.col("data_pct"), F.lit(1.0))
     brand = F.when(F.substring("branch_name", 1, 4) == "SWHY", F.lit(0.45)).otherwise(F.lit(1.0))
-    interest = F.coalesce("net_interest_reduce", F.lit(0)) - F.coalesce("broker_interest", F.lit(0))
-    rebate = F.coalesce("market_ret_reduce", F.lit(0)) - F.coalesce("broker_eret", F.lit(0))
-    fee = F.coalesce("clear_remain_transfee", F.lit(0)) - F.coalesce("broker_rebate", F.lit(0))
+    interest = F.coalesce("net_interest_reduce", F.lit(0)) - F.coalesce("csperson_interest", F.lit(0))
+    rebate = F.coalesce("market_ret_reduce", F.lit(0)) - F.coalesce("csperson_ret", F.lit(0))
+    fee = F.coalesce("clear_remain_transfee", F.lit(0)) - F.coalesce("csperson_rebate", F.lit(0))
     return j.select(F.lit(P.month_id).alias("month_id"), F.lit("").alias("ib_branch_id"),
                     F.lit("").alias("ib_branch_name"), "fund_account_id", "client_name",
                     F.col("oa_broker_id").alias("broker_id"), F.col("oa_broker_name").alias("broker_name"),
@@ -352,9 +352,9 @@ def ib_office_df(spark) -> DataFrame:
 def _ib_office_sql() -> str:
     share = "coalesce(a.data_pct, 1.0)"
     brand = "CASE WHEN substr(t.branch_name, 1, 4) = 'SWHY' THEN 0.45 ELSE 1.0 END"
-    i = "(coalesce(t.net_interest_reduce, 0) - coalesce(t.broker_interest, 0))"
-    r = "(coalesce(t.market_ret_reduce, 0) - coalesce(t.broker_eret, 0))"
-    f = "(coalesce(t.clear_remain_transfee, 0) - coalesce(t.broker_rebate, 0))"
+    i = "(coalesce(t.net_interest_reduce, 0) - coalesce(t.csperson_interest, 0))"
+    r = "(coalesce(t.market_ret_reduce, 0) - coalesce(t.csperson_ret, 0))"
+    f = "(coalesce(t.clear_remain_transfee, 0) - coalesce(t.csperson_rebate, 0))"
     return f"""(SELECT '{P.month_id}' AS month_id, '' AS ib_branch_id, '' AS ib_branch_name, t.fund_account_id,
   t.client_name, t.oa_broker_id AS broker_id, t.oa_broker_name AS broker_name, b.broker_branch_id AS oa_branch_id,
   b.broker_branch_name AS oa_branch_name, t.branch_id AS ctp_branch_id, t.yes_rights AS begin_rights, t.end_rights,

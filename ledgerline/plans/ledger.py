@@ -476,9 +476,19 @@ def net_interest(spark):
 
 # ----------------------------------------------------------- B10 broker measures
 
-BROKER_BASES = ["broker_rebate", "broker_eret", "broker_interest", "zd_broker_rebate", "zd_broker_eret",
-                "zd_broker_interest", "staff_rebate", "staff_eret", "staff_interest", "other_pay"]
-BROKER_COLS = [f"{b}{s}" for b in BROKER_BASES for s in ("", "_after_tax", "_add_tax", "_risk_fund")]
+BROKER_BASES = ["csperson_rebate", "csperson_ret", "csperson_interest", "ib_rebate", "ib_ret",
+                "ib_interest", "staff_remain_comm", "staff_ret", "staff_interest", "other_pay"]
+TAX_SUFFIXES = ("", "_after_tax", "_add_tax", "_risk_fund")
+
+
+def tax_col(base: str, suffix: str) -> str:
+    """Column of a base's tax variant; the target's own spelling differs for one base."""
+    if base == "csperson_rebate" and suffix in ("_add_tax", "_risk_fund"):
+        base = "csperson_remain"
+    return base + suffix
+
+
+BROKER_COLS = [tax_col(b, s) for b in BROKER_BASES for s in TAX_SUFFIXES]
 BROKER_TAX = {"vat": "1004", "surtax": "1006", "risk": "1002"}
 BROKER_KEYS = ("oa_broker_id", "rela_type", "fund_account_id")
 
@@ -501,13 +511,13 @@ def broker_measures_df(spark) -> DataFrame:
     x = lookup_rates(x, rate_dim(spark), "oa_branch_id", "__d", BROKER_TAX)
     zd = F.col("a2.staff_id").like("ZD%")
     bases = {
-        "broker_rebate": F.col("a.broker_amt"), "broker_eret": F.col("a.broker_eret_amt"),
-        "broker_interest": F.col("a.broker_int_amt"),
-        "zd_broker_rebate": F.when(zd, F.col("a.broker_amt")).otherwise(0),
-        "zd_broker_eret": F.when(zd, F.col("a.broker_eret_amt")).otherwise(0),
-        "zd_broker_interest": F.when(zd, F.col("a.broker_int_amt")).otherwise(0),
-        "staff_rebate": F.coalesce(F.col("a2.ib_amt"), F.col("a.staff_amt")),
-        "staff_eret": F.col("a.staff_eret_amt"),
+        "csperson_rebate": F.col("a.broker_amt"), "csperson_ret": F.col("a.broker_eret_amt"),
+        "csperson_interest": F.col("a.broker_int_amt"),
+        "ib_rebate": F.when(zd, F.col("a.broker_amt")).otherwise(0),
+        "ib_ret": F.when(zd, F.col("a.broker_eret_amt")).otherwise(0),
+        "ib_interest": F.when(zd, F.col("a.broker_int_amt")).otherwise(0),
+        "staff_remain_comm": F.coalesce(F.col("a2.ib_amt"), F.col("a.staff_amt")),
+        "staff_ret": F.col("a.staff_eret_amt"),
         "staff_interest": F.coalesce(F.col("a2.staff_int_amt"), F.col("a.staff_int_amt")),
         "other_pay": F.col("a.i_oth_amt"),
     }
@@ -515,9 +525,9 @@ def broker_measures_df(spark) -> DataFrame:
     for name, amt in bases.items():
         vat, sur, risk = (F.coalesce(F.col(c), F.lit(0)) for c in ("vat", "surtax", "risk"))
         aggs += [fn.money(F.sum(amt)).alias(name),
-                 fn.money(F.sum(amt / (1 + vat))).alias(f"{name}_after_tax"),
-                 fn.money(F.sum(amt * sur)).alias(f"{name}_add_tax"),
-                 fn.money(F.sum(amt * risk)).alias(f"{name}_risk_fund")]
+                 fn.money(F.sum(amt / (1 + vat))).alias(tax_col(name, "_after_tax")),
+                 fn.money(F.sum(amt * sur)).alias(tax_col(name, "_add_tax")),
+                 fn.money(F.sum(amt * risk)).alias(tax_col(name, "_risk_fund"))]
     return (x.groupBy(F.coalesce(F.col("a2.staff_id"), F.lit("-")).alias("oa_broker_id"),
                       fn.relation_label(F.col("a2.srela_typ")).alias("rela_type"),
                       F.col("a.investor_id").alias("fund_account_id"))
@@ -527,19 +537,19 @@ def broker_measures_df(spark) -> DataFrame:
 def _broker_sql() -> str:
     zd = "a2.staff_id LIKE 'ZD%'"
     bases = {
-        "broker_rebate": "a.broker_amt", "broker_eret": "a.broker_eret_amt", "broker_interest": "a.broker_int_amt",
-        "zd_broker_rebate": f"CASE WHEN {zd} THEN a.broker_amt ELSE 0 END",
-        "zd_broker_eret": f"CASE WHEN {zd} THEN a.broker_eret_amt ELSE 0 END",
-        "zd_broker_interest": f"CASE WHEN {zd} THEN a.broker_int_amt ELSE 0 END",
-        "staff_rebate": "coalesce(a2.ib_amt, a.staff_amt)", "staff_eret": "a.staff_eret_amt",
+        "csperson_rebate": "a.broker_amt", "csperson_ret": "a.broker_eret_amt", "csperson_interest": "a.broker_int_amt",
+        "ib_rebate": f"CASE WHEN {zd} THEN a.broker_amt ELSE 0 END",
+        "ib_ret": f"CASE WHEN {zd} THEN a.broker_eret_amt ELSE 0 END",
+        "ib_interest": f"CASE WHEN {zd} THEN a.broker_int_amt ELSE 0 END",
+        "staff_remain_comm": "coalesce(a2.ib_amt, a.staff_amt)", "staff_ret": "a.staff_eret_amt",
         "staff_interest": "coalesce(a2.staff_int_amt, a.staff_int_amt)", "other_pay": "a.i_oth_amt",
     }
     aggs = []
     for n, e in bases.items():
         aggs += [f"{_cr(rnd(f'sum({e})'))} AS {n}",
-                 f"{_cr(rnd(f'sum(({e}) / (1 + coalesce(r_vat.para_value, 0)))'))} AS {n}_after_tax",
-                 f"{_cr(rnd(f'sum(({e}) * coalesce(r_surtax.para_value, 0))'))} AS {n}_add_tax",
-                 f"{_cr(rnd(f'sum(({e}) * coalesce(r_risk.para_value, 0))'))} AS {n}_risk_fund"]
+                 f"{_cr(rnd(f'sum(({e}) / (1 + coalesce(r_vat.para_value, 0)))'))} AS {tax_col(n, '_after_tax')}",
+                 f"{_cr(rnd(f'sum(({e}) * coalesce(r_surtax.para_value, 0))'))} AS {tax_col(n, '_add_tax')}",
+                 f"{_cr(rnd(f'sum(({e}) * coalesce(r_risk.para_value, 0))'))} AS {tax_col(n, '_risk_fund')}"]
     d = "replace(a.date_dt, '-', '')"
     joins = "\n".join(
         f"LEFT JOIN rate_param r_{k} ON instr(r_{k}.branch_id, x.oa_branch_id) > 0 AND r_{k}.fee_type = '{ft}' "
@@ -787,40 +797,39 @@ def income_totals(spark):
 
 # ----------------------------------------------------------- B15 expense totals
 
-EXPENSE_COLS = [f"{g}_total{s}" for g in ("broker", "ib", "staff") for s in ("", "_after_tax", "_add_tax", "_risk_fund")]
-_EXP_PARTS = {"broker": ["broker_rebate", "broker_eret", "broker_interest"],
-              "ib": ["zd_broker_rebate", "zd_broker_eret", "zd_broker_interest"],
-              "staff": ["staff_rebate", "staff_eret", "staff_interest", "other_pay"]}
+_GROUPS = {"total_csper_expend": ["csperson_rebate", "csperson_ret", "csperson_interest"],
+           "total_ib_expend": ["ib_rebate", "ib_ret", "ib_interest"],
+           "total_staff_expend": ["staff_remain_comm", "staff_ret", "staff_interest", "other_pay"]}
+#: the 52 expense columns in the order of the target
+EXPENSE_COLS = [c for total, parts in _GROUPS.items()
+                for c in [tax_col(b, s) for b in parts for s in TAX_SUFFIXES] + [total + s for s in TAX_SUFFIXES]]
 
 
 @block
 def expense_totals_df(spark) -> DataFrame:
-    b = broker_measures_df(spark)
-    cols = []
-    for g, parts in _EXP_PARTS.items():
-        for s in ("", "_after_tax", "_add_tax", "_risk_fund"):
-            e = None
-            for p_ in parts:
-                e = F.col(p_ + s) if e is None else e + F.col(p_ + s)
-            cols.append(e.alias(f"{g}_total{s}"))
-    return b.select(*BROKER_KEYS, *cols)
-
-
-def broker_block_df(spark) -> DataFrame:
-    """Broker base measures and expense totals joined onto the ledger."""
-    b = broker_measures_df(spark)
-    e = expense_totals_df(spark)
-    return b.select(*BROKER_KEYS, *BROKER_BASES).join(e, list(BROKER_KEYS))
-
-
-EXPENSE_SQL = "(SELECT oa_broker_id, rela_type, fund_account_id, " + ", ".join(
-    f"{' + '.join(p_ + s for p_ in parts)} AS {g}_total{s}"
-    for g, parts in _EXP_PARTS.items() for s in ("", "_after_tax", "_add_tax", "_risk_fund")) + f" FROM {BROKER_SQL} b)"
-_TOTAL_EXPRS = ", ".join(
-    f"{' + '.join(p_ + s for p_ in parts)} AS {g}_total{s}"
-    for g, parts in _EXP_PARTS.items() for s in ("", "_after_tax", "_add_tax", "_risk_fund"))
-BROKER_BLOCK_SQL = (f"(SELECT oa_broker_id, rela_type, fund_account_id, {', '.join(BROKER_BASES)}, "
-                    f"{_TOTAL_EXPRS} FROM {BROKER_SQL} b)")
+    """Every base measure with its tax variants and the three roll-ups: one projection of B10."""
+    totals = [sum((F.col(tax_col(b, s)) for b in parts[1:]), F.col(tax_col(parts[0], s))).alias(total + s)
+              for total, parts in _GROUPS.items() for s in TAX_SUFFIXES]
+    return broker_measures_df(spark).select("*", *totals).select(*BROKER_KEYS, *EXPENSE_COLS)
+
+
+EXPENSE_SQL = f"""(SELECT b.*,
+  csperson_rebate + csperson_ret + csperson_interest AS total_csper_expend,
+  csperson_rebate_after_tax + csperson_ret_after_tax + csperson_interest_after_tax AS total_csper_expend_after_tax,
+  csperson_remain_add_tax + csperson_ret_add_tax + csperson_interest_add_tax AS total_csper_expend_add_tax,
+  csperson_remain_risk_fund + csperson_ret_risk_fund + csperson_interest_risk_fund AS total_csper_expend_risk_fund,
+  ib_rebate + ib_ret + ib_interest AS total_ib_expend,
+  ib_rebate_after_tax + ib_ret_after_tax + ib_interest_after_tax AS total_ib_expend_after_tax,
+  ib_rebate_add_tax + ib_ret_add_tax + ib_interest_add_tax AS total_ib_expend_add_tax,
+  ib_rebate_risk_fund + ib_ret_risk_fund + ib_interest_risk_fund AS total_ib_expend_risk_fund,
+  staff_remain_comm + staff_ret + staff_interest + other_pay AS total_staff_expend,
+  staff_remain_comm_after_tax + staff_ret_after_tax + staff_interest_after_tax + other_pay_after_tax
+    AS total_staff_expend_after_tax,
+  staff_remain_comm_add_tax + staff_ret_add_tax + staff_interest_add_tax + other_pay_add_tax
+    AS total_staff_expend_add_tax,
+  staff_remain_comm_risk_fund + staff_ret_risk_fund + staff_interest_risk_fund + other_pay_risk_fund
+    AS total_staff_expend_risk_fund
+FROM {BROKER_SQL} b)"""
 
 
 @query("expense_totals", rounded_sql(EXPENSE_COLS, f"{EXPENSE_SQL} e", keys=BROKER_KEYS))
@@ -855,23 +864,14 @@ def clear_remain_fee(spark):
 
 ACCOUNT_COLS = (BALANCE_COLS + TURNOVER_COLS + IV_COLS + NET_REBATE_COLS + ["avg_open_pre_nature", "accrued_interest"]
                 + NET_INTEREST_COLS + INCOME_COLS + ["clear_remain_transfee"])
-BLOCK_COLS = BROKER_BASES + EXPENSE_COLS
 LEDGER_DIGITS = {"secu_fee": 4, "other_income_risk_fund": 0}
-LEDGER_COLS = SPINE_COLS + ACCOUNT_COLS + BLOCK_COLS + ["net_contribution"]
-
-
-def account_blocks(spark) -> list[DataFrame]:
-    """Account-grain measure blocks, each aggregated by ``fund_account_id``."""
-    return [period_balances_df(spark), turnover_df(spark),
-            investor_value_df(spark).select("fund_account_id", *IV_COLS), net_rebate_df(spark),
-            interest_totals_df(spark).select("fund_account_id", "avg_open_pre_nature", "accrued_interest"),
-            net_interest_df(spark), income_totals_df(spark), clear_remain_df(spark)]
+LEDGER_COLS = SPINE_COLS + ACCOUNT_COLS + EXPENSE_COLS + ["net_contribution"]
 
 
 def net_contribution_col():
     z = [F.coalesce(F.col(c), F.lit(0.0)) for c in
          ("total_income", "other_income", "transfee_reward_soft", "secu_fee", "totla_client_ret",
-          "broker_total", "ib_total", "staff_total")]
+          "total_csper_expend", "total_ib_expend", "total_staff_expend")]
     return z[0] + z[1] - z[2] - z[3] - z[4] - z[5] - z[6] - z[7]
 
 
@@ -904,26 +904,22 @@ def client_revenue_ledger_df(spark) -> DataFrame:
     w = write_all([("spine", ledger_spine_df(spark)), ("balances", period_balances_df(spark)),
                    ("turnover", turnover_df(spark)), ("value", investor_value_df(spark)),
                    ("rebate", net_rebate_df(spark)), ("interest", interest_totals_df(spark)),
-                   ("clear", clear_remain_df(spark)), ("broker", broker_block_df(spark))])
+                   ("clear", clear_remain_df(spark)), ("broker", expense_totals_df(spark))])
     # levels 2 and 3 read the written blocks
     w.update(write_all([("net_interest", net_interest_of(spark, w["interest"], w["value"]))]))
     w.update(write_all([("income", income_totals_of(spark, w["value"], w["rebate"], w["net_interest"]))]))
     blocks = [w["balances"], w["turnover"], w["value"].select("fund_account_id", *IV_COLS), w["rebate"],
               w["interest"].select("fund_account_id", "avg_open_pre_nature", "accrued_interest"),
               w["net_interest"], w["income"], w["clear"]]
-    # blocks are rounded once per account (not once per relationship row)
-    frames = [w["spine"]] + [rounded(b, LEDGER_DIGITS) for b in blocks] + [rounded(w["broker"])]
-    j = frames[0]
-    for b in frames[1:-1]:
+    j = w["spine"]
+    for b in blocks:
         j = j.join(b, "fund_account_id", "left")
-    j = j.join(frames[-1], list(BROKER_KEYS), "left")
-    filled = [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ACCOUNT_COLS + BLOCK_COLS]
-    j = j.select(*SPINE_COLS, *filled)
-    return j.withColumn("net_contribution", fn.money(net_contribution_col(), 2))
+    j = j.join(w["broker"], list(BROKER_KEYS), "left")
+    # a row without a block keeps NULL; only the net contribution is null-safe
+    return j.select(*SPINE_COLS, *ACCOUNT_COLS, *EXPENSE_COLS, net_contribution_col().alias("net_contribution"))
 
 
 def _ledger_sql() -> str:
-    ex = ", ".join(f"coalesce(e.{c}, 0.0) AS {c}" for c in BLOCK_COLS)
     blocks = [("b", BALANCES_SQL, BALANCE_COLS), ("t", TURNOVER_SQL, TURNOVER_COLS),
               ("v", INVESTOR_VALUE_SQL, IV_COLS), ("r", NET_REBATE_SQL, NET_REBATE_COLS),
               ("it", INTEREST_TOTALS_SQL, ["avg_open_pre_nature", "accrued_interest"]),
@@ -931,40 +927,40 @@ def _ledger_sql() -> str:
               ("c", CLEAR_SQL, ["clear_remain_transfee"])]
     joins = "\n".join(f"LEFT JOIN {sql} {al} ON s.fund_account_id = {al}.fund_account_id"
                       for al, sql, _ in blocks)
-    acc = ", ".join(f"coalesce({al}.{c}, 0.0) AS {c}" for al, _, cols in blocks for c in cols)
-    nc = ("total_income + other_income - transfee_reward_soft - secu_fee - totla_client_ret"
-          " - broker_total - ib_total - staff_total")
-    inner = f"""(SELECT {', '.join('s.' + c for c in SPINE_COLS)}, {acc}, {ex}
+    acc = ", ".join(f"{al}.{c}" for al, _, cols in blocks for c in cols)
+    return f"""SELECT l.*, coalesce(total_income, 0) + coalesce(other_income, 0) - coalesce(transfee_reward_soft, 0)
+    - coalesce(secu_fee, 0) - coalesce(totla_client_ret, 0) - coalesce(total_csper_expend, 0)
+    - coalesce(total_ib_expend, 0) - coalesce(total_staff_expend, 0) AS net_contribution
+FROM (SELECT {', '.join('s.' + c for c in SPINE_COLS)}, {acc}, {', '.join('e.' + c for c in EXPENSE_COLS)}
 FROM {SPINE_SQL} s
 {joins}
-LEFT JOIN {BROKER_BLOCK_SQL} e ON s.oa_broker_id = e.oa_broker_id AND s.rela_type = e.rela_type
-  AND s.fund_account_id = e.fund_account_id)"""
-    outs = [f"{rnd(c, LEDGER_DIGITS.get(c, 2))} AS {c}" for c in ACCOUNT_COLS + BLOCK_COLS]
-    return f"""SELECT r.*, {rnd(nc)} AS net_contribution
-FROM (SELECT {', '.join(SPINE_COLS)}, {', '.join(outs)} FROM {inner} l) r"""
+LEFT JOIN {EXPENSE_SQL} e ON s.oa_broker_id = e.oa_broker_id AND s.rela_type = e.rela_type
+  AND s.fund_account_id = e.fund_account_id) l"""
 
 
 LEDGER_SQL = _ledger_sql()
+_LEDGER_VALUES = ACCOUNT_COLS + EXPENSE_COLS + ["net_contribution"]
 
 
-@query("client_revenue_ledger", LEDGER_SQL)
+@query("client_revenue_ledger", rounded_sql(_LEDGER_VALUES, f"({LEDGER_SQL}) l", LEDGER_DIGITS, keys=tuple(SPINE_COLS)))
 def client_revenue_ledger(spark):
-    """B18 (flagship): the monthly client revenue ledger."""
-    return client_revenue_ledger_df(spark)
+    """B18 (flagship): the monthly client revenue ledger, rounded for comparison."""
+    return rounded(client_revenue_ledger_df(spark), LEDGER_DIGITS)
 
 
 def ledger_table(spark) -> DataFrame:
     """The ledger as the written table downstream jobs read (staged once)."""
     from ..sources.tables import written
-    return written(spark, "client_revenue", lambda: client_revenue_ledger(spark))
+    return written(spark, "client_revenue", lambda: client_revenue_ledger_df(spark))
 
 
 @query("net_contribution", f"""
-SELECT oa_broker_id, rela_type, fund_account_id, is_main, net_contribution FROM ({LEDGER_SQL}) l""")
+SELECT oa_broker_id, rela_type, fund_account_id, is_main, {rnd('net_contribution')} AS net_contribution
+FROM ({LEDGER_SQL}) l""")
 def net_contribution(spark):
-    """Net contribution per ledger row (NULL-safe arithmetic)."""
-    return client_revenue_ledger(spark).select("oa_broker_id", "rela_type", "fund_account_id", "is_main",
-                                               "net_contribution")
+    """Net contribution per ledger row (NULL-safe arithmetic), from the written ledger."""
+    return ledger_table(spark).select("oa_broker_id", "rela_type", "fund_account_id", "is_main",
+                                      fn.money("net_contribution").alias("net_contribution"))
 
 
 # ----------------------------------------------------------- B2 tax split

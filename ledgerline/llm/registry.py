@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, line_dedup, lm, mtree, packing, quality, repeats, sharding, simhash
+from ledgerline.llm import decontaminate, line_dedup, lm, mtree, packing, quality, repeats, sharding, simhash, url_filter
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.query,
     "op5_repeats": repeats.query,
     "op6_mtree": mtree.query,
+    "op7_url_filter": url_filter.query,
     "op8_decontamination": decontaminate.query,
     "op9_language_model": lm.query,
     "op10_simhash": simhash.query,
@@ -19,5 +20,6 @@ QUERIES = {
 ORACLES = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op6_mtree": mtree.ORACLE,
+    "op7_url_filter": url_filter.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
 }

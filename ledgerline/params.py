@@ -8,6 +8,7 @@ the driver - no Spark job is needed to derive a handful of literals.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 from dataclasses import dataclass
 
 
@@ -79,6 +80,7 @@ class RunParams:
         )
 
 
-# The business month modelled by the adapter views.
-BUSI_DATE = "19970630"
+# The run's business date: the month the adapter views model, or the date in
+# LEDGERLINE_BUSI_DATE (yyyymmdd).  One process runs one date, as one run of the jobs does.
+BUSI_DATE = os.environ.get("LEDGERLINE_BUSI_DATE", "19970630")
 P = RunParams.of(BUSI_DATE)

@@ -350,13 +350,14 @@ def join_decoded_key(spark):
 
 @query("join_left_null_rejecting", """
 SELECT r.broker_id, r.investor_id, o.broker_branch_id, o.broker_branch_name
-FROM crm_broker_investor_rela r JOIN t00110 o ON r.broker_id = o.broker_id""")
+FROM crm_broker_investor_rela r LEFT JOIN t00110 o ON r.broker_id = o.broker_id
+WHERE o.broker_branch_id <> 'O9'""")
 def join_left_null_rejecting(spark):
-    """Left join then a null-rejecting filter == inner join (written inner)."""
+    """Left join followed by a filter that rejects the unmatched rows (Catalyst makes it inner)."""
     r = spark.table("crm_broker_investor_rela")
     o = spark.table("t00110")
-    return r.join(o, "broker_id").select("broker_id", "investor_id", "broker_branch_id",
-                                                       "broker_branch_name")
+    return (r.join(o, "broker_id", "left").filter(F.col("broker_branch_id") != "O9")
+            .select("broker_id", "investor_id", "broker_branch_id", "broker_branch_name"))
 
 
 @query("natural_day_expand", f"""

@@ -8,6 +8,7 @@ return the table read back, so the check sees what was actually written.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from ..operators.reconcile import reconcile
 from ..operators.sink import read_table, scoped_replace, write_table
 from ..params import P
 from ..session import scratch_path
-from ..sources.tables import written
 from . import jobs, ledger, metric_jobs, posting_jobs
 from .ledger import rnd
 from .registry import query
@@ -115,112 +115,208 @@ def scoped_replace_q(spark):
     return spark.read.parquet(v2)
 
 
-# ----------------------------------------------------------- S4 / B31 reconciliation
+# ----------------------------------------------------------- B32 month run
 
-RECON_PAIRS = [
-    # (pair, left columns source, right block, left predicate, right predicate, columns)
-    ("ledger_vs_balances", "is_main = 1", "end_rights IS NOT NULL",
-     ["yes_rights", "end_rights", "avg_rights", "total_profit", "transfee", "market_transfee"]),
-    ("ledger_vs_turnover", "is_main = 1", "done_money >= 0", ["done_money", "done_amount", "secu_fee"]),
-    ("ledger_vs_investor_value", "is_main = 1", "remain_transfee IS NOT NULL",
-     ["remain_transfee", "other_income", "transfee_reward_soft"]),
-]
+ADJUST_STEPS = ("t_00301", "t_00302", "t_00303", "t_00304", "t_00306")
 
 
-def _right_block(spark, pair: str) -> DataFrame:
-    """Second source: the block written as its own table and read back from parquet."""
-    build = {"ledger_vs_balances": ledger.period_balances,
-             "ledger_vs_turnover": ledger.turnover_fee,
-             "ledger_vs_investor_value": ledger.investor_month_value}[pair]
-    return written(spark, f"recon_{pair}", lambda: build(spark))
+class Job:
+    """A step of the month run: its output table, the run's tables it reads, and how to build it from them."""
 
+    def __init__(self, name: str, build, reads: tuple[str, ...] = (), scopes=None):
+        self.name, self.build, self.reads, self.scopes = name, build, reads, scopes
 
-def _recon_sql() -> str:
-    """The ledger is computed once (materialized CTE); one sum scan per side."""
-    from .registry import REGISTRY
-    right = {"ledger_vs_balances": "period_balances", "ledger_vs_turnover": "turnover_fee",
-             "ledger_vs_investor_value": "investor_month_value"}
-    ctes = [f"led AS MATERIALIZED ({ledger.LEDGER_SQL})"]
-    parts = []
-    for i, (pair, lp, rp, cols) in enumerate(RECON_PAIRS):
-        sums = ", ".join(f"coalesce(sum({c}), 0.0) AS {c}" for c in cols)
-        ctes.append(f"l{i} AS (SELECT {sums} FROM led WHERE {lp})")
-        ctes.append(f"r{i} AS (SELECT {sums} FROM ({REGISTRY[right[pair]][1]}) r WHERE {rp})")
-        for c in cols:
-            parts.append(f"SELECT '{pair}' AS pair, '{c}' AS column_name, l.{c} AS l_sum, r.{c} AS r_sum "
-                         f"FROM l{i} l, r{i} r")
-    body = "\nUNION ALL\n".join(parts)
-    return f"""WITH {', '.join(ctes)}
-SELECT pair, column_name, {rnd('l_sum')} AS left_sum, {rnd('r_sum')} AS right_sum,
-  {rnd('l_sum - r_sum')} AS diff, abs(l_sum - r_sum) >= 0.1 AS mismatch
-FROM ({body}) x"""
 
+def _projects(spark, where: str) -> DataFrame:
+    return spark.table("proj_index_rela").where(where).select(F.lit(P.month_id).alias("month_id"), "adjust_proj_id").distinct()
 
-@query("reconcile_numeric_sums", _recon_sql())
-def reconcile_numeric_sums(spark):
-    """B31 (+ S4): per table pair, numeric column sums of both sides with a
-    textual predicate each, NULL as 0, difference flagged at >= 0.1."""
-    left = ledger.ledger_table(spark)
-    out = None
-    for pair, lp, rp, cols in RECON_PAIRS:
-        r = reconcile(left, _right_block(spark, pair), pair, lp, rp, cols)
-        out = r if out is None else out.unionByName(r)
-    return out.select("pair", "column_name", fn.money("left_sum").alias("left_sum"),
-                      fn.money("right_sum").alias("right_sum"), fn.money("diff").alias("diff"), "mismatch")
 
+def _posting(name: str, key: str, source: str) -> Job:
+    return Job(name, lambda s, t: posting_jobs.post(s, key, t[source]), (source,))
 
-# ----------------------------------------------------------- B32 month pipeline
 
-# Ordered jobs of a month run: (output table, builder, tables it reads).
+#: All 22 jobs in order.  The reallocation job covers every trading day of the month.
 MONTH_JOBS = [
-    ("client_revenue", lambda s: ledger.ledger_table(s), ["warehouse"]),
-    ("t_00123", lambda s: jobs.consulting_kernel_split(s), ["t00122", "t00122_1"]),
-    ("t_00128_data", lambda s: jobs.insurance_fund_base(s), ["client_revenue"]),
-    ("t_00114_data", lambda s: jobs.dept_reallocation(s), ["rpt_06008", "t00114"]),
-    ("t_00156", lambda s: jobs.special_client_revenue(s), ["exchange_retfee2", "fund_jour", "t00153"]),
-    ("t_00208", lambda s: jobs.otc_month_copy(s), ["t00207"]),
-    ("t_00125", lambda s: jobs.ib_collab_income(s), ["client_revenue", "t00107"]),
-    ("t_00140", lambda s: jobs.ib_office_income(s), ["client_revenue", "t00110"]),
+    Job("client_revenue", lambda s, t: ledger.client_revenue_ledger_df(s)),
+    Job("t_00123", lambda s, t: jobs.consulting_kernel_df(s)),
+    Job("t_00124", lambda s, t: jobs.consulting_bonus_df(s)),
+    _posting("t_00166", "post_consulting", "t_00123"),
+    Job("t_00128_data", lambda s, t: jobs.insurance_base_of(s, t["client_revenue"]), ("client_revenue",)),
+    _posting("t_00165", "post_insurance", "t_00128_data"),
+    Job("t_00114_data", lambda s, t: jobs.dept_reallocation_df(s)),
+    _posting("t_00300", "post_dept", "t_00114_data"),
+    Job("t_00156", lambda s, t: jobs.special_client_df(s)),
+    _posting("t_00164", "post_special", "t_00156"),
+    Job("t_00208", lambda s, t: jobs.otc_month_df(s)),
+    _posting("t_00161", "post_otc", "t_00208"),
+    Job("t_00125", lambda s, t: jobs.ib_collab_of(s, t["client_revenue"]), ("client_revenue",)),
+    _posting("t_00158", "post_ib_collab", "t_00125"),
+    Job("t_00140", lambda s, t: jobs.ib_office_of(s, t["client_revenue"]), ("client_revenue",)),
+    _posting("t_00160", "post_ib_office", "t_00140"),
+    Job("t_00305", lambda s, t: metric_jobs.other_product_df(s)),
+    # the adjustment jobs share one table and replace their (month, project) rows in it
+    Job("t_00301", lambda s, t: metric_jobs.adjust_dept_of(s, t["t_00114_data"]), ("t_00114_data",),
+        lambda s: _projects(s, "adjust_proj_id = 'A01'")),
+    Job("t_00302", lambda s, t: metric_jobs.adjust_ib_office_of(s, t["t_00140"]), ("t_00140",),
+        lambda s: _projects(s, "adjust_proj_id = 'A02'")),
+    Job("t_00303", lambda s, t: metric_jobs.adjust_ib_collab_of(s, t["t_00125"]), ("t_00125",),
+        lambda s: _projects(s, "adjust_proj_id = 'A03'")),
+    Job("t_00304", lambda s, t: metric_jobs.asset_product_adjust(s), (),
+        lambda s: _projects(s, f"substring(adjust_proj_id, 1, 20) = '{metric_jobs.ASSET_PREFIX}'")),
+    Job("t_00306", lambda s, t: metric_jobs.passthrough_of(s, t["t_00305"]), ("t_00305",),
+        lambda s: s.table("t00308").select("month_id", "adjust_proj_id").where(F.col("month_id") == P.month_id).distinct()),
 ]
-POSTING_INPUT = {"post_ib_collab": "t_00125", "post_ib_office": "t_00140", "post_otc": "t_00208",
-                 "post_special": "t_00156", "post_insurance": "t_00128_data", "post_consulting": "t_00123",
-                 "post_dept": "t_00114_data"}
-
-
-def run_month(spark) -> dict[str, DataFrame]:
-    """Run the month in dependency order; every step's output is written
-    under the shared checkpoint folder and read back by the next steps."""
-    out: dict[str, DataFrame] = {}
-    for name, build, _reads in MONTH_JOBS:
-        out[name] = written(spark, f"month_{name}", lambda b=build: b(spark))
-    for key, src in POSTING_INPUT.items():
-        out[key] = written(spark, f"month_{key}", lambda k=key, s=src: posting_jobs.post(spark, k, out[s]))
+POSTED = ["t_00166", "t_00165", "t_00300", "t_00164", "t_00161", "t_00158", "t_00160"]
+
+
+def run_month(spark, adjustments: DataFrame | None = None, only: tuple[str, ...] | None = None,
+              tables: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Run the jobs in order; every output is written into a fresh folder of the shared checkpoint folder.
+
+    A job gets the tables it declares, as read back, and no others; nothing of
+    an earlier run is reused.  The ledger is written partitioned by month.
+    ``adjustments`` is the adjustment table before the run.  ``only`` re-runs
+    some jobs on the given ``tables``.
+    """
+    run = uuid.uuid4().hex[:12]
+    out = dict(tables or {})
+    adjust = adjustments
+
+    def save(df: DataFrame, name: str, partition_by=()) -> DataFrame:
+        path = scratch_path(spark, f"month/{run}/{name}")
+        write_table(df, path, df.schema, "overwrite", partition_by)
+        return read_table(spark, path, df.schema).select(*df.columns)
+
+    for job in MONTH_JOBS:
+        if only and job.name not in only:
+            continue
+        df = job.build(spark, {name: out[name] for name in job.reads})
+        out[job.name] = save(df, job.name, ["month_id"] if job.name == "client_revenue" else ())
+        if job.scopes:
+            new = out[job.name].select(ADJ_COLS)
+            target = new.limit(0) if adjust is None else adjust
+            adjust = save(scoped_replace(target, new, job.scopes(spark)), f"adjust_after_{job.name}")
+    out["adjustments"] = adjust
     return out
 
 
-PIPELINE_JOB_KEYS = {"t_00125": "ib_collab_income", "t_00140": "ib_office_income", "t_00208": "otc_month_copy",
-                     "t_00156": "special_client_revenue", "t_00128_data": "insurance_fund_base",
-                     "t_00123": "consulting_kernel_split", "t_00114_data": "dept_reallocation"}
-
-
 def _pipeline_sql() -> str:
-    """Postings read the *written* job tables, i.e. the job queries' output."""
+    """Postings by job and account, adjustments by project and index; each from its job's own statement."""
     from .registry import REGISTRY
-    parts = []
-    for k, sql in posting_jobs.POST_SQL.items():
-        src = f"({REGISTRY[PIPELINE_JOB_KEYS[POSTING_INPUT[k]]][1]})"
-        parts.append(f"SELECT func_id, account_code, allocated_money FROM ({sql(src)}) p")
-    return f"""SELECT func_id, account_code, {rnd('sum(allocated_money)')} AS posted_money, count(*) AS n_rows
-FROM ({' UNION ALL '.join(parts)}) x GROUP BY func_id, account_code"""
+    posts = [f"SELECT func_id AS job, account_code AS code, allocated_money AS value FROM ({sql()}) p"
+             for sql in posting_jobs.POST_SQL.values()]
+    metrics = [f"SELECT adjust_proj_id AS job, index_id AS code, adjust_value AS value FROM {_adj_sql(k)} m"
+               for k in ("metric_adjust_dept", "metric_adjust_ib_office", "metric_adjust_ib_collab",
+                         "asset_product_adjust", "metric_passthrough")]
+    bonus = (f"SELECT 't_00124' AS job, alloca_oa_branch_id AS code, broker_income AS value "
+             f"FROM ({REGISTRY['consulting_bonus_split'][1]}) b")
+    return f"""SELECT job, code, {rnd('sum(value)')} AS value, count(*) AS n_rows
+FROM ({' UNION ALL '.join([*posts, *metrics, bonus])}) x GROUP BY job, code"""
 
 
 @query("month_pipeline", _pipeline_sql())
 def month_pipeline(spark):
-    """The month run in order; result = posted totals per job and account."""
+    """The month run in order; result = totals per job and account, project and index, and bonus branch."""
     out = run_month(spark)
-    posted = None
-    for key in POSTING_INPUT:
-        p = out[key].select("func_id", "account_code", "allocated_money")
-        posted = p if posted is None else posted.unionByName(p)
-    return (posted.groupBy("func_id", "account_code")
-            .agg(fn.money(F.sum("allocated_money")).alias("posted_money"), F.count(F.lit(1)).alias("n_rows")))
+    rows = [out[k].select(F.col("func_id").alias("job"), F.col("account_code").alias("code"),
+                          F.col("allocated_money").alias("value")) for k in POSTED]
+    rows.append(out["adjustments"].select(F.col("adjust_proj_id").alias("job"), F.col("index_id").alias("code"),
+                                          F.col("adjust_value").alias("value")))
+    rows.append(out["t_00124"].select(F.lit("t_00124").alias("job"), F.col("alloca_oa_branch_id").alias("code"),
+                                      fn.money("broker_income", 4).alias("value")))
+    total = reduce(DataFrame.unionByName, rows)
+    return total.groupBy("job", "code").agg(fn.money(F.sum("value")).alias("value"), F.count(F.lit(1)).alias("n_rows"))
+
+
+# ----------------------------------------------------------- S4 / B31 reconciliation
+
+#: Pairs (written table, query that states it a second time, predicates); columns come from the schema.
+RECON_PAIRS = [
+    ("ledger_vs_balances", "client_revenue", "period_balances", "is_main = 1", "end_rights IS NOT NULL"),
+    ("ledger_vs_turnover", "client_revenue", "turnover_fee", "is_main = 1", "done_money >= 0"),
+    ("ledger_vs_expense", "client_revenue", "expense_totals", "oa_broker_id <> '-'", "oa_broker_id <> '-'"),
+    ("t_00123", "t_00123", "consulting_kernel_split", None, None),
+    ("t_00124", "t_00124", "consulting_bonus_split", None, None),
+    ("t_00128_data", "t_00128_data", "insurance_fund_base", None, None),
+    ("t_00114_data", "t_00114_data", "dept_reallocation", None, None),
+    ("t_00156", "t_00156", "special_client_revenue", None, None),
+    ("t_00208", "t_00208", "otc_month_copy", None, None),
+    ("t_00125", "t_00125", "ib_collab_income", None, None),
+    ("t_00140", "t_00140", "ib_office_income", None, None),
+    ("t_00305", "t_00305", "metric_unpivot", None, None),
+    ("t_00158", "t_00158", "post_ib_collab", None, None),
+    ("t_00160", "t_00160", "post_ib_office", None, None),
+    ("t_00161", "t_00161", "post_otc", None, None),
+    ("t_00164", "t_00164", "post_special", None, None),
+    ("t_00165", "t_00165", "post_insurance", None, None),
+    ("t_00166", "t_00166", "post_consulting", None, None),
+    ("t_00300", "t_00300", "post_dept", None, None),
+]
+
+
+def reconcile_pairs(spark, left: dict[str, DataFrame], pairs=None) -> DataFrame:
+    """One row per pair and numeric column of the right table; any list of pairs."""
+    from .registry import REGISTRY
+    parts = []
+    for pair, table, key, lp, rp in pairs or RECON_PAIRS:
+        right = REGISTRY[key][0].plain(spark)
+        parts.append(reconcile(left[table], right, pair, lp, rp))
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: Numeric columns of the right tables, written out for the oracle (fixed values).
+RECON_COLUMNS = {
+    "ledger_vs_balances": "yes_rights end_rights avg_rights total_profit transfee market_transfee",
+    "ledger_vs_turnover": "done_money done_amount secu_fee",
+    "ledger_vs_expense": " ".join(ledger.EXPENSE_COLS),
+    "t_00123": "invest_total_service_fee kernel_total_rate alloca_kernel_rate alloca_income",
+    "t_00124": "invest_total_service_fee perfor_total_rate alloca_perfor_rate broker_perfor_rate broker_income",
+    "t_00128_data": "done_money bzjj",
+    "t_00114_data": " ".join(jobs.DEPT_COLS),
+    "t_00156": " ".join(("remain_transfee_rate", "jian_mian_rate", *jobs.SPECIAL_VALS)),
+    "t_00208": "trade_orders premium_abs actual_notional_principal sale_income colla_pricing total_income",
+    "t_00125": " ".join(jobs.IB_COLLAB_VALS),
+    "t_00140": " ".join(jobs.IB_OFFICE_VALS),
+    "t_00305": "index_value adjust_value",
+}
+_LEFT_SQL = {"client_revenue": "led", "t_00123": jobs.CONS_KERNEL_SQL, "t_00124": jobs.CONS_BONUS_SQL,
+             "t_00128_data": jobs.INSURANCE_SQL,
+             "t_00114_data": jobs.DEPT_SQL, "t_00156": jobs.SPECIAL_SQL, "t_00208": jobs.OTC_SQL,
+             "t_00125": jobs.IB_COLLAB_SQL, "t_00140": jobs.IB_OFFICE_SQL, "t_00305": metric_jobs.OTHER_SQL}
+
+
+def _recon_sql(pairs) -> str:
+    """One sum scan per side and pair; where no second statement is at hand the query's own is the left side."""
+    from .registry import REGISTRY
+    ctes = [f"led AS MATERIALIZED ({ledger.LEDGER_SQL})"]
+    parts = []
+    for i, (pair, table, key, lp, rp) in enumerate(pairs):
+        cols = RECON_COLUMNS.get(pair, "allocated_money").split()
+        sums = ", ".join(f"coalesce(cast(sum(cast({c} as decimal(28,6))) as double), 0.0) AS {c}" for c in cols)
+        left = _LEFT_SQL.get(table, f"({REGISTRY[key][1]})")
+        ctes.append(f"l{i} AS (SELECT {sums} FROM {left} q {'WHERE ' + lp if lp else ''})")
+        ctes.append(f"r{i} AS (SELECT {sums} FROM ({REGISTRY[key][1]}) r {'WHERE ' + rp if rp else ''})")
+        parts += [f"SELECT '{pair}' AS pair, '{c}' AS column_name, l.{c} AS l_sum, r.{c} AS r_sum FROM l{i} l, r{i} r"
+                  for c in cols]
+    body = "\nUNION ALL\n".join(parts)
+    return f"""WITH {', '.join(ctes)}
+SELECT pair, column_name, {rnd('l_sum')} AS left_sum, {rnd('r_sum')} AS right_sum,
+  abs(l_sum - r_sum) >= 0.1 AS mismatch
+FROM ({body}) x"""
+
+
+def _rounded_sums(out: DataFrame) -> DataFrame:
+    return out.select("pair", "column_name", fn.money("left_sum").alias("left_sum"),
+                      fn.money("right_sum").alias("right_sum"), "mismatch")
+
+
+@query("reconcile_numeric_sums", _recon_sql(RECON_PAIRS[:3]))
+def reconcile_numeric_sums(spark):
+    """B31 (+ S4): the written ledger against the blocks it was merged from, by the sums of all numeric columns."""
+    return _rounded_sums(reconcile_pairs(spark, {"client_revenue": ledger.ledger_table(spark)}, RECON_PAIRS[:3]))
+
+
+@query("reconcile_month_run", _recon_sql(RECON_PAIRS[3:]))
+def reconcile_month_run(spark):
+    """Every other written table of a month run against the query that states it a second time."""
+    return _rounded_sums(reconcile_pairs(spark, run_month(spark), RECON_PAIRS[3:]))

@@ -145,31 +145,44 @@ def consulting_kernel_split(spark):
     return consulting_kernel_df(spark).withColumn("alloca_income", fn.money("alloca_income", 4))
 
 
-@query("consulting_bonus_split", f"""
-SELECT t.busi_month AS month_id, t.client_id, t.contract_number, t.product_name, t.invest_total_service_fee,
-  t.perfor_total_rate, a.alloca_oa_branch_type, a.alloca_oa_branch_id, a.alloca_oa_branch_name,
+CONS_BONUS_SQL = f"""(SELECT t.busi_month AS month_id, t.client_id, t.client_name, t.mobile, t.contract_number, t.product_name,
+  t.product_type, t.product_risk_level, t.client_risk_level, t.contract_begin_date, t.contract_end_date,
+  t.collection_time, t.invest_total_service_fee, t.perfor_total_rate, a.alloca_oa_branch_type, a.alloca_oa_branch_id, a.alloca_oa_branch_name,
   a.alloca_perfor_rate, a.broker_id, a.broker_name, a.broker_perfor_rate,
-  {rnd('t.invest_total_service_fee * t.perfor_total_rate * a.alloca_perfor_rate * a.broker_perfor_rate', 4)} AS broker_income
+  t.invest_total_service_fee * t.perfor_total_rate * a.alloca_perfor_rate * a.broker_perfor_rate AS broker_income
 FROM t00122 t LEFT JOIN t00122_2 a ON t.busi_month = a.busi_month AND t.client_id = a.client_id
   AND t.product_name = a.product_name
-WHERE t.busi_month = '{P.month_id}'""")
+WHERE t.busi_month = '{P.month_id}')"""
+
+
+@query("consulting_bonus_split", f"""
+SELECT * EXCLUDE (broker_income), {rnd('broker_income', 4)} AS broker_income FROM {CONS_BONUS_SQL} b""")
 def consulting_bonus_split(spark):
     """Consulting fee x performance rate x department rate x person rate."""
+    return consulting_bonus_df(spark).withColumn("broker_income", fn.money("broker_income", 4))
+
+
+def consulting_bonus_df(spark) -> DataFrame:
     t = spark.table("t00122").filter(F.col("busi_month") == P.month_id)
     j = t.join(spark.table("t00122_2"), _CONS_KEYS, "left")
     inc = (F.col("invest_total_service_fee") * F.col("perfor_total_rate") * F.col("alloca_perfor_rate")
            * F.col("broker_perfor_rate"))
-    return j.select(F.col("busi_month").alias("month_id"), "client_id", "contract_number", "product_name",
-                    "invest_total_service_fee", "perfor_total_rate", "alloca_oa_branch_type", "alloca_oa_branch_id",
+    return j.select(F.col("busi_month").alias("month_id"), "client_id", "client_name", "mobile", "contract_number",
+                    "product_name", "product_type", "product_risk_level", "client_risk_level", "contract_begin_date",
+                    "contract_end_date", "collection_time", "invest_total_service_fee", "perfor_total_rate", "alloca_oa_branch_type", "alloca_oa_branch_id",
                     "alloca_oa_branch_name", "alloca_perfor_rate", "broker_id", "broker_name", "broker_perfor_rate",
-                    fn.money(inc, 4).alias("broker_income"))
+                    inc.alias("broker_income"))
 
 
 # ----------------------------------------------------------- B21 insurance fund base
 
 @block
 def insurance_base_df(spark) -> DataFrame:
-    t = ledger_table(spark).filter((F.col("month_id") == P.month_id) & (F.col("is_main") == 1))
+    return insurance_base_of(spark, ledger_table(spark))
+
+
+def insurance_base_of(spark, ledger: DataFrame) -> DataFrame:
+    t = ledger.filter((F.col("month_id") == P.month_id) & (F.col("is_main") == 1))
     excluded = spark.table("branch").filter(EXCLUDED).select("branch_id")
     t = t.filter(F.col("branch_id").isNotNull()).join(F.broadcast(excluded), "branch_id", "left_anti")
     x = spark.table("branch_oa_rela").select(F.col("ctp_branch_id").alias("branch_id"), "oa_branch_id")
@@ -271,7 +284,11 @@ def special_client_revenue(spark):
 
 @block
 def ib_collab_df(spark) -> DataFrame:
-    t = ledger_table(spark).filter(F.col("month_id") == P.month_id)
+    return ib_collab_of(spark, ledger_table(spark))
+
+
+def ib_collab_of(spark, ledger: DataFrame) -> DataFrame:
+    t = ledger.filter(F.col("month_id") == P.month_id)
     a = spark.table("t00107")
     j = t.join(a, (t.oa_broker_name == a.futu_service_name) & (t.fund_account_id == a.fund_account_id))
     return j.select(t.month_id, "ib_branch_id", "ib_branch_name", t.fund_account_id, "client_name",
@@ -319,7 +336,11 @@ def ib_collab_income(spark):
 
 @block
 def ib_office_df(spark) -> DataFrame:
-    t = ledger_table(spark).filter(F.col("month_id") == P.month_id)
+    return ib_office_of(spark, ledger_table(spark))
+
+
+def ib_office_of(spark, ledger: DataFrame) -> DataFrame:
+    t = ledger.filter(F.col("month_id") == P.month_id)
     rel = spark.table("crm_broker_investor_rela")
     # the left join is followed by null-rejecting filters on the relation: inner
     a = (rel.filter(F.col("broker_id").startswith("ZD") & (F.col("rela_sts") == "A") & (F.col("approve_sts") == "0"))

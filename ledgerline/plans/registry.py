@@ -25,6 +25,7 @@ def query(key: str, oracle: str | None = None):
             return fn(spark)
         build.__name__ = fn.__name__
         build.__doc__ = fn.__doc__
+        build.plain = fn  # on tables that are registered already
         if key in REGISTRY:
             raise ValueError(f"duplicate query key {key}")
         REGISTRY[key] = (build, oracle)

@@ -100,6 +100,12 @@ def block(fn):
 _written: dict[tuple, DataFrame] = {}
 
 
+def forget() -> None:
+    """Drop the memoised blocks and written job tables, so that the next call builds them again."""
+    _blocks.clear()
+    _written.clear()
+
+
 def written(spark: SparkSession, name: str, build) -> DataFrame:
     """Write ``build()`` once per session and data set under the shared
     checkpoint folder and return the table read back.

@@ -63,6 +63,8 @@ def test_reconcile_tolerance(spark):
     b = spark.createDataFrame([(1.09, 5.11, None)], "x double, y double, z double")
     got = {r.column_name: r.mismatch for r in reconcile(a, b, "p").collect()}
     assert got == {"x": False, "y": True, "z": False}
+    with pytest.raises(ValueError, match="lacks"):
+        reconcile(a.drop("y"), b, "p")
 
 
 def test_scoped_replace(spark):

@@ -91,7 +91,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, bucket: int = DAY, url_col
     told apart by all their columns; equal rows get equal decisions.
     """
     rows = captures.select(F.struct(*[F.col(f"`{c}`") for c in captures.columns]).alias("r")) \
-        .withColumn("row", F.xxhash64(F.to_json("r", {"ignoreNullFields": "false"})))
+        .withColumn("row", F.md5(F.to_json("r", {"ignoreNullFields": "false"})))
     lists = written(intervals(entries, bucket), "url-intervals")
     depth, last = lists.agg(F.max(F.when(F.col("kind") == "path", F.size(F.split("pattern", "/", -1)) - 1)),
                             F.max(F.greatest("since", F.when(F.col("until") < FOREVER, F.col("until"))))).first()

@@ -39,11 +39,11 @@ def suffix_order(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
         nxt = who + step
         follow = np.where(nxt <= ends[who], rank[np.minimum(nxt, n - 1)] + 1, 0)
         follow[text[who] == 0] = 0
-        by = np.lexsort((who, follow, rank[who]))
-        who, follow = who[by], follow[by]
-        old = rank[who]
+        both = rank[who] * (n + 1) + follow
+        by = np.argsort(both, kind="stable")  # equals keep their places' order
+        who, both = who[by], both[by]
         order[places] = who
-        new = np.concatenate(([True], (old[1:] != old[:-1]) | (follow[1:] != follow[:-1])))
+        new = np.concatenate(([True], both[1:] != both[:-1]))
         rank[who] = places[np.flatnonzero(new)][np.cumsum(new) - 1]
         open_[:] = False
         open_[places[_tied(new, len(new))]] = True

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, line_dedup, lm, mtree, packing, quality, repeats, sharding, simhash, url_filter
+from ledgerline.llm import (bpe, decontaminate, line_dedup, lm, mtree, packing, quality, repeats, runs, sharding, simhash,
+                            url_filter)
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_decontamination": decontaminate.query,
     "op9_language_model": lm.query,
     "op10_simhash": simhash.query,
+    "op12_periodic_runs": runs.query,
+    "op13_byte_bpe": bpe.query,
 }
 
 ORACLES = {

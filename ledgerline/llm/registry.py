@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import (bpe, decontaminate, line_dedup, lm, mtree, packing, quality, repeats, runs, sharding, simhash,
-                            url_filter)
+from ledgerline.llm import (bpe, decontaminate, line_dedup, lm, mtree, packing, prefix_trie, quality, repeats, runs, sharding,
+                            simhash, url_filter)
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_decontamination": decontaminate.query,
     "op9_language_model": lm.query,
     "op10_simhash": simhash.query,
+    "op11_prefix_trie": prefix_trie.query,
     "op12_periodic_runs": runs.query,
     "op13_byte_bpe": bpe.query,
 }
@@ -25,4 +26,5 @@ ORACLES = {
     "op6_mtree": mtree.ORACLE,
     "op7_url_filter": url_filter.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
 }

@@ -2,12 +2,16 @@
 
 Rates live in a parameter table ``(fee_type, branch_id, begin_date,
 end_date, para_value)`` whose ``branch_id`` is a text list of OA branches,
-matched by substring containment.  The rate table is first resolved against
-the OA branch dimension (both are parameter tables) into one row per OA
-branch and period.  Facts meet it through an equi-join on the OA branch with
-the date range as residual condition, one join per fee type.  It holds for any
-date and fee type; two matching periods fan a row out, and a rate row with a
-NULL value is a match, as in the containment join.
+matched by substring containment.  The containment is resolved once, against the
+OA branch dimension (both are parameter tables), into one row per OA branch
+and period.
+
+``rate_segments`` then cuts time at every begin and end of a branch's periods into
+disjoint segments, each with the rates of all fee types that hold in it.  A job
+joins its facts once, on the OA branch with the segment as residual condition,
+however many fee types it asks for.  It holds for any date and fee type; two
+periods that overlap fan a row out, and a rate row with a NULL value is a
+match, as in the containment join.
 
 No broadcast hints: Spark broadcasts the rate side below its own threshold.
 """
@@ -16,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,29 +50,48 @@ def rate_dim(spark, match: str = "substring") -> DataFrame:
     return expand_rates(spark.table("rate_param"), oa, match)
 
 
-def lookup_rate(facts: DataFrame, rdim: DataFrame, oa_col: str, date_col: str,
-                fee_type: str, out: str, how: str = "left") -> DataFrame:
-    """Attach ``para_value`` of ``fee_type`` valid at ``date_col`` as ``out``.
+def resolved_rates(spark) -> DataFrame:
+    """Segments of the registered rates: the parameter table ``rate_segment`` staged with the warehouse."""
+    return spark.table("rate_segment")
 
-    ``date_col`` is a ``yyyymmdd`` string column of ``facts``.  ``how='left'``
-    keeps facts without a rate (value NULL); ``'inner'`` drops them.
-    """
-    r = (rdim.filter(F.col("fee_type") == fee_type)
-         .select(F.col("oa_branch_id").alias(f"__oa_{out}"),
-                 F.col("begin_date").alias(f"__b_{out}"),
-                 F.col("end_date").alias(f"__e_{out}"),
-                 F.col("para_value").alias(out)))
-    cond = ((F.col(oa_col) == F.col(f"__oa_{out}"))
-            & F.col(date_col).between(F.col(f"__b_{out}"), F.col(f"__e_{out}")))
-    return facts.join(r, cond, how).drop(f"__oa_{out}", f"__b_{out}", f"__e_{out}")
 
+def rate_segments(rdim: DataFrame) -> DataFrame:
+    """``oa_branch_id, seg_from, seg_to, rates``: disjoint segments of time and the rates that hold in them.
 
-def lookup_rates(facts: DataFrame, rdim: DataFrame, oa_col: str, date_col: str,
+    A date ``d`` lies in a segment when ``seg_from <= d < seg_to`` as text.  A period
+    begins at its begin date and ends behind its end date, written ``end~``: behind that date, before the next.
+    ``rates`` maps a fee type to the values that hold, one for each period.
+    """
+    spans = rdim.filter("begin_date <= end_date").select(
+        "oa_branch_id", "fee_type", "begin_date", F.concat("end_date", F.lit("~")).alias("behind"), "para_value")
+    cuts = spans.select("oa_branch_id", F.explode(F.array("begin_date", "behind")).alias("seg_from")).distinct()
+    w = Window.partitionBy("oa_branch_id").orderBy("seg_from")
+    cuts = cuts.select(F.col("oa_branch_id").alias("oa"), "seg_from", F.lead("seg_from").over(w).alias("seg_to")) \
+        .filter(F.col("seg_to").isNotNull())
+    held = spans.join(cuts, (F.col("oa_branch_id") == F.col("oa")) & (F.col("begin_date") <= F.col("seg_from"))
+                      & (F.col("seg_from") < F.col("behind")))
+    # a struct keeps a NULL value as a member of the list
+    by_fee = held.groupBy("oa_branch_id", "seg_from", "seg_to", "fee_type") \
+        .agg(F.transform(F.collect_list(F.struct("para_value")), lambda x: x["para_value"]).alias("held"))
+    return by_fee.groupBy("oa_branch_id", "seg_from", "seg_to") \
+        .agg(F.map_from_entries(F.collect_list(F.struct("fee_type", "held"))).alias("rates"))
+
+
+def lookup_rates(facts: DataFrame, segments: DataFrame, oa_col: str, date_col: str,
                  fee_types: Mapping[str, str], how: str = "left") -> DataFrame:
-    """Attach several fee types (``fee_types``: output column -> fee type)."""
-    for out, ft in fee_types.items():
-        facts = lookup_rate(facts, rdim, oa_col, date_col, ft, out, how)
-    return facts
+    """Attach the rates valid at ``date_col`` (``yyyymmdd``) of several fee types by one join.
+
+    ``fee_types``: output column -> fee type; ``segments`` as of ``rate_segments``.  ``how='left'`` keeps facts
+    without a rate (value NULL); ``'inner'`` drops them.
+    """
+    r = segments
+    for out, ft in fee_types.items():  # a generator a fee type, over the parameter table
+        explode = F.explode_outer if how == "left" else F.explode
+        r = r.select("*", explode(F.try_element_at("rates", F.lit(ft))).alias(out))
+    r = r.select(F.col("oa_branch_id").alias("__oa"), F.col("seg_from").alias("__from"), F.col("seg_to").alias("__to"), *fee_types)
+    d = F.col(date_col)
+    return facts.join(r, (F.col(oa_col) == F.col("__oa")) & (d >= F.col("__from")) & (d < F.col("__to")), how) \
+        .drop("__oa", "__from", "__to")
 
 
 def run_date_rates(facts: DataFrame, rates: DataFrame, run_date: str, fee_types: Mapping[str, str],

@@ -9,10 +9,11 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .. import functions as fn
 from ..operators.ranking import row_number_by
-from ..operators.rates import lookup_rates, rate_dim, run_date_rates, with_oa_branch
+from ..operators.rates import lookup_rates, resolved_rates, run_date_rates, with_oa_branch
 from ..operators.schema import align_to_schema
-from ..params import P
+from ..params import P, run_params
 from ..sources.dictionary import code_map
+from ..sources.tables import dated
 from .registry import query
 
 M0, M1 = P.month_start, P.month_end            # yyyymmdd
@@ -36,11 +37,11 @@ def scan_projected(spark):
 
 @query("scan_date_window", f"""
 SELECT busi_date, fund_account_id, rights, impawn_money, market_margin FROM client_sett
-WHERE busi_date BETWEEN '{M0}' AND '{P.last_trade_day}'""")
+WHERE busi_date BETWEEN '{M0}' AND {P.last_trade_day}""")
 def scan_date_window(spark):
     """S3: business-date window applied at the scan."""
-    return (spark.table("client_sett")
-            .filter(F.col("busi_date").between(M0, P.last_trade_day))
+    p = run_params(spark)
+    return (dated(spark, "client_sett", p.month_start, p.last_trade_day)
             .select("busi_date", "fund_account_id", "rights", "impawn_money", "market_margin"))
 
 
@@ -70,8 +71,9 @@ SELECT '{P.month_id}' AS month_id, client_id, client_name, branch_id, branch_nam
 FROM t00207 WHERE add_date BETWEEN '{M0}' AND '{M1}'""")
 def project_rename(spark):
     """Month copy of the OTC ledger with renamed columns (job 208)."""
-    return (spark.table("t00207").filter(F.col("add_date").between(M0, M1))
-            .select(F.lit(P.month_id).alias("month_id"), "client_id", "client_name",
+    p = run_params(spark)
+    return (dated(spark, "t00207", p.month_start, p.month_end)
+            .select(F.lit(p.month_id).alias("month_id"), "client_id", "client_name",
                     "branch_id", "branch_name",
                     F.col("introductor_id").alias("broker_id"),
                     F.col("introductor").alias("broker_name"),
@@ -87,9 +89,10 @@ SELECT '{P.month_id}' AS month_id, fund_account_id, rights, 'admin' AS op_user,
 FROM client_sett WHERE busi_date BETWEEN '{M0}' AND '{M1}'""")
 def project_constants(spark):
     """Constant columns, including typed NULLs (a bare NULL is ``void``)."""
-    return (spark.table("client_sett").filter(F.col("busi_date").between(M0, M1))
-            .select(F.lit(P.month_id).alias("month_id"), "fund_account_id", "rights",
-                    F.lit("admin").alias("op_user"), F.lit(P.busi_date).alias("run_date"),
+    p = run_params(spark)
+    return (dated(spark, "client_sett", p.month_start, p.month_end)
+            .select(F.lit(p.month_id).alias("month_id"), "fund_account_id", "rights",
+                    F.lit("admin").alias("op_user"), F.lit(p.busi_date).alias("run_date"),
                     F.lit("").alias("remark"), F.lit(None).cast("string").alias("detail"),
                     F.lit(None).cast("double").alias("adjust_rate")))
 
@@ -107,9 +110,10 @@ SELECT '{P.month_id}' AS month_id, busi_date, fund_account_id, rights, yes_right
 FROM client_sett WHERE busi_date BETWEEN '{M0}' AND '{M1}'""")
 def align_schema(spark):
     """Fill / drop / reorder to a target schema, partition literal set."""
-    src = (spark.table("client_sett").filter(F.col("busi_date").between(M0, M1))
+    p = run_params(spark)
+    src = (dated(spark, "client_sett", p.month_start, p.month_end)
            .select(F.col("YES_RIGHTS"), "rights", "fund_account_id", "busi_date", "transfee"))
-    return align_to_schema(src, TARGET_SETT, {"month_id": P.month_id})
+    return align_to_schema(src, TARGET_SETT, {"month_id": p.month_id})
 
 
 # ---------------------------------------------------------------- filters
@@ -119,14 +123,16 @@ def align_schema(spark):
 SELECT * FROM t00207 WHERE add_date >= '{M0}' AND add_date <= '{M1}'""")
 def filter_month(spark):
     """month from a date prefix, written as a range so it prunes."""
-    return spark.table("t00207").filter((F.col("add_date") >= M0) & (F.col("add_date") <= M1))
+    p = run_params(spark)
+    return dated(spark, "t00207", p.month_start, p.month_end)
 
 
 @query("filter_date_range", f"""
 SELECT * FROM exchange_retfee2 WHERE tx_dt BETWEEN '{D0}' AND '{D1}'""")
 def filter_date_range(spark):
     """inclusive date-string range."""
-    return spark.table("exchange_retfee2").filter(F.col("tx_dt").between(D0, D1))
+    p = run_params(spark)
+    return dated(spark, "exchange_retfee2", p.month_start_dash, p.month_end_dash)
 
 
 @query("filter_two_month", f"""
@@ -134,8 +140,10 @@ SELECT * FROM exchange_retfee2
 WHERE tx_dt BETWEEN '{PD0}' AND '{PD1}' OR tx_dt BETWEEN '{D0}' AND '{D1}'""")
 def filter_two_month(spark):
     """previous month OR current month."""
+    p = run_params(spark)
     c = F.col("tx_dt")
-    return spark.table("exchange_retfee2").filter(c.between(PD0, PD1) | c.between(D0, D1))
+    return dated(spark, "exchange_retfee2", p.prev_month_start_dash, p.month_end_dash).filter(
+        c.between(p.prev_month_start_dash, p.prev_month_end_dash) | c.between(p.month_start_dash, p.month_end_dash))
 
 
 @query("filter_in_list", """
@@ -175,20 +183,22 @@ SELECT * FROM crm_broker_investor_rela
 WHERE replace(end_dt, '-', '') >= '{M0}' AND replace(st_dt, '-', '') <= '{M1}'""")
 def filter_interval_overlap(spark):
     """validity interval overlaps the month."""
+    p = run_params(spark)
     r = spark.table("crm_broker_investor_rela")
     # same order as the compact form, and pushable to the scan
-    return r.filter((F.col("end_dt") >= D0) & (F.col("st_dt") <= D1))
+    return r.filter((F.col("end_dt") >= p.month_start_dash) & (F.col("st_dt") <= p.month_end_dash))
 
 
 @query("filter_closed_accounts", f"""
 SELECT * FROM fund_account
 WHERE isactive = '3'
-  AND (close_date BETWEEN '{M0}' AND '{P.last_trade_day}' OR close_date >= '{M1}')""")
+  AND (close_date BETWEEN '{M0}' AND {P.last_trade_day} OR close_date >= '{M1}')""")
 def filter_closed_accounts(spark):
     """F8: closed within [month start, last trade day] or on/after month end."""
+    p = run_params(spark)
     c = F.col("close_date")
     return (spark.table("fund_account")
-            .filter((F.col("isactive") == "3") & (c.between(M0, P.last_trade_day) | (c >= M1))))
+            .filter((F.col("isactive") == "3") & (c.between(p.month_start, p.last_trade_day) | (c >= p.month_end))))
 
 
 @query("filter_id_prefix", f"""
@@ -197,10 +207,11 @@ SELECT * FROM (SELECT concat(fund_account_id, busi_date, '-', cast(rights AS VAR
 WHERE substring(pk_id, 1, 14) = concat(fund_account_id, '{P.month_id}')""")
 def filter_id_prefix(spark):
     """prefix equality on a composite id."""
+    p = run_params(spark)
     t = spark.table("client_sett").select(
         F.concat("fund_account_id", "busi_date", F.lit("-"), F.col("rights").cast("string")).alias("pk_id"),
         "fund_account_id", "busi_date", "rights")
-    return t.filter(F.substring("pk_id", 1, 14) == F.concat("fund_account_id", F.lit(P.month_id)))
+    return t.filter(F.substring("pk_id", 1, 14) == F.concat("fund_account_id", F.lit(p.month_id)))
 
 
 # ---------------------------------------------------------------- joins
@@ -271,13 +282,14 @@ LEFT JOIN rate_param e ON instr(e.branch_id, x.oa_branch_id) > 0 AND e.fee_type
 @query("rate_lookup_asof", RATE_LOOKUP_SQL)
 def rate_lookup_asof(spark):
     """Effective-dated rate lookup by OA branch containment and date."""
-    t = (spark.table("exchange_retfee2").filter(F.col("tx_dt").between(PD0, D1))
+    p = run_params(spark)
+    t = (dated(spark, "exchange_retfee2", p.prev_month_start_dash, p.month_end_dash)
          .select(F.col("investor_id").alias("fund_account_id"),
                  fn.compact_date("tx_dt").alias("busi_date")).distinct())
     fa = spark.table("fund_account").select("fund_account_id", "branch_id")
     t = t.join(fa, "fund_account_id", "left")
     t = with_oa_branch(t, spark, "branch_id")
-    t = lookup_rates(t, rate_dim(spark), "oa_branch_id", "busi_date",
+    t = lookup_rates(t, resolved_rates(spark), "oa_branch_id", "busi_date",
                      {"vat": "1004", "surtax": "1005", "risk": "1002"})
     return t.select("fund_account_id", "busi_date", "oa_branch_id", "vat", "surtax", "risk")
 
@@ -292,9 +304,10 @@ WHERE o.add_date BETWEEN '{M0}' AND '{M1}'
   AND e.fee_type = '1005' AND e.begin_date <= '{P.busi_date}' AND e.end_date >= '{P.busi_date}'""")
 def rate_as_of_run_date(spark):
     """Rates valid at the run date, inner and without a branch; two valid rates (1005) make two rows."""
-    o = (spark.table("t00207").filter(F.col("add_date").between(M0, M1))
+    p = run_params(spark)
+    o = (dated(spark, "t00207", p.month_start, p.month_end)
          .select("client_id", "total_income", "branch_id"))
-    return run_date_rates(o, spark.table("run_rate"), P.busi_date, {"risk": "1002", "vat": "1004", "surtax": "1005"})
+    return run_date_rates(o, spark.table("run_rate"), p.busi_date, {"risk": "1002", "vat": "1004", "surtax": "1005"})
 
 
 @query("cross_join_account_map", f"""
@@ -303,7 +316,8 @@ FROM t00207 o JOIN acount_func_rela a ON a.func_id = 'P_OTC'
 WHERE o.add_date BETWEEN '{M0}' AND '{M1}'""")
 def cross_join_account_map(spark):
     """Facts x account map of one job (broadcast of a bounded map)."""
-    o = (spark.table("t00207").filter(F.col("add_date").between(M0, M1))
+    p = run_params(spark)
+    o = (dated(spark, "t00207", p.month_start, p.month_end)
          .select("client_id", "total_income", F.lit("P_OTC").alias("func_id")))
     a = spark.table("acount_func_rela").select("func_id", "account_code", "account_name")
     # equi-join on the job id: each fact row fans out to the job's few accounts
@@ -318,7 +332,8 @@ FROM rpt_06008 r JOIN t00114 t
 WHERE r.n_busi_date BETWEEN '{M0}' AND '{M1}'""")
 def join_valid_at(spark):
     """Key + date-in-validity join (hash join with a range residual)."""
-    r = spark.table("rpt_06008").filter(F.col("n_busi_date").between(M0, M1))
+    p = run_params(spark)
+    r = dated(spark, "rpt_06008", p.month_start, p.month_end)
     t = spark.table("t00114")
     return (r.join(t, (r.fund_account_id == t.fund_account_id)
                    & r.n_busi_date.between(t.begin_date, t.end_date))
@@ -363,11 +378,12 @@ def join_left_null_rejecting(spark):
 @query("natural_day_expand", f"""
 SELECT b.n_busi_date, t.fund_account_id, t.rights
 FROM client_sett t JOIN date_nature b ON t.busi_date = b.busi_date
-WHERE b.n_busi_date BETWEEN '{P.interest_begin}' AND '{P.interest_end}'""")
+WHERE b.n_busi_date BETWEEN {P.interest_begin} AND '{P.interest_end}'""")
 def natural_day_expand(spark):
     """Trade-day balances repeated for every natural day mapped to them."""
-    cal = spark.table("date_nature").filter(F.col("n_busi_date").between(P.interest_begin, P.interest_end))
-    t = spark.table("client_sett").filter(F.col("busi_date").between(P.interest_begin, P.interest_end))
+    p = run_params(spark)
+    cal = spark.table("date_nature").filter(F.col("n_busi_date").between(p.interest_begin, p.interest_end))
+    t = dated(spark, "client_sett", p.interest_begin, p.interest_end)
     return (t.join(F.broadcast(cal), "busi_date")
             .select("n_busi_date", "fund_account_id", "rights"))
 
@@ -383,9 +399,10 @@ LEFT JOIN (SELECT fund_account_id, sum(done_amt) AS done_amt FROM hold_balance
   ON f.fund_account_id = h.fund_account_id""")
 def master_left_facts(spark):
     """Account master left-joined to pre-aggregated facts."""
-    s = (spark.table("client_sett").filter(F.col("busi_date").between(M0, M1))
+    p = run_params(spark)
+    s = (dated(spark, "client_sett", p.month_start, p.month_end)
          .groupBy("fund_account_id").agg(F.sum("rights").alias("rights")))
-    h = (spark.table("hold_balance").filter(F.col("busi_date").between(M0, M1))
+    h = (dated(spark, "hold_balance", p.month_start, p.month_end)
          .groupBy("fund_account_id").agg(F.sum("done_amt").alias("done_amt")))
     return (spark.table("fund_account").select("fund_account_id")
             .join(s, "fund_account_id", "left").join(h, "fund_account_id", "left"))
@@ -397,11 +414,12 @@ def master_left_facts(spark):
 @query("agg_group_sum", f"""
 SELECT busi_date, branch_id, fund_account_id, sum(done_amt) AS done_amount,
        cast(round(cast(sum(done_sum) as decimal(38,10)), 2) as double) AS done_money
-FROM hold_balance WHERE busi_date BETWEEN '{M0}' AND '{P.last_trade_day}'
+FROM hold_balance WHERE busi_date BETWEEN '{M0}' AND {P.last_trade_day}
 GROUP BY busi_date, branch_id, fund_account_id""")
 def agg_group_sum(spark):
     """A1: group-by sum (partial aggregation before the shuffle)."""
-    return (spark.table("hold_balance").filter(F.col("busi_date").between(M0, P.last_trade_day))
+    p = run_params(spark)
+    return (dated(spark, "hold_balance", p.month_start, p.last_trade_day)
             .groupBy("busi_date", "branch_id", "fund_account_id")
             .agg(F.sum("done_amt").alias("done_amount"),
                  fn.money(F.sum("done_sum"), 2).alias("done_money")))
@@ -412,7 +430,7 @@ SELECT fund_account_id,
        sum(CASE WHEN fund_projectid = 'A031' THEN occur_money ELSE 0 END) AS rebate_paid,
        sum(CASE WHEN fund_projectid = 'A032' THEN occur_money ELSE 0 END) AS interest_paid
 FROM fund_jour
-WHERE busi_date BETWEEN '{P.first_trade_day}' AND '{P.last_trade_day}' AND fund_direct = '1'
+WHERE busi_date BETWEEN {P.first_trade_day} AND {P.last_trade_day} AND fund_direct = '1'
   AND fund_projectid IN ('A031', 'A032')
 GROUP BY fund_account_id"""
 
@@ -436,7 +454,8 @@ FROM exchange_retfee2 WHERE tx_dt BETWEEN '{D0}' AND '{D1}'
 GROUP BY investor_id""")
 def agg_sum_of_rounded(spark):
     """A3: sum of per-row rounded values."""
-    e = spark.table("exchange_retfee2").filter(F.col("tx_dt").between(D0, D1))
+    p = run_params(spark)
+    e = dated(spark, "exchange_retfee2", p.month_start_dash, p.month_end_dash)
     return (e.groupBy(F.col("investor_id").alias("fund_account_id"))
             .agg(fn.money(F.sum(fn.money(F.col("ret_fee_amt_czce") + F.col("ret_fee_amt_dce"), 4)), 4)
                  .alias("reduct_4"),
@@ -449,7 +468,8 @@ SELECT investor_id AS fund_account_id, cast(round(cast(sum(subsistence_fee_amt)
 FROM adm_cust_01 WHERE tx_dt BETWEEN '{D0}' AND '{D1}' GROUP BY investor_id""")
 def agg_rounded_sum(spark):
     """A4: round after sum (2 digits, and 0 digits)."""
-    return (spark.table("adm_cust_01").filter(F.col("tx_dt").between(D0, D1))
+    p = run_params(spark)
+    return (dated(spark, "adm_cust_01", p.month_start_dash, p.month_end_dash)
             .groupBy(F.col("investor_id").alias("fund_account_id"))
             .agg(fn.money(F.sum("subsistence_fee_amt"), 2).alias("fee"),
                  fn.money(F.sum("return_amt"), 0).alias("ret0")))
@@ -462,7 +482,8 @@ SELECT busi_date, fund_account_id,
 FROM client_sett WHERE busi_date BETWEEN '{M0}' AND '{M1}' GROUP BY busi_date, fund_account_id""")
 def agg_expression(spark):
     """A5: expressions over aggregates (sum - sum, sum / 365)."""
-    return (spark.table("client_sett").filter(F.col("busi_date").between(M0, M1))
+    p = run_params(spark)
+    return (dated(spark, "client_sett", p.month_start, p.month_end)
             .groupBy("busi_date", "fund_account_id")
             .agg(fn.money(F.sum("rights") - F.sum(fn.case_max("impawn_money", "market_margin")), 2)
                  .alias("interest_base"),
@@ -488,9 +509,10 @@ GROUP BY substr(busi_date, 1, 6),
          CASE fund_projectid WHEN 'A031' THEN 'rebate' WHEN 'A032' THEN 'interest' ELSE 'other' END""")
 def agg_derived_keys(spark):
     """Grouping on literal, computed, NULL and decoded keys."""
+    p = run_params(spark)
     kind = fn.decode("fund_projectid", {"A031": "rebate", "A032": "interest"}, "other")
     return (spark.table("fund_jour")
-            .groupBy(F.lit(P.month_id).alias("month_id"),
+            .groupBy(F.lit(p.month_id).alias("month_id"),
                      F.substring("busi_date", 1, 6).alias("busi_month"), kind.alias("kind"),
                      F.lit(None).cast("string").alias("detail"))
             .agg(fn.money(F.sum("occur_money"), 2).alias("amount")))
@@ -505,7 +527,8 @@ FROM fund_account f LEFT JOIN (
 ON f.fund_account_id = s.fund_account_id""")
 def agg_fillna_zero(spark):
     """A10: zero-fill after aggregation touches numeric columns only."""
-    s = (spark.table("client_sett").filter(F.col("busi_date").between(M0, M1))
+    p = run_params(spark)
+    s = (dated(spark, "client_sett", p.month_start, p.month_end)
          .groupBy("fund_account_id")
          .agg(fn.money(F.sum("rights"), 2).alias("rights"), fn.money(F.sum("market_margin"), 2).alias("margin")))
     return (spark.table("fund_account").select("fund_account_id", "close_date")
@@ -523,7 +546,8 @@ FROM crm_broker_investor_rela
 WHERE replace(end_dt, '-', '') >= '{M0}' AND replace(st_dt, '-', '') <= '{M1}'""")
 def main_row_flag(spark):
     """Deterministic main-row flag per account."""
-    r = spark.table("crm_broker_investor_rela").filter((F.col("end_dt") >= D0) & (F.col("st_dt") <= D1))
+    p = run_params(spark)
+    r = spark.table("crm_broker_investor_rela").filter((F.col("end_dt") >= p.month_start_dash) & (F.col("st_dt") <= p.month_end_dash))
     r = r.select(F.col("investor_id").alias("fund_account_id"), "broker_id", "broker_rela_typ")
     # exact row_number() over (partition by account ...), safe for a hot account
     return row_number_by(r, ["fund_account_id"], ["broker_id", "broker_rela_typ"], "is_main")
@@ -533,14 +557,15 @@ def main_row_flag(spark):
 SELECT fund_account_id, branch_id, 'active' AS population FROM fund_account WHERE isactive = '0'
 UNION ALL
 SELECT fund_account_id, branch_id, 'closed' AS population FROM fund_account
-WHERE isactive = '3' AND (close_date BETWEEN '{M0}' AND '{P.last_trade_day}' OR close_date >= '{M1}')""")
+WHERE isactive = '3' AND (close_date BETWEEN '{M0}' AND {P.last_trade_day} OR close_date >= '{M1}')""")
 def union_populations(spark):
     """UNION ALL of two disjoint populations."""
+    p = run_params(spark)
     fa = spark.table("fund_account")
     a = fa.filter(F.col("isactive") == "0").select("fund_account_id", "branch_id",
                                                    F.lit("active").alias("population"))
     c = fa.filter((F.col("isactive") == "3")
-                  & (F.col("close_date").between(M0, P.last_trade_day) | (F.col("close_date") >= M1)))
+                  & (F.col("close_date").between(p.month_start, p.last_trade_day) | (F.col("close_date") >= p.month_end)))
     c = c.select("fund_account_id", "branch_id", F.lit("closed").alias("population"))
     return a.unionByName(c)
 
@@ -552,7 +577,8 @@ def union_populations(spark):
 SELECT tx_dt, replace(tx_dt, '-', '') AS busi_date FROM adm_cust_01 WHERE tx_dt BETWEEN '{D0}' AND '{D1}'""")
 def fn_date_compact(spark):
     """Strip dashes from a date string."""
-    return (spark.table("adm_cust_01").filter(F.col("tx_dt").between(D0, D1))
+    p = run_params(spark)
+    return (dated(spark, "adm_cust_01", p.month_start_dash, p.month_end_dash)
             .select("tx_dt", fn.compact_date("tx_dt").alias("busi_date")))
 
 
@@ -573,8 +599,9 @@ SELECT client_id, concat('{P.month_id}', client_name) AS project FROM t00207
 WHERE add_date BETWEEN '{M0}' AND '{M1}'""")
 def fn_concat(spark):
     """Literal + column concatenation."""
-    return (spark.table("t00207").filter(F.col("add_date").between(M0, M1))
-            .select("client_id", F.concat(F.lit(P.month_id), "client_name").alias("project")))
+    p = run_params(spark)
+    return (dated(spark, "t00207", p.month_start, p.month_end)
+            .select("client_id", F.concat(F.lit(p.month_id), "client_name").alias("project")))
 
 
 @query("fn_coalesce", f"""
@@ -585,8 +612,9 @@ FROM adm_investor_value v LEFT JOIN adm_brokerdata_detail d
 WHERE v.date_dt = '{D0}'""")
 def fn_coalesce(spark):
     """One- and two-column NULL defaults (detail over header)."""
-    v = spark.table("adm_investor_value").filter(F.col("date_dt") == D0)
-    d = spark.table("adm_brokerdata_detail").filter(F.col("rec_freq") == "M")
+    p = run_params(spark)
+    v = dated(spark, "adm_investor_value", p.month_start_dash, p.month_start_dash)
+    d = dated(spark, "adm_brokerdata_detail", p.month_start_dash, p.month_start_dash).filter(F.col("rec_freq") == "M")
     j = v.alias("v").join(d.alias("d"), (F.col("v.date_dt") == F.col("d.tx_dt"))
                           & (F.col("v.investor_id") == F.col("d.investor_id")), "left")
     return j.select(F.col("v.investor_id"), F.col("d.staff_id"),
@@ -613,8 +641,9 @@ SELECT busi_date, fund_account_id, cast(round(cast(rights * 0.3333 as decimal(38
 FROM client_sett WHERE busi_date BETWEEN '{M0}' AND '{M1}'""")
 def fn_round_cast(spark):
     """HALF_UP round to 0, 2, 4 digits; cast decimal(16,4) before rounding."""
+    p = run_params(spark)
     x = F.col("rights") * 0.3333
-    return (spark.table("client_sett").filter(F.col("busi_date").between(M0, M1))
+    return (dated(spark, "client_sett", p.month_start, p.month_end)
             .select("busi_date", "fund_account_id", fn.money(x, 0).alias("r0"), fn.money(x, 2).alias("r2"),
                     fn.money(x, 4).alias("r4"),
                     F.round(x.cast("decimal(16,4)"), 2).cast("double").alias("r_dec")))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import calendar as cal_ops
-from ..params import P
+from ..params import P, run_params
 from .registry import query
 
 ORDER_DAYS = "SELECT o_orderkey, replace(cast(cast(o_orderdate AS DATE) AS VARCHAR), '-', '') AS d FROM orders"
@@ -37,7 +37,8 @@ SELECT min(busi_date) AS begin_date, max(busi_date) AS end_date, count(*) AS tot
 FROM calendar WHERE trade_flag = '1' AND busi_date LIKE '{P.month_id}%' AND busi_date <= '{P.busi_date}'""")
 def cal_run_period(spark):
     """The run-month trading period up to the business date."""
-    return cal_ops.period_bounds(spark.table("calendar"), month=P.month_id, end_date=P.busi_date)
+    p = run_params(spark)
+    return cal_ops.period_bounds(spark.table("calendar"), month=p.month_id, end_date=p.busi_date)
 
 
 @query("cal_nth_trading_day", f"""
@@ -146,8 +147,9 @@ FROM t00114 t JOIN calendar c
   ON c.busi_date BETWEEN greatest(t.begin_date, '{P.month_start}') AND least(t.end_date, '{P.month_end}')""")
 def cal_date_series(spark):
     """Every date between two dates (rule windows clipped to the month)."""
+    p = run_params(spark)
     t = spark.table("t00114").select("fund_account_id", "begin_date", "end_date")
-    b = cal_ops.ymd_to_date(F.greatest("begin_date", F.lit(P.month_start)))
-    e = cal_ops.ymd_to_date(F.least("end_date", F.lit(P.month_end)))
+    b = cal_ops.ymd_to_date(F.greatest("begin_date", F.lit(p.month_start)))
+    e = cal_ops.ymd_to_date(F.least("end_date", F.lit(p.month_end)))
     x = t.select("fund_account_id", "begin_date", "end_date", cal_ops.date_series(b, e).alias("day"))
     return x.select("fund_account_id", "begin_date", "end_date", cal_ops.date_to_ymd(F.col("day")).alias("busi_date"))

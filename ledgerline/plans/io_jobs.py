@@ -17,15 +17,15 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from .. import functions as fn
 from ..operators.reconcile import reconcile
 from ..operators.sink import read_table, scoped_replace, write_table
-from ..params import P
+from ..params import P, run_params
 from ..session import scratch_path
+from ..sources.tables import dated
 from . import jobs, ledger, metric_jobs, posting_jobs
 from .ledger import rnd
 from .registry import query
 
 M0, ME = P.month_start, P.month_end
-PM0, PM1 = P.prev_month_start_dash.replace("-", ""), P.prev_month_end_dash.replace("-", "")
-PREV_MONTH = PM0[:6]
+PM0, PM1, PREV_MONTH = P.prev_month_start, P.prev_month_end, P.prev_month_id
 
 SETT_SCHEMA = StructType([
     StructField("busi_date", StringType()), StructField("fund_account_id", StringType()),
@@ -38,7 +38,7 @@ def _fresh(spark, name: str) -> str:
 
 
 def _month_rows(spark, lo: str, hi: str) -> DataFrame:
-    return spark.table("client_sett").filter(F.col("busi_date").between(lo, hi)) \
+    return dated(spark, "client_sett", lo, hi) \
         .select("busi_date", "fund_account_id", "rights")
 
 
@@ -53,14 +53,15 @@ WHERE busi_date BETWEEN '{M0}' AND '{ME}'""")
 def sink_partition_overwrite(spark):
     """K1: write two months partitioned by month, then overwrite only the run
     month (dynamic partition overwrite); the previous month survives."""
+    p = run_params(spark)
     path = _fresh(spark, "client_month")
-    prev = _month_rows(spark, PM0, PM1)
-    cur = _month_rows(spark, M0, ME)
-    write_table(prev, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": PREV_MONTH})
-    write_table(cur, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": P.month_id})
+    prev = _month_rows(spark, p.prev_month_start, p.prev_month_end)
+    cur = _month_rows(spark, p.month_start, p.month_end)
+    write_table(prev, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": p.prev_month_id})
+    write_table(cur, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": p.month_id})
     # recomputed run month replaces its partition only
     redo = cur.withColumn("rights", F.col("rights") * 2)
-    write_table(redo, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": P.month_id})
+    write_table(redo, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": p.month_id})
     return read_table(spark, path, SETT_SCHEMA).select("busi_date", "fund_account_id", "rights", "month_id")
 
 
@@ -74,10 +75,11 @@ SELECT busi_date, fund_account_id, rights, '{P.month_id}' AS month_id FROM clien
 WHERE busi_date BETWEEN '{M0}' AND '{ME}'""")
 def sink_append(spark):
     """K2: append mode adds rows to what is there."""
+    p = run_params(spark)
     path = _fresh(spark, "client_append")
-    cur = _month_rows(spark, M0, ME)
-    write_table(cur, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": P.month_id})
-    write_table(cur, path, SETT_SCHEMA, "append", ["month_id"], {"month_id": P.month_id})
+    cur = _month_rows(spark, p.month_start, p.month_end)
+    write_table(cur, path, SETT_SCHEMA, "overwrite", ["month_id"], {"month_id": p.month_id})
+    write_table(cur, path, SETT_SCHEMA, "append", ["month_id"], {"month_id": p.month_id})
     return read_table(spark, path, SETT_SCHEMA)
 
 
@@ -100,6 +102,7 @@ def scoped_replace_q(spark):
     """K3: several jobs share one adjustment table; each replaces only its
     (month, project) rows.  The stale department rows are replaced, the IB
     office rows are kept, the IB collaboration rows are added."""
+    p = run_params(spark)
     dept = metric_jobs.metric_adjust_dept(spark).select(ADJ_COLS)
     office = metric_jobs.metric_adjust_ib_office(spark).select(ADJ_COLS)
     collab = metric_jobs.metric_adjust_ib_collab(spark).select(ADJ_COLS)
@@ -109,7 +112,7 @@ def scoped_replace_q(spark):
     target = spark.read.parquet(v1)
     v2 = _fresh(spark, "adjust_v2")
     runs = spark.table("proj_index_rela").where("adjust_proj_id in ('A01', 'A03')") \
-        .select(F.lit(P.month_id).alias("month_id"), "adjust_proj_id").distinct()
+        .select(F.lit(p.month_id).alias("month_id"), "adjust_proj_id").distinct()
     scoped_replace(target, dept.unionByName(collab), runs) \
         .write.mode("overwrite").parquet(v2)
     return spark.read.parquet(v2)
@@ -117,9 +120,6 @@ def scoped_replace_q(spark):
 
 # ----------------------------------------------------------- B32 month run
 
-ADJUST_STEPS = ("t_00301", "t_00302", "t_00303", "t_00304", "t_00306")
-
-
 class Job:
     """A step of the month run: its output table, the run's tables it reads, and how to build it from them."""
 
@@ -128,7 +128,8 @@ class Job:
 
 
 def _projects(spark, where: str) -> DataFrame:
-    return spark.table("proj_index_rela").where(where).select(F.lit(P.month_id).alias("month_id"), "adjust_proj_id").distinct()
+    p = run_params(spark)
+    return spark.table("proj_index_rela").where(where).select(F.lit(p.month_id).alias("month_id"), "adjust_proj_id").distinct()
 
 
 def _posting(name: str, key: str, source: str) -> Job:
@@ -164,7 +165,7 @@ MONTH_JOBS = [
     Job("t_00304", lambda s, t: metric_jobs.asset_product_adjust(s), (),
         lambda s: _projects(s, f"substring(adjust_proj_id, 1, 20) = '{metric_jobs.ASSET_PREFIX}'")),
     Job("t_00306", lambda s, t: metric_jobs.passthrough_of(s, t["t_00305"]), ("t_00305",),
-        lambda s: s.table("t00308").select("month_id", "adjust_proj_id").where(F.col("month_id") == P.month_id).distinct()),
+        lambda s: s.table("t00308").select("month_id", "adjust_proj_id").where(F.col("month_id") == run_params(s).month_id).distinct()),
 ]
 POSTED = ["t_00166", "t_00165", "t_00300", "t_00164", "t_00161", "t_00158", "t_00160"]
 

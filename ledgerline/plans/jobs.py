@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..params import P
+from ..params import P, run_params
 from ..sources.dictionary import code_map
-from ..sources.tables import block
+from ..sources.tables import block, dated
 from .basic import EXCLUDED
 from .ledger import LEDGER_SQL, ledger_table, rnd, rounded, rounded_sql
 from .registry import query
@@ -28,14 +28,13 @@ DEPT_COLS = ["end_rights", "remain_transfee", "done_amount", "done_money", "fund
 
 
 @block
-def dept_daily_df(spark) -> DataFrame:
-    """Client day facts of every trading day of the month x rules valid that day.
+def dept_daily_between(spark, first: str, last: str) -> DataFrame:
+    """Client day facts of every trading day from ``first`` to ``last`` x rules valid that day.
 
-    One job covers the whole month (the original runs once per day).
+    One job covers any number of days (the original runs once per day).
     """
-    cal = spark.table("calendar").filter((F.col("trade_flag") == "1") & F.col("busi_date").between(M0, LT))
-    t = (spark.table("rpt_06008").filter(F.col("n_busi_date").between(M0, LT))
-         .join(F.broadcast(cal.select(F.col("busi_date").alias("n_busi_date"))), "n_busi_date"))
+    cal = spark.table("calendar").filter((F.col("trade_flag") == "1") & F.col("busi_date").between(first, last))
+    t = dated(spark, "rpt_06008", first, last).join(cal.select(F.col("busi_date").alias("n_busi_date")), "n_busi_date")
     a = spark.table("t00114")
     b = spark.table("fund_account").select("fund_account_id", "client_name")
     # Key + date-in-validity join
@@ -46,21 +45,34 @@ def dept_daily_df(spark) -> DataFrame:
                     F.col("rights").alias("end_rights"), "remain_transfee", "done_amount", "done_money"))
 
 
+def dept_daily_df(spark) -> DataFrame:
+    p = run_params(spark)
+    return dept_daily_between(spark, p.month_start, p.busi_date)
+
+
 DEPT_DAILY_SQL = f"""(SELECT t.n_busi_date AS busi_date, t.fund_account_id, b.client_name, t.rights AS end_rights,
   t.remain_transfee, t.done_amount, t.done_money
 FROM rpt_06008 t
 JOIN calendar c ON c.busi_date = t.n_busi_date AND c.trade_flag = '1'
 JOIN t00114 a ON t.fund_account_id = a.fund_account_id AND t.n_busi_date BETWEEN a.begin_date AND a.end_date
 JOIN fund_account b ON a.fund_account_id = b.fund_account_id
-WHERE t.n_busi_date BETWEEN '{M0}' AND '{LT}')"""
+WHERE t.n_busi_date BETWEEN '{M0}' AND {LT})"""
 
 
-@block
 def dept_reallocation_df(spark) -> DataFrame:
-    """Facts re-joined to *all* rules of the account (J12, undated, as written)."""
-    t = dept_daily_df(spark)
-    a = spark.table("t00114").drop("begin_date", "end_date")
-    j = t.join(a, "fund_account_id")
+    """B19 for the run month up to the business date."""
+    return reallocated(spark, dept_daily_df(spark))
+
+
+def reallocated(spark, days: DataFrame, dated_rules: bool = False) -> DataFrame:
+    """Day facts re-joined to *all* rules of the account (J12, undated, as written).
+
+    ``dated_rules`` keeps only the rules that hold on the fact's own day (V19).
+    """
+    a = spark.table("t00114")
+    j = days.join(a, "fund_account_id")
+    if dated_rules:
+        j = j.filter(F.col("busi_date").between(F.col("begin_date"), F.col("end_date")))
     return j.select("busi_date", "fund_account_id", "client_name", "end_rights", "remain_transfee", "done_amount",
                     "done_money", "fund_rate", "rights_rate", "done_rate", "out_oa_branch_id",
                     "out_oa_branch_name", "in_oa_branch_id", "in_oa_branch_name",
@@ -105,7 +117,8 @@ _CONS_KEYS = ["busi_month", "client_id", "product_name"]
 
 @block
 def consulting_kernel_df(spark) -> DataFrame:
-    t = spark.table("t00122").filter(F.col("busi_month") == P.month_id)
+    p = run_params(spark)
+    t = spark.table("t00122").filter(F.col("busi_month") == p.month_id)
     a = spark.table("t00122_1")
     j = t.join(a, _CONS_KEYS, "left")
     return j.select(F.col("busi_month").alias("month_id"), "client_id", "client_name", "mobile", "contract_number",
@@ -163,7 +176,8 @@ def consulting_bonus_split(spark):
 
 
 def consulting_bonus_df(spark) -> DataFrame:
-    t = spark.table("t00122").filter(F.col("busi_month") == P.month_id)
+    p = run_params(spark)
+    t = spark.table("t00122").filter(F.col("busi_month") == p.month_id)
     j = t.join(spark.table("t00122_2"), _CONS_KEYS, "left")
     inc = (F.col("invest_total_service_fee") * F.col("perfor_total_rate") * F.col("alloca_perfor_rate")
            * F.col("broker_perfor_rate"))
@@ -182,7 +196,8 @@ def insurance_base_df(spark) -> DataFrame:
 
 
 def insurance_base_of(spark, ledger: DataFrame) -> DataFrame:
-    t = ledger.filter((F.col("month_id") == P.month_id) & (F.col("is_main") == 1))
+    p = run_params(spark)
+    t = ledger.filter((F.col("month_id") == p.month_id) & (F.col("is_main") == 1))
     excluded = spark.table("branch").filter(EXCLUDED).select("branch_id")
     t = t.filter(F.col("branch_id").isNotNull()).join(F.broadcast(excluded), "branch_id", "left_anti")
     x = spark.table("branch_oa_rela").select(F.col("ctp_branch_id").alias("branch_id"), "oa_branch_id")
@@ -210,10 +225,11 @@ def insurance_fund_base(spark):
 
 @block
 def special_client_df(spark) -> DataFrame:
+    p = run_params(spark)
     from .ledger import SPECIAL_REBATE_SPEC, exchange_rebate_df
     reb = exchange_rebate_df(spark, SPECIAL_REBATE_SPEC).select("fund_account_id", "busi_date", "market_reduct")
-    cash = (spark.table("fund_jour")
-            .filter((F.col("fund_type") == "3") & (F.col("fund_direct") == "1") & F.col("busi_date").between(FT, LT))
+    cash = (dated(spark, "fund_jour", p.first_trade_day, p.last_trade_day)
+            .filter((F.col("fund_type") == "3") & (F.col("fund_direct") == "1") & F.col("busi_date").between(p.first_trade_day, p.last_trade_day))
             .groupBy("fund_account_id", "busi_date").agg(F.sum("occur_money").alias("occur_money")))
     rules = spark.table("t00153")
     r_dates = rules.select(F.col("client_id").alias("fund_account_id"), "begin_date", "end_date")
@@ -222,7 +238,7 @@ def special_client_df(spark) -> DataFrame:
           .filter(F.col("busi_date").between(F.col("begin_date"), F.col("end_date")))
           .groupBy("busi_date", "fund_account_id")
           .agg(F.sum(F.col("market_reduct") - F.coalesce(F.col("occur_money"), F.lit(0))).alias("market_ret_reduce")))
-    t4 = (spark.table("rpt_06008").filter(F.col("n_busi_date").between(FT, LT))
+    t4 = (dated(spark, "rpt_06008", p.first_trade_day, p.last_trade_day)
           .join(r_dates, "fund_account_id")
           .filter(F.col("n_busi_date").between(F.col("begin_date"), F.col("end_date")))
           .groupBy(F.col("n_busi_date").alias("busi_date"), "fund_account_id")
@@ -249,7 +265,7 @@ def _special_sql() -> str:
 FROM (SELECT t.busi_date, t.fund_account_id, sum(t.market_reduct - coalesce(t1.occur_money, 0)) AS market_ret_reduce
       FROM {exchange_rebate_sql(SPECIAL_REBATE_SPEC)} t
       LEFT JOIN (SELECT fund_account_id, busi_date, sum(occur_money) AS occur_money FROM fund_jour
-                 WHERE fund_type = '3' AND fund_direct = '1' AND busi_date BETWEEN '{FT}' AND '{LT}'
+                 WHERE fund_type = '3' AND fund_direct = '1' AND busi_date BETWEEN {FT} AND {LT}
                  GROUP BY fund_account_id, busi_date) t1
         ON t.busi_date = t1.busi_date AND t.fund_account_id = t1.fund_account_id
       JOIN t00153 a ON t.fund_account_id = a.client_id
@@ -257,7 +273,7 @@ FROM (SELECT t.busi_date, t.fund_account_id, sum(t.market_reduct - coalesce(t1.o
       GROUP BY t.busi_date, t.fund_account_id) t
 LEFT JOIN (SELECT t.n_busi_date AS busi_date, t.fund_account_id, sum(t.remain_transfee) AS remain_transfee
            FROM rpt_06008 t JOIN t00153 a ON t.fund_account_id = a.client_id
-           WHERE t.n_busi_date BETWEEN '{FT}' AND '{LT}' AND t.n_busi_date BETWEEN a.begin_date AND a.end_date
+           WHERE t.n_busi_date BETWEEN {FT} AND {LT} AND t.n_busi_date BETWEEN a.begin_date AND a.end_date
            GROUP BY t.n_busi_date, t.fund_account_id) t1
   ON t.busi_date = t1.busi_date AND t.fund_account_id = t1.fund_account_id
 JOIN t00153 a ON t.fund_account_id = a.client_id
@@ -288,7 +304,8 @@ def ib_collab_df(spark) -> DataFrame:
 
 
 def ib_collab_of(spark, ledger: DataFrame) -> DataFrame:
-    t = ledger.filter(F.col("month_id") == P.month_id)
+    p = run_params(spark)
+    t = ledger.filter(F.col("month_id") == p.month_id)
     a = spark.table("t00107")
     j = t.join(a, (t.oa_broker_name == a.futu_service_name) & (t.fund_account_id == a.fund_account_id))
     return j.select(t.month_id, "ib_branch_id", "ib_branch_name", t.fund_account_id, "client_name",
@@ -340,7 +357,8 @@ def ib_office_df(spark) -> DataFrame:
 
 
 def ib_office_of(spark, ledger: DataFrame) -> DataFrame:
-    t = ledger.filter(F.col("month_id") == P.month_id)
+    p = run_params(spark)
+    t = ledger.filter(F.col("month_id") == p.month_id)
     rel = spark.table("crm_broker_investor_rela")
     # the left join is followed by null-rejecting filters on the relation: inner
     a = (rel.filter(F.col("broker_id").startswith("ZD") & (F.col("rela_sts") == "A") & (F.col("approve_sts") == "0"))
@@ -355,7 +373,7 @@ def ib_office_of(spark, ledger: DataFrame) -> DataFrame:
     interest = F.coalesce("net_interest_reduce", F.lit(0)) - F.coalesce("csperson_interest", F.lit(0))
     rebate = F.coalesce("market_ret_reduce", F.lit(0)) - F.coalesce("csperson_ret", F.lit(0))
     fee = F.coalesce("clear_remain_transfee", F.lit(0)) - F.coalesce("csperson_rebate", F.lit(0))
-    return j.select(F.lit(P.month_id).alias("month_id"), F.lit("").alias("ib_branch_id"),
+    return j.select(F.lit(p.month_id).alias("month_id"), F.lit("").alias("ib_branch_id"),
                     F.lit("").alias("ib_branch_name"), "fund_account_id", "client_name",
                     F.col("oa_broker_id").alias("broker_id"), F.col("oa_broker_name").alias("broker_name"),
                     F.col("broker_branch_id").alias("oa_branch_id"), F.col("broker_branch_name").alias("oa_branch_name"),
@@ -418,8 +436,9 @@ OTC_COLS = ["add_date", "client_id", "client_name", "open_date", "branch_id", "b
 
 @block
 def otc_month_df(spark) -> DataFrame:
-    t = spark.table("t00207").filter(F.col("add_date").between(M0, ME))
-    return t.select(F.lit(P.month_id).alias("month_id"), *OTC_COLS)
+    p = run_params(spark)
+    t = dated(spark, "t00207", p.month_start, p.month_end)
+    return t.select(F.lit(p.month_id).alias("month_id"), *OTC_COLS)
 
 
 OTC_SQL = f"(SELECT '{P.month_id}' AS month_id, {', '.join(OTC_COLS)} FROM t00207 WHERE add_date BETWEEN '{M0}' AND '{ME}')"

@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..operators.merge import merge_update
 from ..operators.ranking import row_number_by
-from ..operators.rates import lookup_rates, rate_dim, with_oa_branch
-from ..params import P
+from ..operators.rates import lookup_rates, resolved_rates, with_oa_branch
+from ..params import P, run_params
 from ..sources.adapters import REBATE_COLUMNS
-from ..sources.tables import block
+from ..sources.tables import block, dated
 from .registry import query
 
 M0, ME, FT, LT = P.month_start, P.month_end, P.first_trade_day, P.last_trade_day
 D0, D1 = P.month_start_dash, P.month_end_dash
 # the month's trading window [first trade day, last trade day up to busi_date]
-FT_DASH, LT_DASH = f"{FT[:4]}-{FT[4:6]}-{FT[6:]}", f"{LT[:4]}-{LT[4:6]}-{LT[6:]}"
+FT_DASH, LT_DASH = P.first_trade_dash, P.last_trade_dash
 PD0, PD1 = P.prev_month_start_dash, P.prev_month_end_dash
 
 
@@ -48,7 +48,7 @@ def rated(df: DataFrame, spark, date_col: str, fee_types=None, acct_col: str = "
                                             F.col("branch_id").alias("__branch"))
     x = df.join(fa, F.col(acct_col) == F.col("__fa"), "left").drop("__fa")
     x = with_oa_branch(x, spark, "__branch").drop("__branch", "oa_branch_name")
-    return lookup_rates(x, rate_dim(spark), "oa_branch_id", date_col, fee_types or TAX3)
+    return lookup_rates(x, resolved_rates(spark), "oa_branch_id", date_col, fee_types or TAX3)
 
 
 def rated_sql(src: str, date_expr: str, fee_types=None, acct: str = "t.fund_account_id") -> str:
@@ -117,9 +117,10 @@ assert all(c in REBATE_COLUMNS for c, _ in LEDGER_REBATE_SPEC + SPECIAL_REBATE_S
 CUTOFF_DASH = "2022-05-01"
 
 
-def _side(side: str):
+def _side(p, side: str):
     t = F.col("a.tx_dt")
-    return {"cur": t >= D0, "prev": t <= PD1, "prev_cut": (t <= PD1) & (t < CUTOFF_DASH)}[side]
+    now, before = t >= p.month_start_dash, t <= p.prev_month_end_dash
+    return {"cur": now, "prev": before, "prev_cut": before & (t < CUTOFF_DASH)}[side]
 
 
 def _side_sql(side: str) -> str:
@@ -134,16 +135,17 @@ def exchange_rebate_df(spark, spec=LEDGER_REBATE_SPEC) -> DataFrame:
     Every value is rounded per row (4 digits, tx fee 2) before summing; one
     aggregate replaces the original two-level re-aggregation.
     """
-    a = spark.table("exchange_retfee2").alias("a").filter(
-        F.col("tx_dt").between(PD0, PD1) | F.col("tx_dt").between(D0, D1))
+    p = run_params(spark)
+    a = dated(spark, "exchange_retfee2", p.prev_month_start_dash, p.month_end_dash).alias("a").filter(
+        F.col("tx_dt").between(p.prev_month_start_dash, p.prev_month_end_dash) | F.col("tx_dt").between(p.month_start_dash, p.month_end_dash))
     org = spark.table("dc_org").select("department_id")
     inv = spark.table("dc_investor").select(F.col("investor_id").alias("__inv"))
     a = (a.join(F.broadcast(org), F.col("a.orig_department_id") == F.col("department_id"))
          .join(inv, F.col("a.investor_id") == F.col("__inv")))
-    aggs = [F.sum(fn.money(F.when(_side(s), F.col(f"a.{c}")).otherwise(0), 4)).alias(c) for c, s in spec]
-    aggs += [F.sum(fn.money(F.when(_side("cur"), F.col("a.exchange_txfee_amt")).otherwise(0), 2))
+    aggs = [F.sum(fn.money(F.when(_side(p, s), F.col(f"a.{c}")).otherwise(0), 4)).alias(c) for c, s in spec]
+    aggs += [F.sum(fn.money(F.when(_side(p, "cur"), F.col("a.exchange_txfee_amt")).otherwise(0), 2))
              .alias("exchange_txfee_amt"),
-             F.sum(fn.money(F.when(_side("cur"), F.col("a.investor_ret_amt")).otherwise(0), 4))
+             F.sum(fn.money(F.when(_side(p, "cur"), F.col("a.investor_ret_amt")).otherwise(0), 4))
              .alias("investor_ret_amt")]
     g = a.groupBy(F.col("a.investor_id").alias("fund_account_id"),
                   fn.compact_date("a.tx_dt").alias("busi_date")).agg(*aggs).na.fill(0)
@@ -183,8 +185,9 @@ def exchange_rebate(spark):
 @block
 def cash_daily_df(spark) -> DataFrame:
     """Client cash paid per (account, day): A031 rebate, A032 interest."""
-    j = spark.table("fund_jour").filter(
-        (F.col("fund_direct") == "1") & F.col("busi_date").between(FT, LT)
+    p = run_params(spark)
+    j = dated(spark, "fund_jour", p.first_trade_day, p.last_trade_day).filter(
+        (F.col("fund_direct") == "1") & F.col("busi_date").between(p.first_trade_day, p.last_trade_day)
         & F.col("fund_projectid").isin("A031", "A032"))
     return (j.groupBy("fund_account_id", "busi_date")
             .agg(F.sum(F.when(F.col("fund_projectid") == "A031", F.col("occur_money")).otherwise(0))
@@ -196,7 +199,7 @@ def cash_daily_df(spark) -> DataFrame:
 CASH_DAILY_SQL = f"""(SELECT fund_account_id, busi_date,
   sum(CASE WHEN fund_projectid = 'A031' THEN occur_money ELSE 0 END) AS rebate_paid,
   sum(CASE WHEN fund_projectid = 'A032' THEN occur_money ELSE 0 END) AS interest_paid
-FROM fund_jour WHERE fund_direct = '1' AND busi_date BETWEEN '{FT}' AND '{LT}'
+FROM fund_jour WHERE fund_direct = '1' AND busi_date BETWEEN {FT} AND {LT}
   AND fund_projectid IN ('A031', 'A032')
 GROUP BY fund_account_id, busi_date)"""
 
@@ -265,16 +268,17 @@ def interest_daily_df(spark) -> DataFrame:
     The base of a trading day (rights minus the bigger of pledge and margin,
     with the CASE null rule) repeats for every natural day that maps to it.
     """
-    s = spark.table("client_sett").filter(F.col("busi_date").between(P.interest_begin, P.interest_end))
+    p = run_params(spark)
+    s = dated(spark, "client_sett", p.interest_begin, p.interest_end)
     fa = spark.table("fund_account").select(F.col("fund_account_id").alias("__fa"), "branch_id")
     s = s.join(fa, F.col("fund_account_id") == F.col("__fa"), "left").drop("__fa")
     s = with_oa_branch(s, spark, "branch_id")
     base = (s.groupBy("busi_date", "fund_account_id", "oa_branch_id")
             .agg((F.sum("rights") - F.sum(fn.case_max("impawn_money", "market_margin"))).alias("interest_base"))
             .na.fill(0))
-    nat = spark.table("date_nature").filter(F.col("n_busi_date").between(P.interest_begin_nat, P.interest_end))
+    nat = spark.table("date_nature").filter(F.col("n_busi_date").between(p.interest_begin_nat, p.interest_end))
     x = base.join(F.broadcast(nat), "busi_date")
-    x = lookup_rates(x, rate_dim(spark), "oa_branch_id", "busi_date", {"rate": "1001"})
+    x = lookup_rates(x, resolved_rates(spark), "oa_branch_id", "busi_date", {"rate": "1001"})
     return (x.groupBy(F.col("n_busi_date").alias("busi_date"), "fund_account_id")
             .agg(F.sum("interest_base").alias("interest_base"),
                  (F.sum(F.col("interest_base") * F.coalesce(F.col("rate"), F.lit(0))) / 365).alias("interest_income"))
@@ -289,7 +293,7 @@ FROM (SELECT t.busi_date, t.fund_account_id, x.oa_branch_id,
                                                ELSE t.market_margin END), 0) AS interest_base
       FROM client_sett t LEFT JOIN fund_account t2 ON t.fund_account_id = t2.fund_account_id
       JOIN branch_oa_rela x ON t2.branch_id = x.ctp_branch_id
-      WHERE t.busi_date BETWEEN '{P.interest_begin}' AND '{P.interest_end}'
+      WHERE t.busi_date BETWEEN {P.interest_begin} AND '{P.interest_end}'
       GROUP BY t.busi_date, t.fund_account_id, x.oa_branch_id) t
 JOIN date_nature b ON t.busi_date = b.busi_date
 LEFT JOIN rate_param c ON instr(c.branch_id, t.oa_branch_id) > 0 AND c.fee_type = '1001'
@@ -345,11 +349,12 @@ CLIENT_COLS = ["client_interest_settlement", "client_interest_after_tax", "clien
 def investor_value_df(spark) -> DataFrame:
     """Investor monthly value; client interest / rebate start at 0 and are
     MERGE-updated from the client cash paid in the month."""
-    v = spark.table("adm_investor_value").filter(F.col("date_dt") == D0)
+    p = run_params(spark)
+    v = dated(spark, "adm_investor_value", p.month_start_dash, p.month_start_dash)
     inv = spark.table("dc_investor").select(F.col("investor_id").alias("__inv"), "orig_department_id")
     v = v.join(inv, F.col("investor_id") == F.col("__inv")).drop("__inv")
     v = with_oa_branch(v, spark, "orig_department_id").withColumn("__d", fn.compact_date("date_dt"))
-    v = lookup_rates(v, rate_dim(spark), "oa_branch_id", "__d", TAX3)
+    v = lookup_rates(v, resolved_rates(spark), "oa_branch_id", "__d", TAX3)
     vat, sur, risk = (F.coalesce(F.col(c), F.lit(0)) for c in ("vat", "surtax", "risk"))
     s = F.col("subsistence_fee_amt")
     o = F.col("oth_amt")
@@ -499,16 +504,17 @@ def broker_measures_df(spark) -> DataFrame:
 
     Header amounts repeat for every detail row of an account (left join).
     """
-    v = spark.table("adm_investor_value").filter(F.col("date_dt") == D0).alias("a")
+    p = run_params(spark)
+    v = dated(spark, "adm_investor_value", p.month_start_dash, p.month_start_dash).alias("a")
     inv = spark.table("dc_investor").select(F.col("investor_id").alias("__inv"), "orig_department_id")
     org = spark.table("dc_org").select("department_id")
-    det = spark.table("adm_brokerdata_detail").filter(F.col("rec_freq") == "M").alias("a2")
+    det = dated(spark, "adm_brokerdata_detail", p.month_start_dash, p.month_start_dash).filter(F.col("rec_freq") == "M").alias("a2")
     x = (v.join(inv, F.col("a.investor_id") == F.col("__inv"))
          .join(F.broadcast(org), F.col("orig_department_id") == F.col("department_id"))
          .join(det, (F.col("a.date_dt") == F.col("a2.tx_dt")) & (F.col("a.investor_id") == F.col("a2.investor_id")),
                "left"))
     x = with_oa_branch(x, spark, "orig_department_id").withColumn("__d", fn.compact_date("a.date_dt"))
-    x = lookup_rates(x, rate_dim(spark), "oa_branch_id", "__d", BROKER_TAX)
+    x = lookup_rates(x, resolved_rates(spark), "oa_branch_id", "__d", BROKER_TAX)
     zd = F.col("a2.staff_id").like("ZD%")
     bases = {
         "csperson_rebate": F.col("a.broker_amt"), "csperson_ret": F.col("a.broker_eret_amt"),
@@ -589,10 +595,11 @@ SPINE_COLS = ["month_id", "branch_id", "branch_name", "oa_broker_id", "oa_broker
 def ledger_spine_df(spark) -> DataFrame:
     """Valid relationships x broker x department x investor x org, active and
     recently closed accounts, with a deterministic main-row flag."""
+    p = run_params(spark)
     # dash-form strings order like the compact form: compare them directly so
     # the validity predicate reaches the parquet scan
     a = spark.table("crm_broker_investor_rela").alias("a").filter(
-        (F.col("end_dt") >= D0) & (F.col("st_dt") <= D1) & (F.col("rela_sts") == "A"))
+        (F.col("end_dt") >= p.month_start_dash) & (F.col("st_dt") <= p.month_end_dash) & (F.col("rela_sts") == "A"))
     b = spark.table("crm_broker").alias("b")
     f = spark.table("mdp_dept00").alias("f")
     c = spark.table("dc_investor").alias("c")
@@ -604,8 +611,8 @@ def ledger_spine_df(spark) -> DataFrame:
          .join(F.broadcast(d), F.col("c.orig_department_id") == F.col("d.department_id"))
          .join(x, F.col("a.investor_id") == F.col("x.fund_account_id"), "left"))
     active = F.col("x.isactive") == "0"
-    closed = (F.col("x.isactive") == "3") & (F.col("x.close_date").between(M0, LT) | (F.col("x.close_date") >= ME))
-    sel = [F.lit(P.month_id).alias("month_id"), F.col("d.department_id").alias("branch_id"),
+    closed = (F.col("x.isactive") == "3") & (F.col("x.close_date").between(p.month_start, p.last_trade_day) | (F.col("x.close_date") >= p.month_end))
+    sel = [F.lit(p.month_id).alias("month_id"), F.col("d.department_id").alias("branch_id"),
            F.col("d.department_nam").alias("branch_name"),
            F.coalesce(F.col("a.broker_id"), F.lit("-")).alias("oa_broker_id"),
            F.coalesce(F.col("b.broker_nam"), F.lit("-")).alias("oa_broker_name"),
@@ -631,7 +638,7 @@ FROM (SELECT '{P.month_id}' AS month_id, d.department_id AS branch_id, d.departm
       JOIN dc_org d ON c.orig_department_id = d.department_id
       LEFT JOIN fund_account x ON a.investor_id = x.fund_account_id
       WHERE replace(a.end_dt, '-', '') >= '{M0}' AND replace(a.st_dt, '-', '') <= '{ME}' AND a.rela_sts = 'A'
-        AND (x.isactive = '0' OR (x.isactive = '3' AND (x.close_date BETWEEN '{M0}' AND '{LT}'
+        AND (x.isactive = '0' OR (x.isactive = '3' AND (x.close_date BETWEEN '{M0}' AND {LT}
                                                          OR x.close_date >= '{ME}')))) s)"""
 
 
@@ -650,11 +657,12 @@ BALANCE_COLS = ["yes_rights", "end_rights", "avg_rights", "total_profit", "trans
 def period_balances_df(spark) -> DataFrame:
     """Opening (first trade day), closing (last trade day) and average
     (sum / trade days, guarded) balances plus profit and fee sums."""
-    s = spark.table("client_sett").filter(F.col("busi_date").between(FT, LT))
-    td = P.trade_days
+    p = run_params(spark)
+    s = dated(spark, "client_sett", p.first_trade_day, p.last_trade_day)
+    td = p.trade_days
     return (s.groupBy("fund_account_id")
-            .agg(F.sum(F.when(F.col("busi_date") == FT, F.col("yes_rights")).otherwise(0)).alias("yes_rights"),
-                 F.sum(F.when(F.col("busi_date") == LT, F.col("rights")).otherwise(0)).alias("end_rights"),
+            .agg(F.sum(F.when(F.col("busi_date") == p.first_trade_day, F.col("yes_rights")).otherwise(0)).alias("yes_rights"),
+                 F.sum(F.when(F.col("busi_date") == p.last_trade_day, F.col("rights")).otherwise(0)).alias("end_rights"),
                  F.sum(F.when(F.lit(td) > 0, F.col("rights") / F.lit(max(td, 1))).otherwise(0)).alias("avg_rights"),
                  F.sum(F.col("hold_profit") + F.col("close_profit")).alias("total_profit"),
                  F.sum(F.col("transfee") + F.col("delivery_transfee") + F.col("strikefee")).alias("transfee"),
@@ -664,13 +672,13 @@ def period_balances_df(spark) -> DataFrame:
 
 
 BALANCES_SQL = f"""(SELECT fund_account_id,
-  coalesce(sum(CASE WHEN busi_date = '{FT}' THEN yes_rights ELSE 0 END), 0) AS yes_rights,
-  coalesce(sum(CASE WHEN busi_date = '{LT}' THEN rights ELSE 0 END), 0) AS end_rights,
-  coalesce(sum(CASE WHEN {P.trade_days} > 0 THEN rights / {max(P.trade_days, 1)} ELSE 0 END), 0) AS avg_rights,
+  coalesce(sum(CASE WHEN busi_date = {FT} THEN yes_rights ELSE 0 END), 0) AS yes_rights,
+  coalesce(sum(CASE WHEN busi_date = {LT} THEN rights ELSE 0 END), 0) AS end_rights,
+  coalesce(sum(CASE WHEN {P.trade_days} > 0 THEN rights / greatest({P.trade_days}, 1) ELSE 0 END), 0) AS avg_rights,
   coalesce(sum(hold_profit + close_profit), 0) AS total_profit,
   coalesce(sum(transfee + delivery_transfee + strikefee), 0) AS transfee,
   coalesce(sum(market_transfee + market_delivery_transfee + market_strikefee), 0) AS market_transfee
-FROM client_sett WHERE busi_date BETWEEN '{FT}' AND '{LT}' GROUP BY fund_account_id)"""
+FROM client_sett WHERE busi_date BETWEEN {FT} AND {LT} GROUP BY fund_account_id)"""
 
 
 @query("period_balances", rounded_sql(BALANCE_COLS, f"{BALANCES_SQL} b"))
@@ -727,9 +735,10 @@ TURNOVER_COLS = ["done_money", "done_amount", "secu_fee"]
 
 @block
 def turnover_df(spark) -> DataFrame:
-    h = spark.table("hold_balance").filter(F.col("busi_date").between(FT, LT))
+    p = run_params(spark)
+    h = dated(spark, "hold_balance", p.first_trade_day, p.last_trade_day)
     h = with_oa_branch(h, spark, "branch_id")
-    h = lookup_rates(h, rate_dim(spark), "oa_branch_id", "busi_date", {"rate": "1003"})
+    h = lookup_rates(h, resolved_rates(spark), "oa_branch_id", "busi_date", {"rate": "1003"})
     return (h.groupBy("fund_account_id")
             .agg(F.sum("done_sum").alias("done_money"), F.sum("done_amt").alias("done_amount"),
                  F.sum(F.col("done_sum") * F.coalesce(F.col("rate"), F.lit(0))).alias("secu_fee"))
@@ -741,7 +750,7 @@ TURNOVER_SQL = f"""(SELECT t.fund_account_id, sum(t.done_sum) AS done_money, sum
 FROM hold_balance t JOIN branch_oa_rela x ON t.branch_id = x.ctp_branch_id
 LEFT JOIN rate_param c ON instr(c.branch_id, x.oa_branch_id) > 0 AND c.fee_type = '1003'
      AND t.busi_date BETWEEN c.begin_date AND c.end_date
-WHERE t.busi_date BETWEEN '{FT}' AND '{LT}'
+WHERE t.busi_date BETWEEN {FT} AND {LT}
 GROUP BY t.fund_account_id)"""
 
 
@@ -844,14 +853,15 @@ def expense_totals(spark):
 def clear_remain_df(spark) -> DataFrame:
     """Net retained fee: per row subsistence - fd - return - coalesce(soft, 0)
     (NULL when any of the first three is NULL), summed per account."""
-    c = spark.table("adm_cust_01").filter(F.col("tx_dt").between(FT_DASH, LT_DASH))
+    p = run_params(spark)
+    c = dated(spark, "adm_cust_01", p.first_trade_dash, p.last_trade_dash)
     e = F.col("subsistence_fee_amt") - F.col("fd_amt") - F.col("return_amt") - F.coalesce(F.col("soft_amt"), F.lit(0))
     return c.groupBy(F.col("investor_id").alias("fund_account_id")).agg(F.sum(e).alias("clear_remain_transfee"))
 
 
 CLEAR_SQL = f"""(SELECT investor_id AS fund_account_id,
   sum(subsistence_fee_amt - fd_amt - return_amt - coalesce(soft_amt, 0)) AS clear_remain_transfee
-FROM adm_cust_01 WHERE tx_dt BETWEEN '{FT_DASH}' AND '{LT_DASH}' GROUP BY investor_id)"""
+FROM adm_cust_01 WHERE tx_dt BETWEEN {FT_DASH} AND {LT_DASH} GROUP BY investor_id)"""
 
 
 @query("clear_remain_fee", rounded_sql(["clear_remain_transfee"], f"{CLEAR_SQL} c"))

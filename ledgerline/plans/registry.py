@@ -33,7 +33,7 @@ def query(key: str, oracle: str | None = None):
     return deco
 
 
-PLAN_MODULES = ["basic", "calendar_q", "ledger", "jobs", "posting_jobs", "metric_jobs", "io_jobs"]
+PLAN_MODULES = ["basic", "calendar_q", "ledger", "jobs", "posting_jobs", "metric_jobs", "io_jobs", "backfill"]
 
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 
+from ..params import BUSI_DATE, run_param_sql
 from .dictionary import dictionary_sql
 
 # ---------------------------------------------------------------- macros
@@ -49,11 +50,6 @@ def YMD(ts: str) -> str:
     return f"replace(cast(cast({ts} as date) as string), '-', '')"
 
 
-def D2(x: str) -> str:
-    """Amounts stay DOUBLE (the warehouse type)."""
-    return x
-
-
 def R(x: str, n: int) -> str:
     """Round a DOUBLE expression to ``n`` digits with plain IEEE double
     arithmetic: both engines compute bit-identical values."""
@@ -97,7 +93,7 @@ def _rebate_cols() -> str:
     for k, c in enumerate(REBATE_COLUMNS):
         out.append(
             f"CASE WHEN l.l_suppkey % 16 = {k} THEN "
-            f"{R(D2('l.l_extendedprice') + ' * ' + D2('l.l_discount') + ' * 0.1', 4)} "
+            f"{R('l.l_extendedprice * l.l_discount * 0.1', 4)} "
             f"ELSE 0 END AS {c}")
     return ",\n  ".join(out)
 
@@ -114,9 +110,9 @@ _IV_MEASURES = [  # (column, base, factor) for the monthly investor value
 
 def _iv_cols() -> str:
     base = {
-        "disc": D2("l.l_extendedprice") + " * " + D2("l.l_discount"),
-        "tax": D2("l.l_extendedprice") + " * " + D2("l.l_tax"),
-        "price": D2("l.l_extendedprice"),
+        "disc": "l.l_extendedprice * l.l_discount",
+        "tax": "l.l_extendedprice * l.l_tax",
+        "price": "l.l_extendedprice",
     }
     return ",\n  ".join(
         f"{SUMR(f'{base[b]} * {f}', 2)} AS {c}" for c, b, f in _IV_MEASURES)
@@ -125,9 +121,20 @@ def _iv_cols() -> str:
 # ---------------------------------------------------------------- views
 # name -> SQL.  ``calendar`` has a per-dialect body (date series syntax).
 
+#: Closed weekdays of every year (fixed values, month and day): the exchange's holidays of the model.  June 2 and
+#: 30 close the first and the last weekday of the run month.
+CLOSED_DAYS = ("0101", "0102", "0501", "0602", "0630", "1001", "1002", "1003")
+
+
+def _trades(weekday_test: str) -> str:
+    closed = ", ".join(f"'{d}'" for d in CLOSED_DAYS)
+    return (f"CASE WHEN {weekday_test} AND substr(replace(cast(cal_date as string), '-', ''), 5, 4) NOT IN ({closed}) "
+            "THEN '1' ELSE '0' END AS trade_flag")
+
+
 CALENDAR_SPARK = f"""
 SELECT replace(cast(cal_date as string), '-', '') AS busi_date, cal_date,
-       CASE WHEN weekday(cal_date) < 5 THEN '1' ELSE '0' END AS trade_flag,
+       {_trades('weekday(cal_date) < 5')},
        '1' AS market_no
 FROM (SELECT explode(sequence(add_months(trunc(lo, 'MM'), -2), last_day(add_months(hi, 1)), INTERVAL 1 DAY)) AS cal_date
       FROM (SELECT {_FIRST} AS lo, {_LAST} AS hi) b) s
@@ -135,7 +142,7 @@ FROM (SELECT explode(sequence(add_months(trunc(lo, 'MM'), -2), last_day(add_mont
 
 CALENDAR_DUCK = f"""
 SELECT replace(cast(cal_date as string), '-', '') AS busi_date, cal_date,
-       CASE WHEN isodow(cal_date) <= 5 THEN '1' ELSE '0' END AS trade_flag,
+       {_trades('isodow(cal_date) <= 5')},
        '1' AS market_no
 FROM (SELECT cast(unnest(generate_series(date_trunc('month', lo) - INTERVAL 2 MONTH,
                                          last_day(cast(hi + INTERVAL 1 MONTH as date)), INTERVAL 1 DAY)) as date) AS cal_date
@@ -228,9 +235,9 @@ WHERE c.nature_date IS NOT NULL""",
     "exchange_retfee2": f"""
 SELECT {DASH('l.l_shipdate')} AS tx_dt, {ACCT('o.o_custkey')} AS investor_id,
        {BR('cu.c_nationkey')} AS orig_department_id,
-       {R(D2('l.l_extendedprice') + ' * ' + D2('l.l_tax') + ' * 0.01', 2)} AS exchange_txfee_amt,
+       {R('l.l_extendedprice * l.l_tax * 0.01', 2)} AS exchange_txfee_amt,
   {_rebate_cols()},
-       {R(D2('l.l_extendedprice') + ' * 0.001', 4)} AS investor_ret_amt
+       {R('l.l_extendedprice * 0.001', 4)} AS investor_ret_amt
 FROM {_LINE}""",
     "fund_jour": f"""
 SELECT replace(cast(DATE '1997-06-01' + cast(extract(day from ts) - 1 as int) as string), '-', '') AS busi_date,
@@ -242,12 +249,12 @@ SELECT replace(cast(DATE '1997-06-01' + cast(extract(day from ts) - 1 as int) as
 FROM events""",
     "adm_cust_01": f"""
 SELECT {DASH('l.l_shipdate')} AS tx_dt, {ACCT('o.o_custkey')} AS investor_id,
-       {R(D2('l.l_extendedprice') + ' * ' + D2('l.l_discount') + ' * 0.05', 4)} AS subsistence_fee_amt,
+       {R('l.l_extendedprice * l.l_discount * 0.05', 4)} AS subsistence_fee_amt,
        CASE WHEN l.l_linenumber = 7 THEN NULL
-            ELSE {R(D2('l.l_extendedprice') + ' * ' + D2('l.l_tax') + ' * 0.02', 4)} END AS fd_amt,
-       CASE WHEN l.l_returnflag = 'R' THEN {R(D2('l.l_extendedprice') + ' * 0.001', 4)} ELSE 0 END AS return_amt,
+            ELSE {R('l.l_extendedprice * l.l_tax * 0.02', 4)} END AS fd_amt,
+       CASE WHEN l.l_returnflag = 'R' THEN {R('l.l_extendedprice * 0.001', 4)} ELSE 0 END AS return_amt,
        CASE WHEN l.l_linestatus = 'F' THEN NULL
-            ELSE {R(D2('l.l_extendedprice') + ' * 0.0005', 4)} END AS soft_amt
+            ELSE {R('l.l_extendedprice * 0.0005', 4)} END AS soft_amt
 FROM {_LINE}""",
     "adm_investor_value": f"""
 SELECT concat(substr({DASH('l.l_shipdate')}, 1, 7), '-01') AS date_dt,
@@ -322,7 +329,7 @@ SELECT '199706' AS busi_month, {ACCT('o.o_custkey')} AS client_id, cu.c_name AS
        {YMD('o.o_orderdate')} AS contract_begin_date,
        replace(cast(cast(o.o_orderdate as date) + 365 as string), '-', '') AS contract_end_date,
        {YMD('o.o_orderdate')} AS collection_time,
-       {R(D2('o.o_totalprice') + ' * 0.01', 2)} AS invest_total_service_fee,
+       {R('o.o_totalprice * 0.01', 2)} AS invest_total_service_fee,
        cast(o.o_orderkey % 4 + 2 as double) / 10 AS kernel_total_rate,
        cast(o.o_orderkey % 3 + 1 as double) / 10 AS perfor_total_rate
 FROM orders o JOIN customer cu ON cu.c_custkey = o.o_custkey
@@ -341,11 +348,11 @@ SELECT {YMD('o.o_orderdate')} AS add_date, {ACCT('o.o_custkey')} AS client_id, c
        concat('NATION_', cast(cu.c_nationkey as string)) AS branch_name,
        {BROKER('o.o_orderkey % 100')} AS introductor_id, concat('Introducer ', cast(o.o_orderkey % 100 as string)) AS introductor,
        {YMD('o.o_orderdate')} AS trade_begin_date, cast(o.o_orderkey % 9 + 1 as double) AS trade_orders,
-       {R(D2('o.o_totalprice') + ' * 0.02', 2)} AS premium_abs,
-       {R(D2('o.o_totalprice') + ' * 1.5', 2)} AS actual_notional_principal,
-       {R(D2('o.o_totalprice') + ' * 0.003', 2)} AS sale_income,
-       {R(D2('o.o_totalprice') + ' * 0.001', 2)} AS colla_pricing,
-       {R(D2('o.o_totalprice') + ' * 0.004', 2)} AS total_income
+       {R('o.o_totalprice * 0.02', 2)} AS premium_abs,
+       {R('o.o_totalprice * 1.5', 2)} AS actual_notional_principal,
+       {R('o.o_totalprice * 0.003', 2)} AS sale_income,
+       {R('o.o_totalprice * 0.001', 2)} AS colla_pricing,
+       {R('o.o_totalprice * 0.004', 2)} AS total_income
 FROM orders o JOIN customer cu ON cu.c_custkey = o.o_custkey
 WHERE o.o_orderpriority = '2-HIGH'""",
     # Consulting allocations per (month, client, product): kernel split to
@@ -380,7 +387,7 @@ FROM (SELECT DISTINCT busi_month, client_id, product_name FROM t00122) k""",
 SELECT {YMD('l.l_shipdate')} AS busi_date, p.p_brand AS product_name,
        CASE WHEN s.s_suppkey % 9 = 0 THEN 'UNMAPPED'
             WHEN n.n_regionkey % 2 = 0 THEN concat('SWHY', r.r_name) ELSE r.r_name END AS broker_branch,
-       {R(D2('l.l_extendedprice') + ' * 0.1', 2)} AS broker_rights
+       {R('l.l_extendedprice * 0.1', 2)} AS broker_rights
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",
     # Rule windows per CTP branch for the other-product job.
@@ -502,6 +509,13 @@ FROM part WHERE p_size > 5""",
     "dictionary": dictionary_sql(),
 }
 
+#: Dated fact tables: their date column (either spelling) and a column that spreads the rows of a day.
+FACTS = {"client_sett": ("busi_date", "fund_account_id"), "hold_balance": ("busi_date", "fund_account_id"),
+         "exchange_retfee2": ("tx_dt", "investor_id"), "fund_jour": ("busi_date", "fund_account_id"),
+         "adm_cust_01": ("tx_dt", "investor_id"), "adm_investor_value": ("date_dt", "investor_id"),
+         "adm_brokerdata_detail": ("tx_dt", "investor_id"), "rpt_06008": ("n_busi_date", "fund_account_id"),
+         "t00207": ("add_date", "client_id"), "t00203": ("busi_date", "product_name")}
+
 RAW_TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
               "lineitem", "events"]
 
@@ -510,10 +524,15 @@ def _deps(sql: str, names) -> list[str]:
     return [n for n in names if re.search(rf"\b{re.escape(n)}\b", sql)]
 
 
+def _oracle_bodies() -> dict[str, str]:
+    """Statements of the oracles' views: the calendar in DuckDB's words, and the run parameters it decides."""
+    return dict(VIEWS, calendar_base=CALENDAR_DUCK, run_param=run_param_sql(BUSI_DATE))
+
+
 def needed_views(sql: str) -> list[str]:
     """Adapter views a statement uses, transitively, in definition order."""
-    names = list(VIEWS) + ["calendar_base"]
-    bodies = dict(VIEWS, calendar_base=CALENDAR_DUCK)
+    bodies = _oracle_bodies()
+    names = list(bodies)
     seen: list[str] = []
 
     def visit(n: str) -> None:
@@ -534,7 +553,7 @@ def with_clause(sql: str) -> str:
     views = needed_views(sql)
     if not views:
         return sql
-    bodies = dict(VIEWS, calendar_base=CALENDAR_DUCK)
+    bodies = _oracle_bodies()
     ctes = ",\n".join(f"{v} AS ({bodies[v].strip()})" for v in views)
     body = sql.strip()
     if body.upper().startswith("WITH "):

@@ -3,11 +3,16 @@
 ``load(spark, sf_dir)`` registers every raw table as a temp view (lazy
 parquet scans, so filters and column pruning reach the files).  The adapter
 views that model the warehouse are then *staged*: each is computed once per
-session and written as parquet under the shared ``spark.checkpoint.dir``,
-and the written table is registered under the view's name.  Downstream jobs
-therefore read tables, as they would in the warehouse, instead of re-deriving
-them from the raw tables inside every plan; the write also cuts lineage, so
-a lost executor never re-runs the derivation of an earlier layer.
+application and set of input files, and written as parquet under the shared
+``spark.checkpoint.dir``; the written table is registered under the view's name.
+Downstream jobs therefore read tables, as they would in the warehouse, instead
+of re-deriving them from the raw tables inside every plan; the write also cuts
+lineage, so a lost executor never re-runs the derivation of an earlier layer.
+
+Dated facts are partitioned by month and sorted by day inside a file.  ``dated``
+scans them for a span of days: only the files of its months are read, and the
+day reaches the scan as a pushed filter.  A month is dealt to tasks by ranges of
+(day, account), so neither a month nor a day has to fit one task.
 
 ``load(..., stage=False)`` registers plain views instead (no writes).
 """
@@ -20,58 +25,115 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..params import busi_date_of
 from ..session import scratch_path
 from . import adapters
 
-_loaded: dict[int, str] = {}
+LOADED = "ledgerline.loaded"  # a setting of the session: which data set its views show
+MONTH = "p_month"
 _staged: dict[tuple, str] = {}
 STAGE_SECONDS: dict[str, float] = {}
 VIEW_SECONDS: dict[str, float] = {}
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files, so that changed input is another data set."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
+def _month(date_col: str):
+    return F.substring(F.regexp_replace(date_col, "-", ""), 1, 6)
+
+
 def load(spark: SparkSession, sf_dir: str, stage: bool = True) -> SparkSession:
-    key = id(spark)
-    if _loaded.get(key) == sf_dir:
-        return spark
     t0 = time.time()
-    for t in adapters.RAW_TABLES:
-        spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).createOrReplaceTempView(t)
+    inputs = {t: os.path.join(sf_dir, f"{t}.parquet") for t in adapters.RAW_TABLES}
+    data = (sf_dir, tuple(_files(spark, p) for p in inputs.values()))
+    app = (spark.sparkContext.applicationId, data)
+    loaded = spark.conf.get(LOADED, None)
+    if loaded and loaded.split(" ", 2)[1:] == [str(hash(data)), sf_dir]:
+        return spark
+    for t, path in inputs.items():
+        spark.read.parquet(path).createOrReplaceTempView(t)
     # Staged tables are reused by later sessions of the same application.
-    app = (spark.sparkContext.applicationId, sf_dir)
     done = _staged.get(app) if stage else None
     run = done or uuid.uuid4().hex[:12]
 
+    def staged(name: str, make) -> DataFrame:
+        path = scratch_path(spark, f"warehouse/{run}/{name}")
+        fact = adapters.FACTS.get(name)
+        df = None if done else make()
+        if df is not None and fact:
+            day, spread = fact
+            df.withColumn(MONTH, _month(day)).repartitionByRange(day, spread).sortWithinPartitions(MONTH, day) \
+                .write.mode("overwrite").partitionBy(MONTH).parquet(path)
+            schema = df.withColumn(MONTH, _month(day)).schema
+        elif df is not None:
+            df.write.mode("overwrite").parquet(path)
+            schema = df.schema
+        if df is None:
+            return spark.read.schema(_SCHEMAS[run, name]).parquet(path)
+        _SCHEMAS[run, name] = schema
+        return spark.read.schema(schema).parquet(path)
+
     def build(name: str) -> DataFrame:
         t = time.time()
         body = adapters.CALENDAR_SPARK if name == "calendar_base" else adapters.VIEWS[name]
         if stage:
-            path = scratch_path(spark, f"warehouse/{run}/{name}")
-            if not done:
-                spark.sql(body).write.mode("overwrite").parquet(path)
-            df = spark.read.parquet(path)
+            df = staged(name, lambda: spark.sql(body))
         else:
             df = spark.sql(body)
+            if name in adapters.FACTS:
+                df = df.withColumn(MONTH, _month(adapters.FACTS[name][0]))
         VIEW_SECONDS[name] = time.time() - t
         return df
 
+    def register(name: str, df: DataFrame) -> None:
+        if MONTH in df.columns:
+            df.createOrReplaceTempView(f"{name}__months")
+        df.drop(MONTH).createOrReplaceTempView(name)
+
     # Stage level by level: every view of a level only reads raw tables or
     # views of earlier levels, so a level's writes run as concurrent jobs.
     for level in adapters.view_levels():
         with ThreadPoolExecutor(max_workers=min(8, len(level))) as pool:
             frames = list(pool.map(build, level))
         for name, df in zip(level, frames):
-            df.createOrReplaceTempView(name)
-    _loaded[key] = sf_dir
+            register(name, df)
+    from ..operators.rates import rate_dim, rate_segments
+    resolve = lambda: rate_segments(rate_dim(spark))  # noqa: E731 - a parameter table, resolved once
+    register("rate_segment", staged("rate_segment", resolve) if stage else resolve())
+    spark.conf.set(LOADED, f"{uuid.uuid4().hex} {hash(data)} {sf_dir}")
     if stage:
         _staged[app] = run
     STAGE_SECONDS[sf_dir] = time.time() - t0
     return spark
 
 
-def loaded_dir(spark: SparkSession) -> str | None:
-    """The test-data folder whose tables are currently registered."""
-    return _loaded.get(id(spark))
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
+def dated(spark: SparkSession, name: str, first: str | None, last: str | None) -> DataFrame:
+    """Rows of a dated fact from day ``first`` to day ``last`` (in the spelling of its date column, both inclusive).
+
+    The months become a filter on the partition column, so other months' files are not listed or read.
+    Without a first or last day (a month without trading) there are no rows.
+    """
+    day = adapters.FACTS[name][0]
+    t = spark.table(f"{name}__months")
+    if first is None or last is None:
+        return t.drop(MONTH).limit(0)
+    lo, hi = (d.replace("-", "")[:6] for d in (first, last))
+    return t.filter(F.col(MONTH).between(lo, hi) & F.col(day).between(first, last)).drop(MONTH)
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """What a memoised plan depends on: the registered data set and the business date."""
+    return spark.conf.get(LOADED, None), busi_date_of(spark)
 
 
 _blocks: dict[tuple, DataFrame] = {}
@@ -87,7 +149,7 @@ def block(fn):
     def wrapper(spark: SparkSession, *args, **kwargs):
         frozen = tuple(tuple(v) if isinstance(v, list) else v for v in args)
         frozen += tuple((k, tuple(v) if isinstance(v, list) else v) for k, v in sorted(kwargs.items()))
-        key = (id(spark), loaded_dir(spark), fn.__module__, fn.__name__, frozen)
+        key = (*session_key(spark), fn.__module__, fn.__name__, frozen)
         df = _blocks.get(key)
         if df is None:
             df = _blocks[key] = fn(spark, *args, **kwargs)
@@ -114,7 +176,7 @@ def written(spark: SparkSession, name: str, build) -> DataFrame:
     cuts lineage (a lost executor never recomputes the earlier job) and the
     later plan starts from a plain parquet scan.
     """
-    key = (id(spark), loaded_dir(spark), name)
+    key = (*session_key(spark), name)
     df = _written.get(key)
     if df is None:
         path = scratch_path(spark, f"jobs/{uuid.uuid4().hex[:12]}/{name}")

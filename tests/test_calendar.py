@@ -6,11 +6,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import calendar as C
-from ledgerline.params import RunParams, is_trade_day, roll_back
+from ledgerline.params import params_of
+from ledgerline.sources.adapters import CLOSED_DAYS
 
 SF = "/root/testdata/sf0.001"
 
 
+def is_trade_day(d: dt.date) -> bool:
+    return d.weekday() < 5 and d.strftime("%m%d") not in CLOSED_DAYS
+
+
+def roll_back(d: dt.date) -> dt.date:
+    while not is_trade_day(d):
+        d -= dt.timedelta(days=1)
+    return d
+
+
 @pytest.fixture(scope="module")
 def cal(spark):
     from ledgerline.sources import tables
@@ -60,7 +71,7 @@ def test_nth_trading_day(spark, cal, n):
 
 def test_period_bounds(cal):
     r = C.period_bounds(cal, month="199706").collect()[0]
-    assert (r.begin_date, r.end_date, r.total_days) == ("19970602", "19970630", 21)
+    assert (r.begin_date, r.end_date, r.total_days) == ("19970603", "19970627", 19)  # both ends of the month are closed
     r = C.period_bounds(cal, begin_date="19970607", end_date="19970608").collect()[0]
     assert (r.begin_date, r.end_date, r.total_days) == (None, None, 0)
     r = C.period_bounds(cal, year="1996", trading=False).collect()[0]
@@ -77,9 +88,15 @@ def test_month_helpers(spark):
                                        ("199702", "199704", "20221231", "20220101")]
 
 
-def test_run_params():
-    p = RunParams.of("19970630")
-    assert (p.first_trade_day, p.last_trade_day, p.trade_days) == ("19970602", "19970630", 21)
-    assert (p.interest_begin, p.interest_end) == ("19970521", "19970620")
-    p = RunParams.of("19970323")  # 21 Feb 1997 is a Friday; busi_date on a Sunday
+def test_run_params_follow_the_calendar(cal):
+    p = params_of(cal, "19970630")  # the month's first and last weekday are closed
+    assert (p.first_trade_day, p.last_trade_day, p.trade_days) == ("19970603", "19970627", 19)
+    assert (p.interest_begin, p.interest_end, p.month_id) == ("19970521", "19970620", "199706")
+    assert p.last_trade_dash == "1997-06-27" and p.prev_month_end_dash == "1997-05-31"
+    p = params_of(cal, "19970323")  # 21 Feb 1997 is a Friday; busi_date on a Sunday
     assert p.last_trade_day == "19970321" and p.interest_begin == "19970221"
+    shut = cal.withColumn("trade_flag", F.lit("0")).withColumn("nature_date", F.lit(None).cast("string"))
+    p = params_of(shut, "19970630")
+    assert (p.first_trade_day, p.last_trade_day, p.trade_days, p.interest_begin, p.last_trade_dash) == (None, None, 0, None, None)
+    moved = cal.withColumn("trade_flag", F.when(F.col("busi_date") == "19970603", "0").otherwise(F.col("trade_flag")))
+    assert params_of(moved, "19970630").first_trade_day == "19970604"  # no rule but the table's

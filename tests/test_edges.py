@@ -82,7 +82,9 @@ def test_scoped_replace(spark):
 
 
 def test_closed_account_rule(spark):
-    from ledgerline.params import P
+    from ledgerline.params import run_params
+    from ledgerline.sources import tables
+    P = run_params(tables.load(spark, "/root/testdata/sf0.001"))
     df = spark.createDataFrame([("19970531",), ("19970601",), ("19970630",), ("19970701",), (None,)], "close_date string")
     c = F.col("close_date")
     keep = [r.close_date for r in df.filter(c.between(P.month_start, P.last_trade_day) | (c >= P.month_end)).collect()]
@@ -118,18 +120,18 @@ _RATES = "fee_type string, branch_id string, begin_date string, end_date string,
 
 
 def test_rate_lookup_any_date_fee_and_overlap(spark):
-    from ledgerline.operators.rates import lookup_rates
+    from ledgerline.operators.rates import lookup_rates, rate_segments
     rates = spark.createDataFrame([("1004", "O1", "20000101", "20301231", 0.06), ("1007", "O1", "20000101", "20301231", 0.5),
                                    ("1005", "O1", "20000101", "20301231", None), ("1002", "O1", "20000101", "20301231", 0.1),
                                    ("1002", "O1", "20150101", "20151231", 0.2)], _RATES)
-    dim = expand_rates(rates, spark.createDataFrame([("O1",), ("O2",)], "oa string"))
+    dim = rate_segments(expand_rates(rates, spark.createDataFrame([("O1",), ("O2",)], "oa string")))
     facts = spark.createDataFrame([("O1", "20150601"), ("O2", "20150601"), ("O1", "19990101")], "oa string, d string")
     got = lookup_rates(facts, dim, "oa", "d", {"vat": "1004", "other": "1007"}).collect()
     assert sorted(map(tuple, got), key=str) == sorted([("O1", "20150601", 0.06, 0.5), ("O2", "20150601", None, None),
                                                        ("O1", "19990101", None, None)], key=str)
     assert lookup_rates(facts, dim, "oa", "d", {"nil": "1005"}, how="inner").collect()[0].nil is None
     assert sorted(r.risk for r in lookup_rates(facts, dim, "oa", "d", {"risk": "1002"}, how="inner").collect()) == [0.1, 0.2]
-    second = expand_rates(rates.withColumn("para_value", F.lit(0.99)), spark.createDataFrame([("O1",)], "oa string"))
+    second = rate_segments(expand_rates(rates.withColumn("para_value", F.lit(0.99)), spark.createDataFrame([("O1",)], "oa string")))
     assert lookup_rates(facts, second, "oa", "d", {"vat": "1004"}, how="inner").collect()[0].vat == 0.99
 
 

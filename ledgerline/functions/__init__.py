@@ -27,9 +27,13 @@ def to_date_ymd(x) -> Column:
     return F.to_date(_c(x), "yyyyMMdd")
 
 
-def money(x, digits: int = 2) -> Column:
-    """HALF_UP rounding through DECIMAL(38,10), so float noise never decides a tie."""
-    return F.round(_c(x).cast("decimal(38,10)"), digits).cast("double")
+def money(x, digits: int = 2, scale: int = 10) -> Column:
+    """HALF_UP rounding through DECIMAL(38,10), so float noise never decides a tie.
+
+    A smaller ``scale`` fits single amounts of a fact, which have at most that many
+    digits: a decimal of 18 digits is a plain long, much cheaper per row.
+    """
+    return F.round(_c(x).cast(f"decimal({38 if scale > 9 else 18},{scale})"), digits).cast("double")
 
 
 def safe_divide(x, d) -> Column:

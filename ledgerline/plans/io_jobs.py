@@ -12,11 +12,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from .. import functions as fn
 from ..operators.reconcile import reconcile
-from ..operators.sink import read_table, scoped_replace, write_table
+from ..operators.sink import declare_table, insert_into, read_table, replace_partitions, write_table
 from ..params import P, run_params
 from ..session import scratch_path
 from ..sources.tables import dated
@@ -89,6 +89,10 @@ ADJ_COLS = ["month_id", "adjust_proj_id", "adjust_proj", "src_branch_id", "src_b
             "branch_name", "index_id", "index_name", "adjust_value"]
 
 
+ADJ_SCOPE = ["month_id", "adjust_proj_id"]
+ADJ_SCHEMA = StructType([StructField(c, DoubleType() if c == "adjust_value" else StringType()) for c in ADJ_COLS])
+
+
 def _adj_sql(key: str) -> str:
     from .registry import REGISTRY
     return f"(SELECT {', '.join(ADJ_COLS)} FROM ({REGISTRY[key][1]}) q)"
@@ -100,22 +104,17 @@ UNION ALL SELECT * FROM {_adj_sql('metric_adjust_dept')} b
 UNION ALL SELECT * FROM {_adj_sql('metric_adjust_ib_collab')} c""")
 def scoped_replace_q(spark):
     """K3: several jobs share one adjustment table; each replaces only its
-    (month, project) rows.  The stale department rows are replaced, the IB
+    (month, project) partitions.  The stale department rows are replaced, the IB
     office rows are kept, the IB collaboration rows are added."""
-    p = run_params(spark)
     dept = metric_jobs.metric_adjust_dept(spark).select(ADJ_COLS)
     office = metric_jobs.metric_adjust_ib_office(spark).select(ADJ_COLS)
     collab = metric_jobs.metric_adjust_ib_collab(spark).select(ADJ_COLS)
-    v1 = _fresh(spark, "adjust_v1")
+    path = _fresh(spark, "adjust")
     stale = dept.withColumn("adjust_value", F.col("adjust_value") * 2)
-    stale.unionByName(office).write.mode("overwrite").parquet(v1)
-    target = spark.read.parquet(v1)
-    v2 = _fresh(spark, "adjust_v2")
-    runs = spark.table("proj_index_rela").where("adjust_proj_id in ('A01', 'A03')") \
-        .select(F.lit(p.month_id).alias("month_id"), "adjust_proj_id").distinct()
-    scoped_replace(target, dept.unionByName(collab), runs) \
-        .write.mode("overwrite").parquet(v2)
-    return spark.read.parquet(v2)
+    write_table(stale.unionByName(office), path, ADJ_SCHEMA, "overwrite", ADJ_SCOPE)
+    for rows, project in ((dept, "A01"), (collab, "A03")):
+        replace_partitions(rows, path, ADJ_SCHEMA, _projects(spark, f"adjust_proj_id = '{project}'"))
+    return read_table(spark, path, ADJ_SCHEMA).select(*ADJ_COLS)
 
 
 # ----------------------------------------------------------- B32 month run
@@ -168,6 +167,14 @@ MONTH_JOBS = [
         lambda s: s.table("t00308").select("month_id", "adjust_proj_id").where(F.col("month_id") == run_params(s).month_id).distinct()),
 ]
 POSTED = ["t_00166", "t_00165", "t_00300", "t_00164", "t_00161", "t_00158", "t_00160"]
+_POST_TEXT = ["month_id", "func_id", "traceability_dept_id", "traceability_dept", "undertake_dept_id", "undertake_dept", "account_code",
+              "account_name", "allocated_date", "allocated_project", "allocated_peoject_detail", "allocated_user"]
+#: Declared schemas of the ledger and of the posting tables; what a plan makes is aligned to them by name.
+TARGETS = {"client_revenue": StructType([
+    StructField(c, IntegerType() if c == "is_main" else StringType() if c in ledger.SPINE_COLS else DoubleType())
+    for c in ledger.LEDGER_COLS])}
+TARGETS |= {name: StructType([*[StructField(c, StringType()) for c in _POST_TEXT], StructField("allocated_money", DoubleType())])
+            for name in POSTED}
 
 
 def run_month(spark, adjustments: DataFrame | None = None, only: tuple[str, ...] | None = None,
@@ -175,29 +182,33 @@ def run_month(spark, adjustments: DataFrame | None = None, only: tuple[str, ...]
     """Run the jobs in order; every output is written into a fresh folder of the shared checkpoint folder.
 
     A job gets the tables it declares, as read back, and no others; nothing of
-    an earlier run is reused.  The ledger is written partitioned by month.
-    ``adjustments`` is the adjustment table before the run.  ``only`` re-runs
+    an earlier run is reused.  The ledger and the postings go into declared targets, partitioned by month.
+    The adjustment jobs replace their (month, project) partitions of one table in place;
+    ``adjustments`` is that table before the run.  ``only`` re-runs
     some jobs on the given ``tables``.
     """
     run = uuid.uuid4().hex[:12]
     out = dict(tables or {})
-    adjust = adjustments
+    adjust = scratch_path(spark, f"month/{run}/adjustments")
+    before = spark.createDataFrame([], ADJ_SCHEMA) if adjustments is None else adjustments
+    write_table(before, adjust, ADJ_SCHEMA, "overwrite", ADJ_SCOPE)
 
-    def save(df: DataFrame, name: str, partition_by=()) -> DataFrame:
+    def save(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, f"month/{run}/{name}")
-        write_table(df, path, df.schema, "overwrite", partition_by)
-        return read_table(spark, path, df.schema).select(*df.columns)
+        if name in TARGETS:
+            table = declare_table(spark, f"{name}_{run}", path, TARGETS[name], ["month_id"])
+            insert_into(df, table)
+            return spark.table(table).select(*df.columns)
+        write_table(df, path, df.schema)
+        return read_table(spark, path, df.schema)
 
     for job in MONTH_JOBS:
         if only and job.name not in only:
             continue
-        df = job.build(spark, {name: out[name] for name in job.reads})
-        out[job.name] = save(df, job.name, ["month_id"] if job.name == "client_revenue" else ())
+        out[job.name] = save(job.build(spark, {name: out[name] for name in job.reads}), job.name)
         if job.scopes:
-            new = out[job.name].select(ADJ_COLS)
-            target = new.limit(0) if adjust is None else adjust
-            adjust = save(scoped_replace(target, new, job.scopes(spark)), f"adjust_after_{job.name}")
-    out["adjustments"] = adjust
+            replace_partitions(out[job.name].select(ADJ_COLS), adjust, ADJ_SCHEMA, job.scopes(spark))
+    out["adjustments"] = read_table(spark, adjust, ADJ_SCHEMA).select(*ADJ_COLS)
     return out
 
 

@@ -227,11 +227,13 @@ def insurance_fund_base(spark):
 def special_client_df(spark) -> DataFrame:
     p = run_params(spark)
     from .ledger import SPECIAL_REBATE_SPEC, exchange_rebate_df
-    reb = exchange_rebate_df(spark, SPECIAL_REBATE_SPEC).select("fund_account_id", "busi_date", "market_reduct")
+    rules = spark.table("t00153")
+    # the rules' clients reduce the rebates before anything is summed
+    reb = exchange_rebate_df(spark, SPECIAL_REBATE_SPEC, rules.select("client_id")) \
+        .select("fund_account_id", "busi_date", "market_reduct")
     cash = (dated(spark, "fund_jour", p.first_trade_day, p.last_trade_day)
             .filter((F.col("fund_type") == "3") & (F.col("fund_direct") == "1") & F.col("busi_date").between(p.first_trade_day, p.last_trade_day))
             .groupBy("fund_account_id", "busi_date").agg(F.sum("occur_money").alias("occur_money")))
-    rules = spark.table("t00153")
     r_dates = rules.select(F.col("client_id").alias("fund_account_id"), "begin_date", "end_date")
     t3 = (reb.join(cash, ["fund_account_id", "busi_date"], "left")
           .join(r_dates, "fund_account_id")

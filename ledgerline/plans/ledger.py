@@ -129,26 +129,30 @@ def _side_sql(side: str) -> str:
 
 
 @block
-def exchange_rebate_df(spark, spec=LEDGER_REBATE_SPEC) -> DataFrame:
+def exchange_rebate_df(spark, spec=LEDGER_REBATE_SPEC, only: DataFrame | None = None) -> DataFrame:
     """Rebate income per (account, day) over the previous and current month.
 
     Every value is rounded per row (4 digits, tx fee 2) before summing; one
     aggregate replaces the original two-level re-aggregation.
     """
     p = run_params(spark)
-    a = dated(spark, "exchange_retfee2", p.prev_month_start_dash, p.month_end_dash).alias("a").filter(
-        F.col("tx_dt").between(p.prev_month_start_dash, p.prev_month_end_dash) | F.col("tx_dt").between(p.month_start_dash, p.month_end_dash))
-    org = spark.table("dc_org").select("department_id")
-    inv = spark.table("dc_investor").select(F.col("investor_id").alias("__inv"))
-    a = (a.join(F.broadcast(org), F.col("a.orig_department_id") == F.col("department_id"))
-         .join(inv, F.col("a.investor_id") == F.col("__inv")))
-    aggs = [F.sum(fn.money(F.when(_side(p, s), F.col(f"a.{c}")).otherwise(0), 4)).alias(c) for c, s in spec]
-    aggs += [F.sum(fn.money(F.when(_side(p, "cur"), F.col("a.exchange_txfee_amt")).otherwise(0), 2))
+    days = dated(spark, "exchange_retfee2", p.prev_month_start_dash, p.month_end_dash).alias("a")
+    if only is not None:  # the accounts that the caller will keep: a semi-join under the aggregate
+        days = days.join(only, F.col("a.investor_id") == F.col(only.columns[0]), "left_semi")
+    aggs = [F.sum(fn.money(F.when(_side(p, s), F.col(f"a.{c}")).otherwise(0), 4, 4)).alias(c) for c, s in spec]
+    aggs += [F.sum(fn.money(F.when(_side(p, "cur"), F.col("a.exchange_txfee_amt")).otherwise(0), 2, 4))
              .alias("exchange_txfee_amt"),
-             F.sum(fn.money(F.when(_side(p, "cur"), F.col("a.investor_ret_amt")).otherwise(0), 4))
+             F.sum(fn.money(F.when(_side(p, "cur"), F.col("a.investor_ret_amt")).otherwise(0), 4, 4))
              .alias("investor_ret_amt")]
-    g = a.groupBy(F.col("a.investor_id").alias("fund_account_id"),
-                  fn.compact_date("a.tx_dt").alias("busi_date")).agg(*aggs).na.fill(0)
+    # facts are summed before they meet the masters, whose keys are unique
+    g = days.groupBy(F.col("a.investor_id").alias("fund_account_id"), F.col("a.orig_department_id").alias("__dept"),
+                     fn.compact_date("a.tx_dt").alias("busi_date")).agg(*aggs)
+    org = spark.table("dc_org").select(F.col("department_id").alias("__dept"))
+    inv = spark.table("dc_investor").select(F.col("investor_id").alias("fund_account_id"))
+    g = g.join(org, "__dept").join(inv, "fund_account_id")
+    # an account belongs to one department, so its rows of a day are one or, after a change, few
+    sums = [c for c, _ in spec] + ["exchange_txfee_amt", "investor_ret_amt"]
+    g = g.groupBy("fund_account_id", "busi_date").agg(*[F.sum(c).alias(c) for c in sums]).na.fill(0)
     reduct = None
     for c, _ in spec:
         reduct = F.col(c) if reduct is None else reduct + F.col(c)
@@ -449,19 +453,17 @@ def net_interest_df(spark) -> DataFrame:
     return net_interest_of(spark, interest_totals_df(spark), investor_value_df(spark))
 
 
+def net_interest_cols():
+    """Net interest from the columns of the interest totals and the investor value of one account."""
+    pairs = zip(NET_INTEREST_COLS, INTEREST_TOTAL_COLS, CLIENT_COLS)
+    return [F.coalesce(F.col(a) - F.coalesce(F.col(b), F.lit(0)), F.lit(0.0)).alias(out) for out, a, b in pairs]
+
+
 def net_interest_of(spark, totals: DataFrame, value: DataFrame) -> DataFrame:
     x = spark.table("fund_account").select("fund_account_id")
     v = value.select("fund_account_id", *CLIENT_COLS[:4])
     j = x.join(totals, "fund_account_id", "left").join(v, "fund_account_id", "left")
-
-    def d(a, b):
-        return F.col(a) - F.coalesce(F.col(b), F.lit(0))
-
-    return j.select("fund_account_id",
-                    d("accrued_interest", "client_interest_settlement").alias("net_interest_reduce"),
-                    d("accrued_interest_after_tax", "client_interest_after_tax").alias("net_interest_reduce_after_tax"),
-                    d("accrued_interest_add_tax", "client_interest_add_tax").alias("interest_add_tax"),
-                    d("accrued_interest_risk_fund", "client_interest_risk_fund").alias("interest_risk_fund")).na.fill(0)
+    return j.select("fund_account_id", *net_interest_cols())
 
 
 NET_INTEREST_SQL = f"""(SELECT x.fund_account_id,
@@ -770,21 +772,23 @@ def income_totals_df(spark) -> DataFrame:
     return income_totals_of(spark, investor_value_df(spark), net_rebate_df(spark), net_interest_df(spark))
 
 
+_INCOME_PARTS = [("remain_transfee", "market_ret_reduce", "net_interest_reduce"),
+                 ("remain_transfee_after_tax", "market_ret_reduce_after_tax", "net_interest_reduce_after_tax"),
+                 ("remain_transfee_add_tax", "market_ret_add_tax", "interest_add_tax"),
+                 ("remain_risk_fund", "market_ret_risk_fund", "interest_risk_fund")]
+
+
+def income_cols():
+    """Income from an account's retained fee, net rebate and net interest; an absent part counts as 0."""
+    return [sum((F.coalesce(F.col(c), F.lit(0.0)) for c in parts[1:]), F.coalesce(F.col(parts[0]), F.lit(0.0))).alias(out)
+            for out, parts in zip(INCOME_COLS, _INCOME_PARTS)]
+
+
 def income_totals_of(spark, value: DataFrame, rebate: DataFrame, interest: DataFrame) -> DataFrame:
     x = spark.table("fund_account").select("fund_account_id")
-    v = value.select("fund_account_id", "remain_transfee", "remain_transfee_after_tax",
-                     "remain_transfee_add_tax", "remain_risk_fund")
-    j = (x.join(v, "fund_account_id", "left").join(rebate, "fund_account_id", "left")
-         .join(interest, "fund_account_id", "left").na.fill(0))
-    return j.select("fund_account_id",
-                    (F.col("remain_transfee") + F.col("market_ret_reduce") + F.col("net_interest_reduce"))
-                    .alias("total_income"),
-                    (F.col("remain_transfee_after_tax") + F.col("market_ret_reduce_after_tax")
-                     + F.col("net_interest_reduce_after_tax")).alias("total_income_after_tax"),
-                    (F.col("remain_transfee_add_tax") + F.col("market_ret_add_tax") + F.col("interest_add_tax"))
-                    .alias("total_income_add_tax"),
-                    (F.col("remain_risk_fund") + F.col("market_ret_risk_fund") + F.col("interest_risk_fund"))
-                    .alias("total_income_risk_fund"))
+    v = value.select("fund_account_id", *[p[0] for p in _INCOME_PARTS])
+    j = x.join(v, "fund_account_id", "left").join(rebate, "fund_account_id", "left").join(interest, "fund_account_id", "left")
+    return j.select("fund_account_id", *income_cols())
 
 
 INCOME_SQL = f"""(SELECT x.fund_account_id,
@@ -885,46 +889,43 @@ def net_contribution_col():
     return z[0] + z[1] - z[2] - z[3] - z[4] - z[5] - z[6] - z[7]
 
 
+def bucketed(spark, name: str, df: DataFrame, buckets: int) -> DataFrame:
+    """Write an account-grain block as a table of ``buckets`` buckets by account, sorted inside, in the shared folder."""
+    import uuid
+
+    from ..session import scratch_path
+    table = f"ledger_{name}_{uuid.uuid4().hex[:12]}"
+    df.write.bucketBy(buckets, "fund_account_id").sortBy("fund_account_id") \
+        .option("path", scratch_path(spark, f"ledger/{table}")).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def client_revenue_ledger_df(spark) -> DataFrame:
     """The full ledger at (account, broker, relation) grain.
 
     Stage barrier: the spine and every measure block (each far smaller than
-    the facts it aggregates) are written as their own jobs, concurrently,
-    into a fresh folder under the shared checkpoint folder; the ledger is
-    then one join of the written blocks onto the spine.  Each job keeps a
-    small plan, and a lost executor never recomputes a finished block.
+    the facts it aggregates) are written as their own jobs, concurrently, into
+    tables bucketed by account.  The ledger is one plan over them: blocks of the same
+    buckets join without an exchange, and net interest, income and net
+    contribution are projections of the joined row.  Each job keeps a small
+    plan, and a lost executor never recomputes a finished block.
     """
-    import uuid
     from concurrent.futures import ThreadPoolExecutor
 
-    from ..session import scratch_path
-    run = uuid.uuid4().hex[:12]
-
-    def write(item):
-        name, df = item
-        path = scratch_path(spark, f"ledger/{run}/{name}")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-
-    def write_all(items):
-        with ThreadPoolExecutor(max_workers=len(items)) as pool:
-            return dict(zip([n for n, _ in items], pool.map(write, items)))
-
-    # level 1: independent blocks, each computed exactly once
-    w = write_all([("spine", ledger_spine_df(spark)), ("balances", period_balances_df(spark)),
-                   ("turnover", turnover_df(spark)), ("value", investor_value_df(spark)),
-                   ("rebate", net_rebate_df(spark)), ("interest", interest_totals_df(spark)),
-                   ("clear", clear_remain_df(spark)), ("broker", expense_totals_df(spark))])
-    # levels 2 and 3 read the written blocks
-    w.update(write_all([("net_interest", net_interest_of(spark, w["interest"], w["value"]))]))
-    w.update(write_all([("income", income_totals_of(spark, w["value"], w["rebate"], w["net_interest"]))]))
-    blocks = [w["balances"], w["turnover"], w["value"].select("fund_account_id", *IV_COLS), w["rebate"],
-              w["interest"].select("fund_account_id", "avg_open_pre_nature", "accrued_interest"),
-              w["net_interest"], w["income"], w["clear"]]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # every account of the spine is in the account master, so account-grain blocks may meet it directly
+    items = [("spine", ledger_spine_df(spark)), ("balances", period_balances_df(spark)),
+             ("turnover", turnover_df(spark)), ("value", investor_value_df(spark)),
+             ("rebate", net_rebate_df(spark)), ("interest", interest_totals_df(spark)),
+             ("clear", clear_remain_df(spark)), ("broker", expense_totals_df(spark))]
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        w = dict(zip([n for n, _ in items], pool.map(lambda i: bucketed(spark, *i, buckets), items)))
     j = w["spine"]
-    for b in blocks:
+    for b in (w["balances"], w["turnover"], w["value"].select("fund_account_id", *IV_COLS), w["rebate"],
+              w["interest"].select("fund_account_id", *INTEREST_TOTAL_COLS), w["clear"]):
         j = j.join(b, "fund_account_id", "left")
     j = j.join(w["broker"], list(BROKER_KEYS), "left")
+    j = j.select("*", *net_interest_cols()).select("*", *income_cols())
     # a row without a block keeps NULL; only the net contribution is null-safe
     return j.select(*SPINE_COLS, *ACCOUNT_COLS, *EXPENSE_COLS, net_contribution_col().alias("net_contribution"))
 

@@ -12,7 +12,8 @@
    bounded expected size, ranked inside a shard and shifted by the shard's
    offset.  The rank is joined to the run that covers it.
 
-Texts are never shuffled; the shuffled rows are a few numbers a piece.
+Texts are never shuffled; the shuffled rows are a few numbers a piece.  The text of the vocabulary's special
+token inside a document is that token's one id, as in the tokenizers library.
 
 Defined results: null text counts as empty, and an empty document is the single
 id 0; repeated rows are packed as often as they occur; a null id is kept; an
@@ -36,6 +37,7 @@ from ledgerline.llm.common import written
 
 CAPACITY = 2048
 SHARD_ROWS = 20_000
+ROW = "_row"
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
 
@@ -122,17 +124,22 @@ def ranked(parts: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, d
     """``parts`` with ``rank`` (from 0) within their length, and the histogram of lengths."""
     histogram = {r[0]: r[1] for r in parts.groupBy("length").agg(F.count(F.lit(1))).collect()}
     shards = max(1, math.ceil(sum(histogram.values()) / shard_rows))
-    x = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    x = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", ROW), F.lit(shards)))
     sizes = x.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.selectExpr("length as l", "shard as s",
                               "sum(n) over (partition by length order by shard) - n as before")
-    x = x.selectExpr("*", "row_number() over (partition by length, shard order by doc_id, piece, start, ids_crc32) - 1 as own")
+    x = x.selectExpr("*", "row_number() over (partition by length, shard order by doc_id, piece, start, ids_crc32, " + ROW + ") - 1 as own")
     x = x.join(before, (x["length"] == before["l"]) & (x["shard"] == before["s"]))
     return x.withColumn("rank", F.col("own") + F.col("before")).drop("shard", "own", "before", "l", "s"), histogram
 
 
+def numbered(parts: DataFrame) -> DataFrame:
+    """``parts`` written with a number per row, which tells equal rows apart wherever they are read again."""
+    return written(parts.withColumn(ROW, F.monotonically_increasing_id()), "packing-pieces")
+
+
 def place(parts: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``parts`` (written, with ``doc_id, piece, start, length, ids_crc32``) with ``sequence_id`` and ``offset``."""
+    """``parts`` (``numbered``, with ``doc_id, piece, start, length, ids_crc32``) with ``sequence_id`` and ``offset``."""
     spark = parts.sparkSession
     x, histogram = ranked(parts, shard_rows)
     runs = spark.createDataFrame(plan(histogram, capacity),
@@ -140,13 +147,13 @@ def place(parts: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_RO
     x = x.join(F.broadcast(runs), F.expr("length = l and rank >= first_rank and rank < first_rank + many"))
     return x.withColumn("sequence_id", F.expr("first_sequence + rank - first_rank")) \
         .drop("l", "first_rank", "many", "first_sequence", "rank") \
-        .select(*parts.columns, "sequence_id", "offset")
+        .select(*[c for c in parts.columns if c != ROW], "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, id_col: str = "doc_id",
          text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of every document with their sequence and place."""
-    return place(written(pieces(docs, capacity, vocabulary, id_col, text_col, with_ids), "packing-pieces"), capacity)
+    return place(numbered(pieces(docs, capacity, vocabulary, id_col, text_col, with_ids)), capacity)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -12,13 +12,13 @@ from tokenizers import Tokenizer
 from ledgerline.llm import packing as P
 from ledgerline.llm import tokens
 
-ODD = ["", " ", " a", "a ", "a  b", "\n x", "a \n b", "x\0 y", "tab\t x  y\n\n\nz", "it's  'll <|endoftext|> q", "é　 ü", "\x85 a \x1c b"]
+ODD = ["", " ", " a", "a ", "a  b", "\n x", "a \n b", "x\0 y", "tab\t x  y\n\n\nz", "it's  'll <|endoftext|> q", "é　 ü", "\x85 a \x1c b", "<|endoftext|>", "<|endoftext|> a", "a <|endoftext|>",
+       "a <|endoftext|> q", "x<|endoftext|>y<|endoftext|><|endoftext|> <|endoftext|>  z", "<|endoftext| <|endoftext", "<|<|endoftext|>|>"]
 
 
 @pytest.fixture(scope="module")
 def public():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -68,7 +68,7 @@ def test_best_fit_equals_one_by_one():
 
 
 def test_pack(odd, nothing, public):
-    rows = P.place(P.pieces(odd, capacity=64), capacity=64, shard_rows=5).collect()
+    rows = P.place(P.numbered(P.pieces(odd, capacity=64)), capacity=64, shard_rows=5).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r["doc_id"]].append(r)
@@ -89,3 +89,11 @@ def test_pack(odd, nothing, public):
             at += p["length"]
         assert at <= 64
     assert P.pack(nothing).count() == 0
+
+
+def test_equal_rows_are_spread(spark):
+    docs = spark.createDataFrame([(None, "one two three")] * 600, "doc_id long, text string")
+    x, histogram = P.ranked(P.numbered(P.pieces(docs)), shard_rows=50)
+    assert sorted(r["rank"] for r in x.collect()) == list(range(600)) and sum(histogram.values()) == 600
+    shard = P.F.pmod(P.F.xxhash64("doc_id", "piece", "ids_crc32", P.ROW), P.F.lit(12))
+    assert x.groupBy(shard).count().agg({"count": "max"}).first()[0] < 120

@@ -9,10 +9,14 @@ Dealing out.  A window of ``length`` bytes is named by the least hash of the
 stand.  Consecutive windows of one name form a piece (a window's name changes
 about every 85 bytes).  Names that occur once in the corpus cannot hold a
 repeated window and are dropped (unless the piece may repeat inside itself).  Equal pieces of a name collapse to one with a
-count before any text moves.  The remaining distinct pieces are dealt to shards
+count before any text moves, and so do the pieces of equal rows.  A name with one distinct piece that has copies is
+settled: the whole piece repeats, and no other piece can share a window with it.
+The remaining distinct pieces are dealt to shards
 of about ``shard_bytes`` by name, so that all windows that could be equal meet in
 one shard, and every shard runs the interval expansion of
 :mod:`ledgerline.llm.bwt`.  What it finds returns to all copies of a piece by a join.
+Names and pieces of more than a thousandth of all rows, fewer than two thousand, are joined by broadcast, so their
+rows are not gathered.
 
 Hot names.  A name whose distinct pieces exceed ``hot_bytes`` (a common line
 followed by ever different text) is named again by the pair of least hashes in
@@ -127,7 +131,7 @@ def _bytes(text) -> bytes:
     return (text.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-_PIECES = "doc_id {id}, t int, name long, piece long, start long, n long, weight long"
+_PIECES = "doc_id {id}, t long, name long, piece long, start long, n long, weight long"
 
 
 def _arrow(columns: dict) -> pa.RecordBatch:
@@ -158,12 +162,17 @@ def _cutter(level: int, length: int, probe: int):
 
 
 def _fetch(length: int):
-    """Bytes of the pieces listed in ``spans``."""
+    """Bytes of the pieces listed in ``spans``; of equal rows, which meet in one task, the first gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = set()
         for b in batches:
             out = []
             for i in range(b.num_rows):
+                key = (b.column(0)[i].as_py(), b.column(1)[i].as_py())
+                if key in given:
+                    continue
+                given.add(key)
                 data = _bytes(b.column(2)[i])
                 out += [(s["name"], s["piece"], s["copies"], data[s["start"]:s["start"] + s["n"] + length - 1])
                         for s in b.column(3)[i].as_py()]
@@ -233,11 +242,14 @@ def shared_pieces(docs: DataFrame, length: int = LENGTH, probe: int = PROBE,
     source = long_enough.withColumn("spans", F.lit(None).cast("array<struct<start:long,n:long>>"))
     found, distinct = [], []
     for level in range(1, LEVELS + 1):
-        rows = source.mapInArrow(_cutter(level, length, probe), schema).repartition("name")
-        again = rows.groupBy("name").agg(F.sum("weight").alias("c")).where("c > 1").select("name")
-        spots = written(rows.drop("weight").join(again.hint("merge"), "name"), f"repeats-spots-{level}")
+        # the cutter's rows are read three times; the texts are cut once
+        rows = written(source.mapInArrow(_cutter(level, length, probe), schema), f"repeats-cut-{level}")
+        names = written(rows.groupBy("name").agg(F.sum("weight").alias("c")).where("c > 1"), f"repeats-names-{level}")
+        spots = _met(rows, names, ["name"], F.col("c") > _limit(rows), "left_semi")
+        # equal rows have equal pieces: one spot with a count, so that no list grows with their number
+        spots = written(spots.groupBy("doc_id", "t", "name", "piece", "start", "n").agg(F.count(F.lit(1)).alias("c")), f"repeats-spots-{level}")
         one = written(spots.groupBy("name", "piece", "n").agg(
-            F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "t", "start")).alias("at")), f"repeats-pieces-{level}")
+            F.sum("c").alias("copies"), F.min(F.struct("doc_id", "t", "start")).alias("at")), f"repeats-pieces-{level}")
         sizes = one.groupBy("name").agg(F.sum(F.col("n") + (length - 1)).alias("b"))
         hot = written(sizes.where(F.col("b") > hot_bytes).select("name"), f"repeats-hot-{level}")
         if level == LEVELS or hot.isEmpty():
@@ -253,19 +265,38 @@ def shared_pieces(docs: DataFrame, length: int = LENGTH, probe: int = PROBE,
     return found[0], distinct[0]
 
 
+def _limit(rows: DataFrame) -> int:
+    """A count that fewer than two thousand keys of ``rows`` exceed (a row weighs two at most)."""
+    return max(1000, rows.count() // 1000)
+
+
+def _met(rows: DataFrame, side: DataFrame, keys: list[str], hot, how: str) -> DataFrame:
+    """``rows`` joined to ``side``; rows of the keys that ``hot`` marks on ``side`` (see ``_limit``) stay where they are."""
+    few = side.where(hot)
+    crowd = F.broadcast(few.select(*keys).distinct())
+    rest = rows.join(crowd, keys, "left_anti")
+    return rows.join(F.broadcast(few), keys, how).unionByName(rest.join(side.where(~hot).hint("merge"), keys, how))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, probe: int = PROBE, shard_bytes: int = SHARD_BYTES,
                    hot_bytes: int = HOT_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed`` (byte ranges)."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.hash(text_col).alias("t"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
     spots, distinct = shared_pieces(docs, length, probe, hot_bytes)
-    size = distinct.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0
+    # a name with one distinct piece, of which there are copies: nothing else can share a window with it, all of it goes
+    alone = distinct.groupBy("name").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("piece", "n", "copies")).alias("p")) \
+        .where("k = 1 and p.copies > 1").select("name", "p.*")
+    rest = written(distinct.join(alone.select("name"), "name", "left_anti"), "repeats-compared")
+    size = rest.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0
     shards = max(1, math.ceil(size / shard_bytes))
-    wanted = distinct.select("at.doc_id", "at.t", F.struct(F.col("at.start").alias("start"), "n", "name", "piece", "copies").alias("span"))
+    wanted = rest.select("at.doc_id", "at.t", F.struct(F.col("at.start").alias("start"), "n", "name", "piece", "copies").alias("span"))
     texts = _with_lists(docs, wanted).mapInArrow(_fetch(length), "name long, piece long, copies long, bytes binary")
     covered = texts.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards))).groupBy("shard") \
         .applyInArrow(_expander(length), "name long, piece long, low long, high long")
-    covered = written(covered, "repeats-covered")
-    ranges = spots.join(covered, ["name", "piece"]).select("doc_id", "t", F.struct(
+    whole = alone.select("name", "piece", F.lit(0).cast("long").alias("low"), (F.col("n") + (length - 1)).alias("high"))
+    many = distinct.select("name", "piece", "copies")
+    covered = written(covered.unionByName(whole).join(many, ["name", "piece"]), "repeats-covered")
+    ranges = _met(spots, covered, ["name", "piece"], F.col("copies") > _limit(spots), "inner").select("doc_id", "t", F.struct(
         (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")).alias("span"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return _with_lists(docs, ranges, "left").mapInArrow(

@@ -67,5 +67,55 @@ def test_against_brute_force(spark, odd, params):
     assert all(sum(s["high"] - s["low"] for s in r["removed"]) == r["n_removed"] for r in got)
 
 
+def test_equal_rows_stay_linear(spark, monkeypatch):
+    """Pieces fetched and spans joined back are in proportion to equal rows, not to their square."""
+    rnd = random.Random(3)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(3000))
+    near = text[:1500] + "#" + text[1500:]
+    sizes = {}
+    real = R._with_lists
+
+    def counted(docs, spans, how="inner"):
+        out = real(docs, spans, how)
+        sizes.setdefault(spark.conf.get("n"), []).append(out.selectExpr("sum(size(spans))").first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(R, "_with_lists", counted)
+    for n in (50, 100, 200):
+        spark.conf.set("n", str(n))
+        docs = spark.createDataFrame([(None, text)] * n + [(1, near)], "doc_id long, text string").repartition(4)
+        got = R.remove_repeats(docs)
+        assert {r["n_removed"] for r in got.where("doc_id is null").collect()} == {3000}
+    spans = [sizes[str(n)] for n in (50, 100, 200)]
+    assert all(len(x) == 2 for x in spans)
+    for a, b in zip(spans, spans[1:]):
+        assert b[1] <= 2.1 * a[1] and b[0] <= 2.1 * a[0]
+
+
+def test_texts_under_one_id_are_told_apart(spark):
+    """Two texts whose 32-bit hashes are equal keep their own spans under one (null) id."""
+    from pyspark.sql import functions as F
+    base = "".join(random.Random(5).choice("abcdefgh ") for _ in range(260))
+    tail = F.concat(F.lit("z" * 210), F.col("id").cast("string"), F.lit("y" * 40))
+    seen = spark.range(150_000).select("id", tail.alias("text")).withColumn("h", F.hash("text"))
+    pair = seen.groupBy("h").agg(F.collect_list("text").alias("x")).where("size(x) > 1").first()["x"][:2]
+    docs = spark.createDataFrame([(None, pair[0]), (None, pair[1] + base), (7, base)], "doc_id long, text string")
+    want = sorted((i or -1, *x) for i, x in zip((None, None, 7), slow([t["text"].encode() for t in docs.collect()], 200)))
+    got = R.remove_repeats(docs).collect()
+    assert sorted((r["doc_id"] or -1, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == want
+    assert R.remove_repeats(docs).columns[0] == "doc_id" and pair[0] != pair[1]
+
+
+def test_hot_keys_join_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(R, "_limit", lambda rows: 3)
+    rnd = random.Random(6)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(400))
+    rows = [(i, "".join(rnd.choice("ijklmno ") for _ in range(90)) + passage) for i in range(30)] + [(40, passage), (41, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(i, *x) for (i, _), x in zip(rows, slow([t.encode() for _, t in rows], 200))]
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in R.remove_repeats(docs).collect())
+    assert got == want
+
+
 def test_empty(nothing):
     assert R.remove_repeats(nothing).count() == 0

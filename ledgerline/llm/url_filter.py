@@ -13,29 +13,33 @@ that a list uses are tried.  Of the active entries that match, the most
 specific decides (path before host before domain, then the longer pattern, then
 allow before block); without a match the capture is kept.
 
-Plan.  Time is cut into ``bucket`` spans.  An interval is listed under every
-span it touches, a capture under the span of its fetch time, and the join is on
-(kind, pattern, span), so that a capture meets the few intervals of its span
-instead of a pattern's whole history; Spark splits a hot host's partition.
-Successors are found inside spans first and then between spans, so that one
-pattern with a large share of the entries is not one task.
+Plan.  The patterns that captures ask for and the intervals are laid out together
+by (list, kind, pattern) in order of time, and each question takes the last interval
+that began before it: one row an interval and one a question, however long the
+interval holds and however far off a fetch time is.  So that one pattern with a
+large share of the rows is not one task, time is cut at ``SPANS`` quantiles of all its
+moments; a question without an interval in its own span takes the last one of the
+spans before.  Questions of equal pattern and time are asked once.  Successors
+of entries are found inside spans first and then between spans, likewise.
 
 Defined results: a null or hostless URL matches nothing and is kept, as is a
 capture without a fetch time; entries lacking a list, kind, pattern, time or
 action are ignored; of entries of one pattern and time, removal wins; repeated
 captures are evaluated each; an empty list keeps everything; an empty table
-gives an empty result; other columns of the captures pass unchanged.
+gives an empty result; other columns of the captures pass unchanged, but for those
+named like the result's own (``keep, list_name, kind, pattern, since``), which it replaces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import written
 
 DAY = 86_400_000_000  # microseconds
 FOREVER = (1 << 62)
+SPANS = 64
 KINDS = {"domain": 1, "host": 2, "path": 3}
 
 
@@ -83,8 +87,28 @@ def capture_keys(captures: DataFrame, depth: int) -> DataFrame:
     return x.select("row", "at", F.inline_outer("keys"))
 
 
+def as_of(asked: DataFrame, lists: DataFrame, spans: int = SPANS) -> DataFrame:
+    """``kind, pattern, at, list_name, since``: the intervals of ``lists`` that hold at the distinct moments asked for."""
+    key = ["list_name", "kind", "pattern"]
+    asked = asked.join(lists.select(*key).distinct(), ["kind", "pattern"])
+    both = lists.select(*key, F.col("since").alias("at"), F.struct("since", "until").alias("held"))
+    both = both.unionByName(asked.select(*key, "at", F.lit(None).cast("struct<since:bigint,until:bigint>").alias("held")))
+    both = written(both, "url-moments")
+    cuts = both.agg(F.percentile_approx("at", [i / spans for i in range(1, spans)], 10_000)).first()[0] or []
+    edges = ", ".join(f"{c}L" for c in sorted(set(cuts))) or "0L"
+    both = both.withColumn("span", F.expr(f"size(filter(array({edges}), e -> e <= at))"))
+    # at one moment an interval comes before the question: it holds from its first moment on
+    inside = Window.partitionBy(*key, "span").orderBy("at", F.col("held").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    x = both.withColumn("hit", F.last("held", ignorenulls=True).over(inside)).where("held is null")
+    earlier = Window.partitionBy(*key).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.groupBy(*key, "span").agg(F.max("held").alias("newest")) \
+        .select(*key, "span", F.last("newest", ignorenulls=True).over(earlier).alias("before"))
+    x = x.join(carried, [*key, "span"]).withColumn("h", F.coalesce("hit", "before"))
+    return x.where("at < h.until").select("kind", "pattern", "at", "list_name", "h.since")
+
+
 def evaluate(captures: DataFrame, entries: DataFrame, bucket: int = DAY, url_col: str = "url",
-             at_col: str = "fetched") -> DataFrame:
+             at_col: str = "fetched", spans: int = SPANS) -> DataFrame:
     """``captures`` with ``keep`` and the deciding entry: ``list_name, kind, pattern, since`` (null if none).
 
     ``at_col`` and the entries' ``at`` are microseconds.  Rows of captures are
@@ -93,16 +117,11 @@ def evaluate(captures: DataFrame, entries: DataFrame, bucket: int = DAY, url_col
     rows = captures.select(F.struct(*[F.col(f"`{c}`") for c in captures.columns]).alias("r")) \
         .withColumn("row", F.md5(F.to_json("r", {"ignoreNullFields": "false"})))
     lists = written(intervals(entries, bucket), "url-intervals")
-    depth, last = lists.agg(F.max(F.when(F.col("kind") == "path", F.size(F.split("pattern", "/", -1)) - 1)),
-                            F.max(F.greatest("since", F.when(F.col("until") < FOREVER, F.col("until"))))).first()
+    depth = lists.agg(F.max(F.when(F.col("kind") == "path", F.size(F.split("pattern", "/", -1)) - 1))).first()[0]
     at = rows.select("row", F.col("r").getField(url_col).alias("url"), F.col("r").getField(at_col).cast("long").alias("at"))
-    latest = at.agg(F.max("at")).first()[0]
-    last = max(last or 0, latest or 0)
-    spans = F.sequence(F.expr(f"floor(since / {bucket})"), F.expr(f"floor(least(until - 1, {last}) / {bucket})"))
-    held = lists.where(F.col("since") <= last).select("*", F.explode(spans).alias("span")).alias("l")
-    keys = capture_keys(at.distinct(), depth or 0).withColumn("span", F.expr(f"floor(at / {bucket})")).alias("k")
-    met = keys.join(held, F.expr("k.kind = l.kind and k.pattern = l.pattern and k.span = l.span "
-                                 "and k.at >= l.since and k.at < l.until"))
+    keys = capture_keys(at.distinct(), depth or 0)
+    held = as_of(keys.select("kind", "pattern", "at").distinct(), lists, spans).alias("l")
+    met = keys.alias("k").join(held, F.expr("k.kind = l.kind and k.pattern = l.pattern and k.at = l.at"))
     rank = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])[F.col("l.kind")]
     best = met.groupBy("k.row").agg(F.max(F.struct(
         rank.alias("rank"), F.length("l.pattern").alias("size"), (F.col("list_name") == "allow").alias("allow"),

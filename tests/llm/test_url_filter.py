@@ -50,16 +50,40 @@ def world(seed):
 
 
 def test_every_capture_against_every_entry(spark):
-    for seed, bucket in ((1, 100), (2, 7), (3, U.DAY)):
+    for seed, bucket, spans in ((1, 100, 64), (2, 7, 5), (3, U.DAY, 2)):
         captures, entries = world(seed)
         df = spark.createDataFrame([(*c, "mine", True) for c in captures], "page_id long, url string, fetched long, kind string, row boolean")
-        got = U.evaluate(df, spark.createDataFrame(entries, ENTRY), bucket).collect()
+        got = U.evaluate(df, spark.createDataFrame(entries, ENTRY), bucket, spans=spans).collect()
         want = plain(captures, entries)
         assert sorted(((r["page_id"], r["keep"], r["list_name"], r["kind"], r["pattern"], r["since"]) for r in got), key=str) \
             == sorted(want, key=str)
         assert all(r["row"] is True for r in got)
 
 
+def test_far_moments_add_a_row_each(spark, monkeypatch):
+    """An entry that holds for years and a capture of the year 9999 are one row each among the moments."""
+    sizes = []
+    real = U.written
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "url-moments":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(U, "written", counted)
+    year = 365 * U.DAY
+    entries = [("block", "host", f"h{i}.org", 0, "add") for i in range(5)] + [("block", "host", "h0.org", 10 * year, "remove")]
+    captures = [(1, "http://h0.org/a", 5 * year), (2, "http://h1.org/a", 3)]
+    far = [(3, "http://h2.org/", 8000 * year), (4, "http://h0.org/", 10 * year), (5, "http://h0.org/", -(1 << 61))]
+    ee = spark.createDataFrame(entries, ENTRY)
+    schema = "page_id long, url string, fetched long"
+    assert U.evaluate(spark.createDataFrame(captures, schema), ee).where("not keep").count() == 2
+    got = {r["page_id"]: r["keep"] for r in U.evaluate(spark.createDataFrame(captures + far, schema), ee).collect()}
+    assert got == {1: False, 2: False, 3: False, 4: True, 5: True}
+    assert sizes[1] - sizes[0] == len(far)  # no row more than the captures themselves
+
+
 def test_empty_lists_and_tables(spark):
     captures, entries = world(1)
     df = spark.createDataFrame(captures, "page_id long, url string, fetched long")

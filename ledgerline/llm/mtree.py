@@ -14,8 +14,9 @@ triangle inequality; entries beyond the k-th best so far are passed over.
 Bounds carry a slack for rounding, scores are exact integers, and entries that
 may tie are always examined, so the result equals that of brute force.
 
-Queries are sent in blocks of at most ``block`` vectors; the tops of the shards
-meet in a ranking by query.  Equal vectors are one entry that keeps the smallest
+Every query is sent to every shard and follows the shard's vectors there, in sorted
+order: a task builds each tree once, then answers one batch of queries after
+another, and the driver sees no vector.  The tops of the shards meet in a ranking by query.  Equal vectors are one entry that keeps the smallest
 ``k + 1`` ids of its shard, since no query can use more of them.
 
 Defined results: rows whose id is null, and vectors that are null, empty or hold
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,6 @@ SCALE = 1024
 PAGE = 256
 FANOUT = 32
 SHARD_ROWS = 16_384
-BLOCK = 4_096
 
 
 class Node:
@@ -155,40 +156,53 @@ def integer_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                     F.size("x").alias("dim")).distinct()
 
 
-def _answering(sent, top: int, page: int, fanout: int):
-    """A task's work: one shard's tree and the answers to all queries of the block."""
+def _answering(top: int, page: int, fanout: int):
+    """A task's work: shard by shard, the tree of its vectors, which come first, and the answers to the queries that follow.
 
-    def run(table):
-        dim = table.column("dim")[0].as_py()
-        ids = table.column("vec_id").to_numpy()
-        flat = np.asarray(table.column("v").combine_chunks().flatten(), np.int64)
-        tree = Tree(ids, flat.reshape(len(ids), dim), top, page, fanout)
-        out = [(q, i, s) for q, v in sent.value.get(dim, ()) for s, i in tree.search(q, v)]
-        columns = list(zip(*out)) or [(), (), ()]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns)})
+    Held are one shard's tree and one batch of queries, however many shards and queries a task gets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, ids, parts, tree = None, [], [], None
+        for b in batches:
+            keys = np.stack([b.column(i).to_numpy() for i in range(3)])  # dim, shard, asks
+            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            out = []
+            for low, high in zip([0, *edges.tolist()], [*edges.tolist(), b.num_rows]):
+                if low == high:
+                    continue
+                dim, here, asks = (int(k) for k in keys[:, low])
+                some = b.column(3).slice(low, high - low).to_numpy()
+                flat = np.asarray(b.column(4).slice(low, high - low).flatten(), np.int64).reshape(high - low, dim)
+                if (dim, here) != shard:
+                    shard, ids, parts, tree = (dim, here), [], [], None
+                if not asks:
+                    ids.append(some), parts.append(flat)
+                    continue
+                if tree is None:
+                    if not ids:
+                        continue  # queries of a dimension whose vectors all fell into other shards
+                    tree, ids, parts = Tree(np.concatenate(ids), np.concatenate(parts), top, page, fanout), [], []
+                out += [(int(q), i, s) for q, v in zip(some, flat) for s, i in tree.search(int(q), v)]
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS, block: int = BLOCK,
+def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS,
            page: int = PAGE, fanout: int = FANOUT) -> DataFrame:
-    """``query_id, rank, vec_id, score``; both inputs from :func:`integer_vectors`, written."""
-    spark = vectors.sparkSession
+    """``query_id, rank, vec_id, score``; both inputs from :func:`integer_vectors`, written.
+
+    Every shard's tree is built once; each query is sent to every shard and meets it there, behind its vectors.
+    """
     shards = max(1, math.ceil(vectors.count() / shard_rows))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-    blocks = max(1, math.ceil(queries.count() / block))
-    tops = []
-    for b in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)) == b).collect()
-        by_dim: dict[int, list[tuple[int, np.ndarray]]] = {}
-        for r in rows:
-            by_dim.setdefault(r["dim"], []).append((r["vec_id"], np.array(r["v"], np.int64)))
-        answer = _answering(spark.sparkContext.broadcast(by_dim), top, page, fanout)
-        tops.append(dealt.groupBy("dim", "shard").applyInArrow(answer, "query_id long, vec_id long, score long"))
-    merged = tops[0]
-    for t in tops[1:]:
-        merged = merged.unionAll(t)
-    return merged.distinct().selectExpr(
+    dealt = vectors.select("dim", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(0).alias("asks"), "vec_id", "v")
+    sent = queries.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+                          F.lit(1).alias("asks"), "vec_id", "v")
+    met = dealt.unionByName(sent).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "asks")
+    found = met.mapInArrow(_answering(top, page, fanout), "query_id long, vec_id long, score long")
+    return found.distinct().selectExpr(
         "query_id", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank",
         "vec_id", "score").where(F.col("rank") <= top)
 

@@ -45,9 +45,12 @@ def test_query(spark):
     vectors = M.integer_vectors(df)
     clean = {(r["vec_id"], tuple(r["v"])) for r in vectors.collect()}
     assert len(clean) == 292 and all(i not in (None, 400, 401, 402, 403, 404) for i, _ in clean)
-    for block in (M.BLOCK, 2):
+    for rows_a_batch in (10_000, 7):  # a shard's vectors and its queries over many batches
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
         got = {}
-        for r in M.search(vectors, vectors.where("vec_id % 100 = 0"), shard_rows=60, block=block, page=16, fanout=4).collect():
+        found = M.search(vectors, vectors.where("vec_id % 100 = 0"), shard_rows=60, page=16, fanout=4)
+        assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        for r in found.collect():
             got.setdefault(r["query_id"], {})[r["rank"]] = (r["score"], r["vec_id"])
         want = {}
         for i, v in clean:
@@ -55,5 +58,6 @@ def test_query(spark):
                 own = [(j, np.array(w)) for j, w in clean if len(w) == len(v)]
                 want[i] = dict(enumerate(brute(own, (i, np.array(v)), 10), 1))
         assert got == {i: w for i, w in want.items() if w}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     empty = M.integer_vectors(df.where("vec_id < 0"))
     assert M.search(empty, empty).count() == 0

@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 from .. import functions as fn
 from ..operators.reconcile import reconcile
 from ..operators.sink import declare_table, insert_into, read_table, replace_partitions, write_table
-from ..params import P, run_params
+from ..params import BUSI_DATE, P, busi_date_of, run_param_sql, run_params
 from ..session import scratch_path
 from ..sources.tables import dated
 from . import jobs, ledger, metric_jobs, posting_jobs
@@ -242,7 +242,7 @@ def month_pipeline(spark):
 
 # ----------------------------------------------------------- S4 / B31 reconciliation
 
-#: Pairs (written table, query that states it a second time, predicates); columns come from the schema.
+#: Pairs (written table, query whose statement gives it a second time, predicates); columns come from the schema.
 RECON_PAIRS = [
     ("ledger_vs_balances", "client_revenue", "period_balances", "is_main = 1", "end_rights IS NOT NULL"),
     ("ledger_vs_turnover", "client_revenue", "turnover_fee", "is_main = 1", "done_money >= 0"),
@@ -263,16 +263,40 @@ RECON_PAIRS = [
     ("t_00165", "t_00165", "post_insurance", None, None),
     ("t_00166", "t_00166", "post_consulting", None, None),
     ("t_00300", "t_00300", "post_dept", None, None),
+    ("t_00301", "t_00301", "metric_adjust_dept", None, None),
+    ("t_00302", "t_00302", "metric_adjust_ib_office", None, None),
+    ("t_00303", "t_00303", "metric_adjust_ib_collab", None, None),
+    ("t_00304", "t_00304", "asset_product_adjust", None, None),
+    ("t_00306", "t_00306", "metric_passthrough", None, None),
 ]
 
 
-def reconcile_pairs(spark, left: dict[str, DataFrame], pairs=None) -> DataFrame:
-    """One row per pair and numeric column of the right table; any list of pairs."""
+def stated(spark, key: str) -> DataFrame:
+    """What a query's SQL statement gives in Spark: the second side of a reconciliation, beside the plan that was run.
+
+    The statements carry the process's business date.  The ledger inside them is computed from its own statement, once.
+    """
+    from ..sources.tables import written
     from .registry import REGISTRY
-    parts = []
-    for pair, table, key, lp, rp in pairs or RECON_PAIRS:
-        right = REGISTRY[key][0].plain(spark)
-        parts.append(reconcile(left[table], right, pair, lp, rp))
+    if busi_date_of(spark) != BUSI_DATE:
+        raise ValueError("the statements are those of the process's business date")
+    spark.sql(run_param_sql(BUSI_DATE)).createOrReplaceTempView("run_param")
+    text = _spark_words(REGISTRY[key][1])
+    ledger_text = _spark_words(jobs.LEDGER)
+    if ledger_text in text:
+        written(spark, "stated_ledger", lambda: spark.sql(ledger_text[1:-1])).createOrReplaceTempView("stated_ledger")
+        text = text.replace(ledger_text, "stated_ledger")
+    return spark.sql(text)
+
+
+def _spark_words(sql: str) -> str:
+    """The few words that Spark spells otherwise."""
+    return sql.replace(jobs.LABEL_SQL, jobs.LABEL_SPARK).replace("AS VARCHAR)", "AS STRING)").replace("* EXCLUDE (", "* EXCEPT (")
+
+
+def reconcile_pairs(spark, left: dict[str, DataFrame], pairs=None) -> DataFrame:
+    """One row per pair and numeric column of the right side, a query's statement run by Spark; any list of pairs."""
+    parts = [reconcile(left[table], stated(spark, key), pair, lp, rp) for pair, table, key, lp, rp in pairs or RECON_PAIRS]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -290,6 +314,7 @@ RECON_COLUMNS = {
     "t_00125": " ".join(jobs.IB_COLLAB_VALS),
     "t_00140": " ".join(jobs.IB_OFFICE_VALS),
     "t_00305": "index_value adjust_value",
+    **{f"t_{n}": "adjust_value" for n in ("00301", "00302", "00303", "00304", "00306")},
 }
 _LEFT_SQL = {"client_revenue": "led", "t_00123": jobs.CONS_KERNEL_SQL, "t_00124": jobs.CONS_BONUS_SQL,
              "t_00128_data": jobs.INSURANCE_SQL,

@@ -132,13 +132,19 @@ def consulting_kernel_df(spark) -> DataFrame:
                     .alias("alloca_income"))
 
 
-_LABEL_SQL = """(SELECT s.contract_number, string_agg(d.label, ',' ORDER BY s.pos) AS labels
+LABEL_SQL = """(SELECT s.contract_number, string_agg(d.label, ',' ORDER BY s.pos) AS labels
   FROM (SELECT contract_number, unnest(string_split(client_risk_level, ',')) AS code,
                generate_subscripts(string_split(client_risk_level, ','), 1) AS pos
         FROM t00122 WHERE client_risk_level IS NOT NULL) s
   JOIN dictionary d ON d.grp = 'report.wh_risk_level' AND d.code = s.code
   GROUP BY s.contract_number)"""
 
+#: the same in Spark's words, for the reconciliation
+LABEL_SPARK = """(SELECT s.contract_number, listagg(d.label, ',') WITHIN GROUP (ORDER BY s.pos) AS labels
+  FROM (SELECT t.contract_number, e.code, e.pos FROM t00122 t LATERAL VIEW posexplode(split(t.client_risk_level, ',')) e AS pos, code) s
+  JOIN dictionary d ON d.grp = 'report.wh_risk_level' AND d.code = s.code
+  GROUP BY s.contract_number)"""
+
 CONS_KERNEL_SQL = f"""(SELECT t.busi_month AS month_id, t.client_id, t.client_name, t.mobile, t.contract_number,
   t.product_name, t.product_type, t.product_risk_level, t.client_risk_level,
   CASE WHEN t.client_risk_level IS NULL THEN NULL ELSE coalesce(l.labels, '') END AS client_risk_level_name,
@@ -147,7 +153,7 @@ CONS_KERNEL_SQL = f"""(SELECT t.busi_month AS month_id, t.client_id, t.client_na
   t.invest_total_service_fee * t.kernel_total_rate * a.alloca_kernel_rate AS alloca_income
 FROM t00122 t LEFT JOIN t00122_1 a ON t.busi_month = a.busi_month AND t.client_id = a.client_id
   AND t.product_name = a.product_name
-LEFT JOIN {_LABEL_SQL} l ON t.contract_number = l.contract_number
+LEFT JOIN {LABEL_SQL} l ON t.contract_number = l.contract_number
 WHERE t.busi_month = '{P.month_id}')"""
 
 

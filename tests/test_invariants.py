@@ -65,6 +65,33 @@ def test_month_run_uses_its_own_tables(spark):
     assert again.count() == adjust.filter("adjust_proj_id <> 'A03'").count()
 
 
+def test_reconciliation_finds_a_fault_in_every_job(spark):
+    """The statements agree with a month run, and with none of its tables after a fault in each job's values."""
+    from pyspark.sql.types import NumericType
+
+    from ledgerline.plans import io_jobs
+    from ledgerline.sources import tables
+    tables.load(spark, SF)
+    run = io_jobs.run_month(spark)
+    assert {job.name for job in io_jobs.MONTH_JOBS} <= {p[1] for p in io_jobs.RECON_PAIRS}
+    # the ledger holds the blocks of accounts with a relationship only: its pairs show what it leaves out
+    ledger, pairs = io_jobs.RECON_PAIRS[:3], io_jobs.RECON_PAIRS[3:]
+    filled = {p[0] for p in pairs if run[p[1]].count()}
+    good = io_jobs.reconcile_pairs(spark, run, pairs).collect()
+    assert [r for r in good if r["mismatch"]] == [] and len(filled) > 15
+
+    def faulty(t):
+        numbers = [f.name for f in t.schema if isinstance(f.dataType, NumericType) and f.name != "is_main"]
+        return t.select(*[(F.coalesce(F.col(c), F.lit(0)) + 1).alias(c) if c in numbers else c for c in t.columns])
+
+    wrong = {k: faulty(t) for k, t in run.items()}
+    bad = io_jobs.reconcile_pairs(spark, wrong, pairs).collect()
+    assert {r["pair"] for r in bad if r["mismatch"]} == filled
+    sums = lambda t: {(r["pair"], r["column_name"]): r["left_sum"] for r in io_jobs.reconcile_pairs(spark, t, ledger).collect()}
+    before, after = sums(run), sums(wrong)
+    assert all(abs(after[k] - before[k]) >= 0.1 for k in before)
+
+
 def test_other_business_dates_match_their_oracles():
     """Two further months, one ending on a closed day, in processes of their own."""
     import os

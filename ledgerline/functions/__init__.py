@@ -74,14 +74,15 @@ def relation_label(x) -> Column:
     return decode(x, RELATION_LABELS, "-")
 
 
-def multi_code_label(codes, labels: Column) -> Column:
-    """Comma list of codes -> comma list of labels; unknown codes dropped.
+def multi_code_label(codes, labels) -> Column:
+    """Comma list of codes -> comma list of labels; unknown codes and empty labels dropped.
 
-    ``labels`` is a ``map<string,string>`` column (a broadcast dictionary
-    group folded into a map).  NULL in gives NULL out.
+    ``labels`` is a ``map<string,string>`` column (a dictionary group folded
+    into a map).  NULL in gives NULL out.
     """
-    looked_up = F.transform(F.split(_c(codes), ","), lambda k: labels[k])
-    return F.array_join(F.filter(looked_up, lambda v: v.isNotNull()), ",")
+    found = _c(labels)
+    looked_up = F.transform(F.split(_c(codes), ","), lambda k: found[k])
+    return F.array_join(F.filter(looked_up, lambda v: v.isNotNull() & (v != "")), ",")
 
 
 def nullif_empty(x) -> Column:

@@ -685,7 +685,22 @@ FROM t00122 t LEFT JOIN (
 ON t.contract_number = l.contract_number""")
 def multi_code_label(spark):
     """Comma-separated codes -> labels, unknown codes dropped, NULL kept."""
-    labels = code_map("report.wh_risk_level")
-    return spark.table("t00122").select(
-        "contract_number", "client_risk_level",
-        fn.multi_code_label("client_risk_level", labels).alias("client_risk_label"))
+    t = spark.table("t00122").withColumn("labels", code_map(spark.table("dictionary"), "report.wh_risk_level"))
+    return t.select("contract_number", "client_risk_level",
+                    fn.multi_code_label("client_risk_level", "labels").alias("client_risk_label"))
+
+
+@query("dictionary_lookup", """
+SELECT t.contract_number, t.product_risk_level, g.label AS product_risk_label,
+       t.client_risk_level, r.label AS client_first_risk_label
+FROM t00122 t
+LEFT JOIN dictionary g ON g.grp = 'report.rpt_risk_grade' AND g.code = t.product_risk_level
+LEFT JOIN dictionary r ON r.grp = 'report.wh_risk_level' AND r.code = string_split(t.client_risk_level, ',')[1]""")
+def dictionary_lookup(spark):
+    """Two groups of the dictionary table, one map each; unknown codes and NULL give NULL."""
+    d = spark.table("dictionary")
+    t = spark.table("t00122").withColumns({"grades": code_map(d, "report.rpt_risk_grade"),
+                                           "levels": code_map(d, "report.wh_risk_level")})
+    return t.select("contract_number", "product_risk_level",
+                    F.col("grades")[F.col("product_risk_level")].alias("product_risk_label"), "client_risk_level",
+                    F.col("levels")[F.split("client_risk_level", ",")[0]].alias("client_first_risk_label"))

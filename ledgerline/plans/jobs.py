@@ -119,11 +119,12 @@ _CONS_KEYS = ["busi_month", "client_id", "product_name"]
 def consulting_kernel_df(spark) -> DataFrame:
     p = run_params(spark)
     t = spark.table("t00122").filter(F.col("busi_month") == p.month_id)
+    t = t.withColumn("risk_labels", code_map(spark.table("dictionary"), "report.wh_risk_level"))
     a = spark.table("t00122_1")
     j = t.join(a, _CONS_KEYS, "left")
     return j.select(F.col("busi_month").alias("month_id"), "client_id", "client_name", "mobile", "contract_number",
                     "product_name", "product_type", "product_risk_level", "client_risk_level",
-                    fn.multi_code_label("client_risk_level", code_map("report.wh_risk_level"))
+                    fn.multi_code_label("client_risk_level", "risk_labels")
                     .alias("client_risk_level_name"),
                     "contract_begin_date", "contract_end_date", "collection_time", "invest_total_service_fee",
                     "kernel_total_rate", "alloca_oa_branch_type", "alloca_oa_branch_id", "alloca_oa_branch_name",

@@ -325,7 +325,7 @@ SELECT '199706' AS busi_month, {ACCT('o.o_custkey')} AS client_id, cu.c_name AS
        concat('CT', cast(o.o_orderkey as string)) AS contract_number,
        concat('Advisory ', o.o_orderstatus) AS product_name, o.o_orderpriority AS product_type,
        cast(o.o_orderkey % 5 + 1 as string) AS product_risk_level,
-       CASE o.o_custkey % 5 WHEN 0 THEN '3' WHEN 1 THEN '1,2,3' WHEN 2 THEN '2,9' WHEN 3 THEN NULL ELSE '4,1' END AS client_risk_level,
+       CASE o.o_custkey % 5 WHEN 0 THEN '3' WHEN 1 THEN '1,2,3' WHEN 2 THEN '2,9' WHEN 3 THEN NULL ELSE '4,1,5' END AS client_risk_level,
        {YMD('o.o_orderdate')} AS contract_begin_date,
        replace(cast(cast(o.o_orderdate as date) + 365 as string), '-', '') AS contract_end_date,
        {YMD('o.o_orderdate')} AS collection_time,

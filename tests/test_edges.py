@@ -8,7 +8,7 @@ from ledgerline.operators.merge import merge_update
 from ledgerline.operators.rates import expand_rates
 from ledgerline.operators.reconcile import reconcile
 from ledgerline.operators.sink import scoped_replace
-from ledgerline.sources.dictionary import code_map
+from ledgerline.sources.dictionary import code_map, dictionary_sql
 
 
 def test_merge_update_rules(spark):
@@ -42,10 +42,25 @@ def test_rate_containment_and_membership(spark):
 
 def test_multi_code_label(spark):
     df = spark.createDataFrame([("3",), ("1,2,3",), ("2,9",), (None,)], "c string")
-    out = [r.l for r in df.select(fn.multi_code_label("c", code_map("report.wh_risk_level")).alias("l")).collect()]
+    levels = spark.sql(dictionary_sql())
+    df = df.withColumn("labels", code_map(levels, "report.wh_risk_level"))
+    out = [r.l for r in df.select(fn.multi_code_label("c", "labels").alias("l")).collect()]
     assert out == ["C4", "C2,C3,C4", "C3", None]
 
 
+def test_dictionary_groups(spark):
+    levels = spark.sql(dictionary_sql()).unionAll(spark.sql("select 'own', '1', 'one' union all select 'own', '2', ''"))
+    df = spark.createDataFrame([("1,2",), ("5",), ("",), (None,)], "c string")
+    df = df.withColumns({g: code_map(levels, n) for g, n in (("own", "own"), ("risk", "report.wh_risk_level"), ("none", "absent"))})
+    got = df.select(*[fn.multi_code_label("c", g).alias(g) for g in ("own", "risk", "none")]).collect()
+    assert [r.own for r in got] == ["one", "", "", None]
+    assert [r.risk for r in got] == ["C2,C3", "专业投资者", "", None]
+    assert [r.none for r in got] == ["", "", "", None]
+    twice = levels.unionAll(spark.sql("select 'own', '1', 'another'"))
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        df.select("c", code_map(twice, "own").alias("m")).collect()
+
+
 def test_safe_divide_and_case_max(spark):
     df = spark.createDataFrame([(0.0, 1.0, None), (None, None, 2.0), (0.5, 3.0, 1.0)], "r double, a double, b double")
     out = df.select(fn.safe_divide(F.lit(10.0), "r").alias("q"), fn.case_max("a", "b").alias("m")).collect()

@@ -175,7 +175,7 @@ def anti_join_excluded_branches(spark):
     """
     excluded = spark.table("branch").filter(EXCLUDED).select("branch_id")
     return (spark.table("fund_account").filter(F.col("branch_id").isNotNull())
-            .join(F.broadcast(excluded), "branch_id", "left_anti"))
+            .join(excluded, "branch_id", "left_anti"))
 
 
 @query("filter_interval_overlap", f"""
@@ -232,9 +232,9 @@ def join_inner_chain(spark):
     c = spark.table("dc_investor")
     d = spark.table("dc_org")
     return (a.join(b, "broker_id")
-            .join(F.broadcast(f), b.department_id == f.chdeptcode)
+            .join(f, b.department_id == f.chdeptcode)
             .join(c, "investor_id")
-            .join(F.broadcast(d), c.orig_department_id == d.department_id)
+            .join(d, c.orig_department_id == d.department_id)
             .select("broker_id", "investor_id", "broker_rela_typ", "broker_nam",
                     d.department_id, "department_nam"))
 
@@ -321,7 +321,7 @@ def cross_join_account_map(spark):
          .select("client_id", "total_income", F.lit("P_OTC").alias("func_id")))
     a = spark.table("acount_func_rela").select("func_id", "account_code", "account_name")
     # equi-join on the job id: each fact row fans out to the job's few accounts
-    return o.join(F.broadcast(a), "func_id").select("client_id", "total_income", "account_code",
+    return o.join(a, "func_id").select("client_id", "total_income", "account_code",
                                                       "account_name")
 
 
@@ -384,7 +384,7 @@ def natural_day_expand(spark):
     p = run_params(spark)
     cal = spark.table("date_nature").filter(F.col("n_busi_date").between(p.interest_begin, p.interest_end))
     t = dated(spark, "client_sett", p.interest_begin, p.interest_end)
-    return (t.join(F.broadcast(cal), "busi_date")
+    return (t.join(cal, "busi_date")
             .select("n_busi_date", "fund_account_id", "rights"))
 
 

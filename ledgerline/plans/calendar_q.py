@@ -29,7 +29,7 @@ GROUP BY m.busi_month""")
 def cal_period_bounds(spark):
     """Period bounds for every month that has orders."""
     months = _orders(spark).select(F.substring("d", 1, 6).alias("busi_month")).distinct()
-    return months.join(F.broadcast(cal_ops.month_bounds(spark.table("calendar"))), "busi_month")
+    return months.join(cal_ops.month_bounds(spark.table("calendar")), "busi_month")
 
 
 @query("cal_run_period", f"""

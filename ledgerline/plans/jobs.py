@@ -206,9 +206,9 @@ def insurance_base_of(spark, ledger: DataFrame) -> DataFrame:
     p = run_params(spark)
     t = ledger.filter((F.col("month_id") == p.month_id) & (F.col("is_main") == 1))
     excluded = spark.table("branch").filter(EXCLUDED).select("branch_id")
-    t = t.filter(F.col("branch_id").isNotNull()).join(F.broadcast(excluded), "branch_id", "left_anti")
+    t = t.filter(F.col("branch_id").isNotNull()).join(excluded, "branch_id", "left_anti")
     x = spark.table("branch_oa_rela").select(F.col("ctp_branch_id").alias("branch_id"), "oa_branch_id")
-    return (t.join(F.broadcast(x), "branch_id")
+    return (t.join(x, "branch_id")
             .groupBy("month_id", F.col("branch_id").alias("ctp_branch_id"), "oa_branch_id")
             .agg(F.sum("done_money").alias("done_money"), F.sum("secu_fee").alias("bzjj")).na.fill(0))
 

@@ -281,7 +281,7 @@ def interest_daily_df(spark) -> DataFrame:
             .agg((F.sum("rights") - F.sum(fn.case_max("impawn_money", "market_margin"))).alias("interest_base"))
             .na.fill(0))
     nat = spark.table("date_nature").filter(F.col("n_busi_date").between(p.interest_begin_nat, p.interest_end))
-    x = base.join(F.broadcast(nat), "busi_date")
+    x = base.join(nat, "busi_date")
     x = lookup_rates(x, resolved_rates(spark), "oa_branch_id", "busi_date", {"rate": "1001"})
     return (x.groupBy(F.col("n_busi_date").alias("busi_date"), "fund_account_id")
             .agg(F.sum("interest_base").alias("interest_base"),
@@ -512,7 +512,7 @@ def broker_measures_df(spark) -> DataFrame:
     org = spark.table("dc_org").select("department_id")
     det = dated(spark, "adm_brokerdata_detail", p.month_start_dash, p.month_start_dash).filter(F.col("rec_freq") == "M").alias("a2")
     x = (v.join(inv, F.col("a.investor_id") == F.col("__inv"))
-         .join(F.broadcast(org), F.col("orig_department_id") == F.col("department_id"))
+         .join(org, F.col("orig_department_id") == F.col("department_id"))
          .join(det, (F.col("a.date_dt") == F.col("a2.tx_dt")) & (F.col("a.investor_id") == F.col("a2.investor_id")),
                "left"))
     x = with_oa_branch(x, spark, "orig_department_id").withColumn("__d", fn.compact_date("a.date_dt"))
@@ -608,9 +608,9 @@ def ledger_spine_df(spark) -> DataFrame:
     d = spark.table("dc_org").alias("d")
     x = spark.table("fund_account").select("fund_account_id", "isactive", "close_date").alias("x")
     j = (a.join(b, F.col("a.broker_id") == F.col("b.broker_id"))
-         .join(F.broadcast(f), F.col("b.department_id") == F.col("f.chdeptcode"))
+         .join(f, F.col("b.department_id") == F.col("f.chdeptcode"))
          .join(c, F.col("a.investor_id") == F.col("c.investor_id"))
-         .join(F.broadcast(d), F.col("c.orig_department_id") == F.col("d.department_id"))
+         .join(d, F.col("c.orig_department_id") == F.col("d.department_id"))
          .join(x, F.col("a.investor_id") == F.col("x.fund_account_id"), "left"))
     active = F.col("x.isactive") == "0"
     closed = (F.col("x.isactive") == "3") & (F.col("x.close_date").between(p.month_start, p.last_trade_day) | (F.col("x.close_date") >= p.month_end))

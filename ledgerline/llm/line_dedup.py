@@ -1,21 +1,38 @@
 """Removal of repeated multi-line chunks with content-defined boundaries (operator 4).
 
 Lines (split at ``\\n``) are hashed; a cyclic rolling hash over the last
-``window`` line hashes decides after which lines a chunk ends.  The decision
-looks at those lines alone, so text inserted or deleted elsewhere does not move
-it.  Chunks of at least ``min_lines`` lines whose hash occurs more than once are
-candidates.  Candidates are compared byte by byte, as grouping keys, and every
-occurrence but the first of equal bytes is removed with its lines.  First is the
-smallest (doc_id, row hash, place in the text); null ids come first.
-
-Plan.  Chunk hashes (no text) are counted with partial aggregation; only rows
-with candidates carry text into the comparison; the removal lists return to the
-documents by a hash join on the row key.  Everything is built-in functions.
+``window`` line hashes marks lines.  A chunk ends after a marked line, unless one
+of the ``min_lines - 1`` lines before it is marked too or fewer than
+``min_lines`` lines would stand before or after it in the text.  So every chunk
+has ``min_lines`` lines (a shorter text is no chunk), and whether it ends at a
+line depends on ``window + min_lines - 1`` lines alone: text inserted or deleted
+elsewhere does not move it.
+
+Chunks whose hash occurs more than once are candidates.  Candidates are compared
+byte by byte, as grouping keys, and every occurrence but the first of equal bytes
+is removed with its lines.  First is the smallest (doc_id, row hash, place in the
+text); null ids come first.  Where a shared passage begins or ends inside a
+chunk, the boundary chunk as a whole is not repeated; so a removed chunk is
+extended over the lines of the ``REACH`` chunks next to it on either side, as long
+as they equal the lines next to its first occurrence.  (Copies of a passage can
+disagree on ``window + min_lines - 2`` places at its head and ``min_lines - 1`` at its
+end, that is on one boundary; so two chunks hold all lines between the passage's
+end and the first boundary in common.)  A removed line always has an equal line
+at an earlier place, so one copy of everything stays.
+
+Plan.  Chunk hashes (no text) are counted with partial aggregation, together with
+32-bit hashes of the neighbour lines of the first occurrence; a join on the hash
+tells how far an occurrence may extend.  Only rows with candidates carry text into
+the comparison, which settles chunks and extensions by their bytes; the removal
+lists return to the documents by a hash join on the row key.  Everything is
+built-in functions.
 
 Defined results: null and empty texts pass unchanged; rows repeated with the
-same id and text count as one document and all keep the same lines; a text that
-loses every line becomes empty; an empty table gives an empty result; all other
-columns pass unchanged, whatever their names.
+same id and text count as one document and all keep the same lines; ties between
+rows of one id go to the smaller row hash; a text that loses every line becomes
+empty; a very long text is one array of lines in its row, worked through in
+linear time; an empty table gives an empty result; all other columns pass
+unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +45,7 @@ from ledgerline.llm.common import packed, row_key, unpacked, written
 WINDOW = 2
 DIVISOR = 3
 MIN_LINES = 2
+REACH = 2
 HASH_BITS = 60
 
 
@@ -41,78 +59,107 @@ def _rotated(c: Column, n: int) -> Column:
     return c if n == 0 else F.shiftleft(c, n).bitwiseOR(F.shiftright(c, HASH_BITS - n)).bitwiseAND(kept)
 
 
-def chunk_bounds(hashes: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
+def chunk_bounds(hashes: Column, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> Column:
     """1-based numbers of the last line of every chunk, from an array of line hashes."""
 
-    def ends(i: Column) -> Column:
+    def marked(i: Column) -> Column:
         rolled = F.element_at(hashes, i)
         for back in range(1, window):
             line = F.when(i > back, F.element_at(hashes, F.greatest(i - back, F.lit(1)))).otherwise(F.lit(0).cast("long"))
             rolled = rolled.bitwiseXOR(_rotated(line, back))
-        return (i == F.size(hashes)) | (rolled % divisor == 0)
+        return rolled % divisor == 0
+
+    def ends(i: Column) -> Column:
+        inner = (i >= min_lines) & (i <= F.size(hashes) - min_lines) & marked(i)
+        for back in range(1, min_lines):
+            inner = inner & ~((i > back) & marked(F.greatest(i - back, F.lit(1))))
+        return (i == F.size(hashes)) | inner
 
     return F.filter(F.sequence(F.lit(1), F.size(hashes)), ends)
 
 
+def _agreeing(a: str, b: str) -> str:
+    """SQL for the number of leading elements in which two arrays without nulls agree."""
+    return f"cast(coalesce(nullif(array_position(zip_with({a}, {b}, (x, y) -> x <=> y), false), 0) - 1, size({a})) as int)"
+
+
 def chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
-    """``doc_id, k, first, n, hash`` of every chunk of at least ``min_lines`` lines.
+    """``doc_id, k, first, n, hash, before, after`` of every chunk of at least ``min_lines`` lines.
 
+    ``before`` and ``after`` are 31-bit hashes of the lines of the ``REACH`` chunks on either side.
     The outer form of ``inline`` keeps the optimizer from inferring a filter on
     its input, which would compute the chunks a second time, once a line.
     """
     x = docs.where("text is not null and text <> ''").select("doc_id", row_key().alias("k"), "text")
     x = x.select("doc_id", "k", F.transform(F.split("text", "\n", -1), line_hash).alias("h"))
-    x = x.select("doc_id", "k", "h", chunk_bounds(F.col("h"), window, divisor).alias("ends"))
-    x = x.select("doc_id", "k", "h", "ends",
-                 F.concat(F.array(F.lit(0)), F.slice("ends", F.lit(1), F.size("ends") - 1)).alias("before"))
+    x = x.select("doc_id", "k", "h", chunk_bounds(F.col("h"), window, divisor, min_lines).alias("b"))
+    x = x.select("doc_id", "k", "h", F.expr("concat(array(0), b)").alias("b"))
+    # four boundaries of a chunk: where the first within reach begins, its own, and where the last within reach ends
     x = x.select("doc_id", "k", "h", F.expr(
-        f"filter(zip_with(before, ends, (a, b) -> struct(a + 1 as first, b - a as n)), p -> p.n >= {min_lines})").alias("parts"))
+        "filter(transform(slice(b, 2, size(b) - 1), (e, i) -> struct("
+        f"b[greatest(i - {REACH}, 0)] as p, b[i] as s, e as e, b[least(i + 1 + {REACH}, size(b) - 1)] as q)), c -> c.e - c.s >= {min_lines})").alias("parts"))
+    near = "transform(slice(h, {0} + 1, {1} - {0}), v -> cast(v & 2147483647 as int))"
     return x.select("doc_id", "k", F.expr(
-        "transform(parts, p -> struct(p.first as first, p.n as n, xxhash64(slice(h, p.first, p.n)) as hash))")
+        "transform(parts, c -> struct(c.s + 1 as first, c.e - c.s as n, xxhash64(slice(h, c.s + 1, c.e - c.s)) as hash, "
+        f"{near.format('c.p', 'c.s')} as before, {near.format('c.e', 'c.q')} as after))")
         .alias("parts")).select("doc_id", "k", F.inline_outer("parts")).where("n is not null")
 
 
 def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR,
                     min_lines: int = MIN_LINES) -> DataFrame:
-    """``doc_id, k, first, n`` of every chunk to remove (k: the row's key)."""
+    """``doc_id, k, first, n, up, down`` of every chunk to remove, with the lines before and after it that go too.
+
+    ``k`` is the row's key.
+    """
     spots = written(chunks(docs, window, divisor, min_lines), "line-chunks")
-    shared = spots.groupBy("hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash")
-    lists = spots.join(shared, "hash", "left_semi").groupBy("doc_id", "k") \
-        .agg(F.collect_set(F.struct("first", "n", "hash")).alias("parts"))
+    shared = spots.groupBy("hash").agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "k", "first", "before", "after")).alias("head")) \
+        .where("c > 1").select("hash", F.reverse("head.before").alias("hb"), F.col("head.after").alias("ha"))
+    lists = spots.join(shared, "hash").select(
+        "doc_id", "k", "first", "n", "hash", F.expr(_agreeing("reverse(before)", "hb")).alias("up"),
+        F.expr(_agreeing("after", "ha")).alias("down")).groupBy("doc_id", "k") \
+        .agg(F.collect_set(F.struct("first", "n", "hash", "up", "down")).alias("parts"))
     texts = docs.where("text is not null and text <> ''").select("doc_id", row_key().alias("k"), "text").alias("t")
     same = F.expr("t.doc_id <=> l.doc_id and t.k = l.k")
     x = texts.join(lists.alias("l").hint("shuffle_hash"), same).select("t.doc_id", "t.k", "text", "parts")
     x = x.select("doc_id", "k", F.split("text", "\n", -1).alias("lines"), "parts")
-    # two uses of `lines` in the function keep the optimizer from moving the split into it (once a chunk)
+    # several uses of `lines` in the function keep the optimizer from moving the split into it (once a chunk)
     x = written(x.select("doc_id", "k", F.inline_outer(F.expr(
         "transform(parts, p -> struct(p.first as first, p.n as n, p.hash as hash, "
-        "array_join(slice(lines, p.first, least(p.n, size(lines))), '\n') as bytes))"))), "line-candidates")
-    heads = x.groupBy("hash", "bytes").agg(F.min(F.struct("doc_id", "k", "first")).alias("head"))
-    later = x.join(heads, ["hash", "bytes"]).where("not (struct(doc_id, k, first) <=> head)")
-    return later.select("doc_id", "k", "first", "n").distinct()
+        "array_join(slice(lines, p.first, p.n), '\n') as bytes, "
+        "reverse(slice(lines, p.first - p.up, p.up)) as before, slice(lines, p.first + p.n, p.down) as after))"))),
+        "line-candidates")
+    heads = x.groupBy("hash", "bytes").agg(F.min(F.struct("doc_id", "k", "first", "before", "after")).alias("head"))
+    later = x.join(heads, ["hash", "bytes"]).where("not (struct(doc_id, k, first) <=> struct(head.doc_id, head.k, head.first))")
+    return later.select("doc_id", "k", "first", "n", F.expr(_agreeing("before", "head.before")).alias("up"),
+                        F.expr(_agreeing("after", "head.after")).alias("down")).distinct()
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
                 counts: bool = False, length_col: str | None = None) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``.
 
-    ``length_col`` names a column to set to the new length of texts that lost lines.  With ``counts``, the columns ``chunks_removed`` and ``lines_removed`` are
-    appended (replacing columns of these names).
+    ``length_col`` names a column to set to the new length of texts that lost lines.  With ``counts``, the columns
+    ``chunks_removed`` and ``lines_removed`` (of chunks and extensions) are appended (replacing columns of these names).
     """
     gone = written(repeated_chunks(docs.select("doc_id", "text"), window, divisor, min_lines).groupBy("doc_id", "k")
-                   .agg(F.sort_array(F.collect_list(F.struct("first", "n"))).alias("cut")), "line-removals")
+                   .agg(F.sort_array(F.collect_list(F.struct("first", "n", "up", "down"))).alias("cut")), "line-removals")
     rows = packed(docs).withColumn("k", F.xxhash64(F.col("doc_id"), F.col("row.text"))).alias("d")
     x = rows.join(gone.alias("g").hint("shuffle_hash"), F.expr("d.doc_id <=> g.doc_id and d.k = g.k"), "left") \
         .select("row", "cut")
     x = x.withColumn("lines", F.when(F.col("cut").isNotNull(), F.split("row.text", "\n", -1)))
-    kept = F.expr("array_join(flatten(zip_with("
-                  "concat(array(1), transform(cut, c -> c.first + c.n)), "
-                  "concat(transform(cut, c -> c.first), array(size(lines) + 1)), "
-                  "(a, b) -> slice(lines, a, b - a))), '\n')")
-    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(kept)
+    # between two cuts stays what none of the cuts within reach covers; an extension never passes REACH more chunks
+    x = x.select("row", "cut", F.size("lines").alias("had"), F.expr(
+        "flatten(zip_with("
+        f"concat(array(1), transform(cut, (c, i) -> array_max(transform(slice(cut, greatest(i + 1 - {REACH}, 1), "
+        f"least(i, {REACH}) + 1), d -> d.first + d.n + d.down)))), "
+        f"concat(transform(cut, (c, i) -> array_min(transform(slice(cut, i + 1, {REACH} + 1), d -> d.first - d.up))), "
+        "array(size(lines) + 1)), "
+        "(a, b) -> slice(lines, a, greatest(b - a, 0))))").alias("rest"))
+    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(F.array_join("rest", "\n"))
     columns = [c for c in docs.columns if not (counts and c in ("chunks_removed", "lines_removed"))]
     more = [F.when(F.col("cut").isNull(), 0).otherwise(F.size("cut")).alias("chunks_removed"),
-            F.expr("coalesce(aggregate(cut, 0, (s, c) -> s + c.n), 0)").alias("lines_removed")] if counts else []
+            F.when(F.col("cut").isNull(), 0).otherwise(F.col("had") - F.size("rest")).alias("lines_removed")] if counts else []
     replaced = {"text": text}
     if length_col in docs.columns:
         same = F.col("row").getField(length_col)
@@ -127,7 +174,9 @@ def query(spark, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, counts=True)
 
 
-#: The same rule in DuckDB: chunks numbered by a running count of boundaries, compared by their text.
+#: The same rule in DuckDB: chunks numbered by a running count of boundaries, compared by their text, and extended
+#: line by line over the chunks next to them.
+_NOT_AFTER_MARK = " ".join(f"AND NOT coalesce(lag(marked, {back}) OVER w, false)" for back in range(1, MIN_LINES))
 ORACLE = f"""
 WITH lines AS (
   SELECT doc_id, i, line, ('0x' || substr(md5(line), 1, 15))::BIGINT AS h
@@ -135,23 +184,41 @@ WITH lines AS (
                generate_subscripts(string_split(text, chr(10)), 1) AS i
         FROM documents WHERE text IS NOT NULL AND text <> '')),
 prior AS (
-  SELECT *, coalesce(lag(h) OVER w, 0) AS p, lead(i) OVER w IS NULL AS final FROM lines
+  SELECT *, coalesce(lag(h) OVER w, 0) AS p, count(*) OVER (PARTITION BY doc_id) AS size FROM lines
   WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+marks AS (
+  SELECT *, xor(h, (((p & {(1 << 59) - 1}) << 1) | (p >> 59))) % {DIVISOR} = 0 AS marked FROM prior),
 cuts AS (
-  SELECT *, final OR xor(h, (((p & {(1 << 59) - 1}) << 1) | (p >> 59))) % {DIVISOR} = 0 AS ends FROM prior),
+  SELECT *, i = size OR (i >= {MIN_LINES} AND i <= size - {MIN_LINES} AND marked {_NOT_AFTER_MARK}) AS ends FROM marks
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cuts),
 parts AS (
-  SELECT doc_id, c, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS bytes FROM numbered GROUP BY doc_id, c),
-judged AS (
-  SELECT *, n >= {MIN_LINES} AND row_number() OVER (PARTITION BY bytes, n >= {MIN_LINES} ORDER BY doc_id, c) > 1 AS gone
-  FROM parts),
+  SELECT doc_id, c, min(i) AS first, max(i) AS last, string_agg(line, chr(10) ORDER BY i) AS bytes
+  FROM numbered GROUP BY doc_id, c HAVING count(*) >= {MIN_LINES}),
+heads AS (
+  SELECT doc_id, c, first, last, first_value(doc_id) OVER w AS head_doc, first_value(c) OVER w AS head_c,
+         first_value(first) OVER w AS head_first, first_value(last) OVER w AS head_last FROM parts
+  WINDOW w AS (PARTITION BY bytes ORDER BY doc_id, c)),
+gone AS (SELECT * FROM heads WHERE doc_id <> head_doc OR c <> head_c),
+below AS (
+  SELECT l.doc_id, l.i, bool_and(coalesce(l.line = m.line, false)) OVER (PARTITION BY g.doc_id, g.c ORDER BY l.i) AS same
+  FROM gone g JOIN numbered l ON l.doc_id = g.doc_id AND l.c > g.c AND l.c <= g.c + {REACH}
+  LEFT JOIN numbered m ON m.doc_id = g.head_doc AND m.i = g.head_last + l.i - g.last AND m.c <= g.head_c + {REACH}),
+above AS (
+  SELECT l.doc_id, l.i, bool_and(coalesce(l.line = m.line, false)) OVER (PARTITION BY g.doc_id, g.c ORDER BY l.i DESC) AS same
+  FROM gone g JOIN numbered l ON l.doc_id = g.doc_id AND l.c < g.c AND l.c >= g.c - {REACH}
+  LEFT JOIN numbered m ON m.doc_id = g.head_doc AND m.i = g.head_first + l.i - g.first AND m.c >= g.head_c - {REACH}),
+dropped AS (
+  SELECT doc_id, i FROM numbered JOIN gone USING (doc_id, c)
+  UNION SELECT doc_id, i FROM below WHERE same
+  UNION SELECT doc_id, i FROM above WHERE same),
 rest AS (
-  SELECT doc_id, coalesce(string_agg(bytes, chr(10) ORDER BY c) FILTER (NOT gone), '') AS text,
-         count(*) FILTER (gone) AS chunks_removed, coalesce(sum(n) FILTER (gone), 0) AS lines_removed
-  FROM judged GROUP BY doc_id)
-SELECT d.doc_id, coalesce(r.text, d.text) AS text, coalesce(r.chunks_removed, 0)::INT AS chunks_removed,
+  SELECT p.doc_id, coalesce(string_agg(p.line, chr(10) ORDER BY p.i) FILTER (d.i IS NULL), '') AS text, count(d.i) AS lines_removed
+  FROM numbered p LEFT JOIN dropped d ON d.doc_id = p.doc_id AND d.i = p.i GROUP BY p.doc_id),
+counted AS (SELECT doc_id, count(*) AS chunks_removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(r.text, d.text) AS text, coalesce(c.chunks_removed, 0)::INT AS chunks_removed,
        coalesce(r.lines_removed, 0)::INT AS lines_removed
-FROM documents d LEFT JOIN rest r USING (doc_id)
+FROM documents d LEFT JOIN rest r USING (doc_id) LEFT JOIN counted c USING (doc_id)
 """

@@ -12,31 +12,39 @@ def lines_hash(line):
 
 
 def chunked(text):
+    """First and one-past-last line of every chunk."""
     lines = text.split("\n")
     h = [lines_hash(x) for x in lines]
-    out, first = [], 0
+    marked = []
     for i in range(len(lines)):
         p = h[i - 1] if i else 0
-        rolled = h[i] ^ (((p << 1) | (p >> 59)) & ((1 << 60) - 1))
-        if i == len(lines) - 1 or rolled % L.DIVISOR == 0:
-            out.append(lines[first:i + 1])
+        marked.append((h[i] ^ (((p << 1) | (p >> 59)) & ((1 << 60) - 1))) % L.DIVISOR == 0)
+    out, first = [], 0
+    for i in range(len(lines)):
+        room = i + 1 >= L.MIN_LINES and len(lines) - i - 1 >= L.MIN_LINES
+        alone = not any(marked[max(i - L.MIN_LINES + 1, 0):i])
+        if i == len(lines) - 1 or (room and marked[i] and alone):
+            out.append((first, i + 1))
             first = i + 1
     return out
 
 
 def plain(rows):
     """Text by (id, text) for rows in the order of first occurrence by id (null first)."""
-    seen, out = set(), {}
+    heads, out = {}, {}
     for i, t in sorted({(i, t) for i, t in rows if t}, key=lambda r: (r[0] is not None, r[0] or 0)):
-        kept = []
-        for c in chunked(t):
-            key = tuple(c)
-            if len(c) >= L.MIN_LINES and key in seen:
+        lines, spans, gone = t.split("\n"), chunked(t), set()
+        for c, (a, b) in enumerate(spans):
+            if b - a < L.MIN_LINES:
                 continue
-            if len(c) >= L.MIN_LINES:
-                seen.add(key)
-            kept += c
-        out[i, t] = "\n".join(kept)
+            around = (lines[spans[max(c - L.REACH, 0)][0]:a][::-1], lines[b:spans[min(c + L.REACH, len(spans) - 1)][1]])
+            if tuple(lines[a:b]) not in heads:
+                heads[tuple(lines[a:b])] = around
+                continue
+            up, down = (next((k for k, (x, y) in enumerate(zip(p, q)) if x != y), min(len(p), len(q)))
+                        for p, q in zip(around, heads[tuple(lines[a:b])]))
+            gone |= set(range(a - up, b + down))
+        out[i, t] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 
@@ -55,7 +63,32 @@ def test_insertion_does_not_move_chunks(spark):
     body = "\n".join(f"line {i} of a long shared block" for i in range(60))
     docs = spark.createDataFrame([(1, body), (2, "a new first line\n" + body), (3, "other\nlines")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in L.dedup_lines(docs, counts=True).collect()}
-    assert got[2]["lines_removed"] >= 35 and got[1]["lines_removed"] == got[3]["lines_removed"] == 0
+    assert got[2]["lines_removed"] == 60 and got[2]["text"] == "a new first line"
+    assert got[1]["lines_removed"] == got[3]["lines_removed"] == 0
+
+
+def test_passage_between_other_lines(spark):
+    shared = [f"shared line {i} of a passage" for i in range(20)]
+    rows = [(d, "\n".join([f"own {d} {i}" for i in range(d + 3)] + shared + [f"end {d} {i}" for i in range(5)])) for d in range(6)]
+    got = {r["doc_id"]: r for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()}
+    assert got[0]["lines_removed"] == 0
+    for d, t in rows[1:]:
+        assert got[d]["text"].split("\n") == [x for x in t.split("\n") if x not in shared]
+
+
+def test_chunks_have_min_lines(spark):
+    text = "\n".join(["same"] * 30 + [f"line {i}" for i in range(200)] + ["same"] * 30)
+    parts = L.chunks(spark.createDataFrame([(1, text), (2, "one line")], "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in parts} == {1} and sum(r["n"] for r in parts) == 260
+    assert len(parts) > 20 and min(r["n"] for r in parts) >= L.MIN_LINES
+    assert {(r["first"] - 1, r["first"] - 1 + r["n"]) for r in parts} == set(chunked(text))
+
+
+def test_one_copy_of_every_line_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    before = {line for r in docs.collect() for line in (r["text"] or "").split("\n")}
+    after = {line for r in L.dedup_lines(docs).collect() for line in (r["text"] or "").split("\n")}
+    assert before - after <= {""}
 
 
 def test_length_column_and_empty(odd, nothing):

@@ -20,9 +20,9 @@ end, that is on one boundary; so two chunks hold all lines between the passage's
 end and the first boundary in common.)  A removed line always has an equal line
 at an earlier place, so one copy of everything stays.
 
-Plan.  Chunk hashes (no text) are counted with partial aggregation, together with
-32-bit hashes of the neighbour lines of the first occurrence; a join on the hash
-tells how far an occurrence may extend.  Only rows with candidates carry text into
+Plan.  Chunk hashes (no text) are counted with partial aggregation; repeated ones
+carry a byte for every line next to them, so that a join with the first of
+a hash tells how far an occurrence may extend.  Only rows with candidates carry text into
 the comparison, which settles chunks and extensions by their bytes; the removal
 lists return to the documents by a hash join on the row key.  Everything is
 built-in functions.
@@ -86,7 +86,8 @@ def _agreeing(a: str, b: str) -> str:
 def chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
     """``doc_id, k, first, n, hash, before, after`` of every chunk of at least ``min_lines`` lines.
 
-    ``before`` and ``after`` are 31-bit hashes of the lines of the ``REACH`` chunks on either side.
+    ``before`` and ``after`` are 7-bit hashes of the lines of the ``REACH`` chunks on either side.  They bound how much
+    text an occurrence brings to the comparison; a chance match brings a line more and decides nothing.
     The outer form of ``inline`` keeps the optimizer from inferring a filter on
     its input, which would compute the chunks a second time, once a line.
     """
@@ -98,7 +99,7 @@ def chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_li
     x = x.select("doc_id", "k", "h", F.expr(
         "filter(transform(slice(b, 2, size(b) - 1), (e, i) -> struct("
         f"b[greatest(i - {REACH}, 0)] as p, b[i] as s, e as e, b[least(i + 1 + {REACH}, size(b) - 1)] as q)), c -> c.e - c.s >= {min_lines})").alias("parts"))
-    near = "transform(slice(h, {0} + 1, {1} - {0}), v -> cast(v & 2147483647 as int))"
+    near = "transform(slice(h, {0} + 1, {1} - {0}), v -> cast(v & 127 as tinyint))"
     return x.select("doc_id", "k", F.expr(
         "transform(parts, c -> struct(c.s + 1 as first, c.e - c.s as n, xxhash64(slice(h, c.s + 1, c.e - c.s)) as hash, "
         f"{near.format('c.p', 'c.s')} as before, {near.format('c.e', 'c.q')} as after))")
@@ -112,10 +113,11 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISO
     ``k`` is the row's key.
     """
     spots = written(chunks(docs, window, divisor, min_lines), "line-chunks")
-    shared = spots.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "k", "first", "before", "after")).alias("head")) \
-        .where("c > 1").select("hash", F.reverse("head.before").alias("hb"), F.col("head.after").alias("ha"))
-    lists = spots.join(shared, "hash").select(
+    shared = spots.groupBy("hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash")
+    spots = written(spots.join(shared, "hash", "left_semi"), "line-shared")
+    first = spots.groupBy("hash").agg(F.min(F.struct("doc_id", "k", "first", "before", "after")).alias("head")) \
+        .select("hash", F.reverse("head.before").alias("hb"), F.col("head.after").alias("ha"))
+    lists = spots.join(first, "hash").select(
         "doc_id", "k", "first", "n", "hash", F.expr(_agreeing("reverse(before)", "hb")).alias("up"),
         F.expr(_agreeing("after", "ha")).alias("down")).groupBy("doc_id", "k") \
         .agg(F.collect_set(F.struct("first", "n", "hash", "up", "down")).alias("parts"))

@@ -127,6 +127,8 @@ def build_index(items: list[tuple], functions: int = FUNCTIONS, k: int = SHINGLE
 
 def candidates(index: Index, hashes: list[np.ndarray], functions: int = FUNCTIONS) -> set[tuple[int, int]]:
     """``(place in hashes, item)`` pairs with an equal minimum in a window of the item's size class."""
+    if not hashes:  # no rows or words since the last flush
+        return set()
     a, b = hash_functions(functions)
     blocks = np.array([-(-len(h) // BASE) for h in hashes], np.int64)
     flat = np.full(int(blocks.sum()) * BASE, NONE, np.uint64)

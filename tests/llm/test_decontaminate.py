@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from ledgerline.llm import decontaminate as D
 
 
@@ -57,3 +59,9 @@ def test_decontaminate(spark, odd, nothing):
     assert not {2, 3, 11} & set(ids) and ids.count(None) == 2 and {1, 6, 7, 14, 16} <= set(ids)
     assert D.decontaminate(nothing, items).count() == 0
     assert D.decontaminate(odd, items.where("item_id > 5")).count() == odd.count()
+
+
+def test_batches_without_words():
+    index = D.build_index(planted()[1])
+    assert D.candidates(index, []) == set()
+    assert D.candidates(index, [np.empty(0, np.uint64)] * 3) == set()

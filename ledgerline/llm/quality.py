@@ -7,18 +7,17 @@ of its language decides: it is rejected when the perplexity lies above the
 
 Tokens are runs of non-space characters, as written, and a closing mark.
 
-Bounds.  Training takes about ``train_docs`` trusted documents a language, of
-at most ``train_words`` words each, chosen by the hash of the id; never more
-than half of the trusted documents, so that the other half sets the threshold.
-So the count tables are bounded (documented parameters), and every shard of
-them is joined by broadcast.  Perplexities and thresholds cover all documents.
-
-Plan.  Count tables of all orders are hash-sharded by Spark while counting.
-Scoring explodes a document into its n-grams, joins each with the probability
-of its longest known suffix and with the back-off weights of the shorter ones,
-and sums by document.  The sum is pre-aggregated where the document was read,
-so a few numbers a document are shuffled, however long it is.  Thresholds come
-from a histogram of log perplexities, not from sorted values.
+Every trusted document counts, whole: the hash of the id deals them into two halves, one trains
+the models, the other sets the thresholds, so that no threshold comes from text that a model
+has read.  ``train_docs`` (documents a language) and ``train_words`` (words a document) bound the training
+for a caller who asks for it; by default nothing is bounded.
+
+Plan.  Count tables of all orders are hash-sharded by Spark and joined by key, with no broadcast hints: nothing
+has to fit one task or the driver.  Scoring looks each distinct n-gram of the corpus up once:
+the probability of its longest known suffix and the back-off weights of the
+shorter ones.  Its log probability is joined back to every occurrence and
+summed by document, as integers, so the order of rows does not matter.  Thresholds
+come from a histogram of log perplexities, not from sorted values.
 
 Defined results: null text counts as empty; a text without words has a null
 perplexity and is kept; so is a document whose language has no trusted text
@@ -29,16 +28,18 @@ an empty result; ids with contradicting labels are not trusted.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import packed, unpacked, written
 
-TRAIN_DOCS = 100
-TRAIN_WORDS = 20_000
 QUANTILE = 0.99  # beyond it, more clean documents are lost than bad ones found (README)
 START, END = "\x02", "\x03"
 SPACES = r"[\x20\x09-\x0D]+"
+TRAIN_DOCS = TRAIN_WORDS = math.inf  # half of all trusted documents, whole
+UNIT = 10**10  # log10 probabilities are summed in these parts of one
 STEPS = 1000  # histogram cells a unit of log10 perplexity
 
 
@@ -126,24 +127,26 @@ def score(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     """``doc_id, k, lang, log10_perplexity`` of every distinct (id, text) with words whose language has a model."""
     x = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "lang", words(F.col("text")).alias("words")) \
         .where("size(words) > 0").alias("d")
-    x = x.join(F.broadcast(model["unknown"]).alias("m"), F.expr("d.lang <=> m.lang")).select("doc_id", "k", "d.lang", "lp0", "words")
-    x = trigrams(x, "doc_id", "k", "lang", "lp0")
-    x = x.select("doc_id", "k", "lang", "lp0", F.xxhash64("lang", "u", "v", "w").alias("uvw"),
-                 F.xxhash64("lang", "v", "w").alias("vw"), F.xxhash64("lang", "u", "v").alias("uv"),
-                 F.xxhash64("lang", "w").alias("w"), F.xxhash64("lang", "v").alias("v"))
+    x = x.join(model["unknown"].alias("m"), F.expr("d.lang <=> m.lang")).select("doc_id", "k", "d.lang", "lp0", "words")
+    x = trigrams(x, "doc_id", "k", "lang", "lp0").withColumn("uvw", F.xxhash64("lang", "u", "v", "w"))
+    grams = x.groupBy("uvw").agg(*[F.min(c).alias(n) for n, c in (
+        ("vw", F.xxhash64("lang", "v", "w")), ("uv", F.xxhash64("lang", "u", "v")), ("w", F.xxhash64("lang", "w")),
+        ("v", F.xxhash64("lang", "v")), ("lp0", F.col("lp0")))])
 
     def look(x: DataFrame, table: str, on: str, lp: str | None, lg: str | None) -> DataFrame:
         t = model[table].select(F.col("key").alias(f"key_{on}"), *[F.col(a).alias(b) for a, b in (("lp", lp), ("lg", lg)) if b])
-        return x.join(F.broadcast(t), F.col(on) == F.col(f"key_{on}"), "left").drop(on, f"key_{on}")
+        return x.join(t, F.col(on) == F.col(f"key_{on}"), "left").drop(f"key_{on}", *([on] if on != "uvw" else []))
 
-    x = look(x, "tri", "uvw", "p3", None)
-    x = look(x, "bi", "vw", "p2", None)
-    x = look(x, "bi", "uv", None, "g2")
-    x = look(x, "uni", "w", "p1", None)
-    x = look(x, "uni", "v", None, "g1")
+    grams = look(grams, "tri", "uvw", "p3", None)
+    grams = look(grams, "bi", "vw", "p2", None)
+    grams = look(grams, "bi", "uv", None, "g2")
+    grams = look(grams, "uni", "w", "p1", None)
+    grams = look(grams, "uni", "v", None, "g1")
     lp = F.expr("coalesce(p3, coalesce(g2, 0D) + coalesce(p2, coalesce(g1, 0D) + coalesce(p1, lp0)))")
-    x = x.groupBy("doc_id", "k", "lang").agg(F.sum(lp).alias("s"), F.count(F.lit(1)).alias("n"))
-    return x.select("doc_id", "k", "lang", (-F.col("s") / F.col("n")).alias("log10_perplexity"))
+    grams = grams.select(F.col("uvw").alias("gram"), F.round(lp * UNIT).cast("long").alias("lp"))
+    x = x.select("doc_id", "k", "lang", "uvw").join(grams, F.col("uvw") == F.col("gram"))
+    x = x.groupBy("doc_id", "k", "lang").agg(F.sum("lp").alias("s"), F.count(F.lit(1)).alias("n"))
+    return x.select("doc_id", "k", "lang", (-F.col("s") / F.col("n") / UNIT).alias("log10_perplexity"))
 
 
 def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -155,22 +158,22 @@ def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> DataFrame:
         .agg((F.min("cell") / STEPS).alias("threshold"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS,
+def classify(docs: DataFrame, labels: DataFrame, train_docs: float = TRAIN_DOCS, train_words: float = TRAIN_WORDS,
              quantile: float = QUANTILE) -> DataFrame:
     """``doc_id, k, lang, log10_perplexity, threshold, keep`` of every distinct (id, text); k is the row's key."""
     good = written(trusted_ids(labels), "trusted")
     meta = docs.select("doc_id", "lang").join(good, "doc_id")
     sizes = meta.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("lang", "l1")
     draw = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000))
-    chosen = meta.join(F.broadcast(sizes), F.expr("lang <=> l1")) \
+    chosen = meta.join(sizes, F.expr("lang <=> l1")) \
         .where(draw < F.least(F.lit(500_000.0), F.lit(1_000_000.0 * train_docs) / F.col("n"))).select("doc_id").distinct()
     chosen = written(chosen, "train-ids")
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id") \
-        .select("lang", words(F.col("text")).alias("words")).where(f"size(words) > 0 and size(words) <= {train_words}")
+    texts = docs.select("doc_id", "lang", "text").join(chosen, "doc_id") \
+        .select("lang", words(F.col("text")).alias("words")).where((F.size("words") > 0) & (F.size("words") <= F.lit(train_words)))
     scores = written(score(docs.select("doc_id", "text", "lang"), train(written(texts, "train-words"))), "perplexity")
-    judged = scores.join(good, "doc_id", "left_semi").join(F.broadcast(chosen), "doc_id", "left_anti")
+    judged = scores.join(good, "doc_id", "left_semi").join(chosen, "doc_id", "left_anti")
     limits = thresholds(judged, quantile).withColumnRenamed("lang", "l2")
-    x = scores.join(F.broadcast(limits), F.expr("lang <=> l2"), "left").drop("l2")
+    x = scores.join(limits, F.expr("lang <=> l2"), "left").drop("l2")
     return x.withColumn("keep", F.expr("coalesce(log10_perplexity <= threshold, true)"))
 
 

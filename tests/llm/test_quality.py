@@ -123,3 +123,26 @@ def test_query_keeps_rows_of_one_id_apart(spark, odd, tmp_path):
                      if r["doc_id"] == i and r["lang"] == "en" and r["perplexity"])
         assert [k for k, _ in own][:2] == [False, False] and all(k for k, _ in own[2:]) and len(set(own)) >= 3
         assert own[0] == own[1]
+
+
+def test_every_trusted_document_counts(spark):
+    """All trusted text, whole, trains the model or sets the threshold: many documents, some of them long."""
+    rnd = random.Random(4)
+    texts = {i: [rnd.choice(["ab", "cd", "ef", "gh", f"x{i}"]) for _ in range(rnd.randrange(3, 9))] for i in range(320)}
+    for i in range(5):
+        texts[i] = [rnd.choice(["ab", "cd", "long"]) for _ in range(21_000)]
+    other = {1000 + i: ["ab", "x3", f"x{i}", "cd", "long", "new"] for i in range(12)}
+    docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in (texts | other).items()], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in texts], "doc_id long, quality int, toxic int")
+    draw = {r[0]: r[1] for r in docs.select("doc_id", F.expr("pmod(xxhash64(doc_id, 'train'), 1000000)")).collect()}
+    read = {i for i in texts if draw[i] < 500_000}
+    assert len(read) > 130 and {0, 1, 2, 3, 4} & read
+    model = Plain([texts[i] for i in read])
+    want = {i: model.log10(t) for i, t in (texts | other).items()}
+    rows = Q.classify(docs, labels).collect()
+    assert len(rows) == len(want)
+    for r in rows:
+        assert abs(r["log10_perplexity"] - want[r["doc_id"]]) < 1e-9
+    own = sorted(want[i] for i in set(texts) - read)
+    at = own[math.ceil(len(own) * Q.QUANTILE) - 1]
+    assert all(at <= r["threshold"] <= at + 1 / Q.STEPS + 1e-9 for r in rows)

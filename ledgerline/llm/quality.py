@@ -12,12 +12,9 @@ the models, the other sets the thresholds, so that no threshold comes from text
 has read.  ``train_docs`` (documents a language) and ``train_words`` (words a document) bound the training
 for a caller who asks for it; by default nothing is bounded.
 
-Plan.  Count tables of all orders are hash-sharded by Spark and joined by key, with no broadcast hints: nothing
-has to fit one task or the driver.  Scoring looks each distinct n-gram of the corpus up once:
-the probability of its longest known suffix and the back-off weights of the
-shorter ones.  Its log probability is joined back to every occurrence and
-summed by document, as integers, so the order of rows does not matter.  Thresholds
-come from a histogram of log perplexities, not from sorted values.
+Plan.  Models and scores are those of :mod:`ledgerline.llm.kneser_ney`: n-grams lie in buckets, training and scoring go by
+parts, and what a part has shuffled or written goes before the next, so that disk stays near the input's size and nothing
+has to fit one task or the driver.  Thresholds come from a histogram of log perplexities, not from sorted values.
 
 Defined results: null text counts as empty; a text without words has a null
 perplexity and is kept; so is a document whose language has no trusted text
@@ -33,13 +30,13 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import packed, unpacked, written
+from ledgerline.llm.common import Scratch, packed, unpacked, written
+from ledgerline.llm.kneser_ney import score, train
 
 QUANTILE = 0.99  # beyond it, more clean documents are lost than bad ones found (README)
-START, END = "\x02", "\x03"
+START, END = "\x02", "\x03"  # how a plain statement of the model may write the marks; see ngrams
 SPACES = r"[\x20\x09-\x0D]+"
 TRAIN_DOCS = TRAIN_WORDS = math.inf  # half of all trusted documents, whole
-UNIT = 10**10  # log10 probabilities are summed in these parts of one
 STEPS = 1000  # histogram cells a unit of log10 perplexity
 
 
@@ -48,107 +45,12 @@ def words(text) -> F.Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES, -1), lambda w: w != "")
 
 
-def trigrams(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep..., u, v, w`` for every token of ``words`` (an array column) and the closing mark."""
-    padded = F.concat(F.array(F.lit(START), F.lit(START)), F.col("words"), F.array(F.lit(END)))
-    x = docs.select(*keep, padded.alias("p"))
-    n = F.size("p") - 2
-    x = x.select(*keep, F.arrays_zip(F.slice("p", F.lit(1), n).alias("u"), F.slice("p", F.lit(2), n).alias("v"),
-                                     F.slice("p", F.lit(3), n).alias("w")).alias("t"))
-    return x.select(*keep, F.inline_outer("t")).toDF(*keep, "u", "v", "w")
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.min(F.expr("case when quality = 1 and coalesce(toxic, 0) = 0 then 1 else 0 end")).alias("good")) \
         .where("good = 1").select("doc_id")
 
 
-def _discounts(counts: DataFrame) -> DataFrame:
-    """``lang, d1, d2, d3`` of a count table (column ``c``) from its counts of counts."""
-    n = counts.groupBy("lang").agg(*[F.sum(F.when(F.col("c") == i, 1.0).otherwise(0.0)).alias(f"n{i}") for i in range(1, 5)])
-    y = F.expr("n1 / (n1 + 2 * n2)")
-
-    def d(i: int) -> F.Column:
-        usual = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
-        return F.when(F.expr("n1 > 0 and n2 > 0 and n3 > 0 and n4 > 0"),
-                      F.least(F.greatest(usual, F.lit(0.1)), F.lit(i - 0.1))).otherwise(F.lit(i / 2)).alias(f"d{i}")
-
-    return n.select("lang", d(1), d(2), d(3))
-
-
-def _discounted(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Counts as ``kept`` shares of their context, and the context's left-over share ``gamma``."""
-    d = F.expr("case when c = 1 then d1 when c = 2 then d2 else d3 end")
-    per_lang = F.broadcast(_discounts(counts).withColumnRenamed("lang", "l2"))
-    x = counts.join(per_lang, F.expr("lang <=> l2")).drop("l2")
-    x = x.withColumn("d", d)
-    total = x.groupBy(*context).agg(F.sum("c").alias("total"), F.sum("d").alias("lost"))
-    total = total.select(*[F.col(c).alias(f"_{c}") for c in context], "total", (F.col("lost") / F.col("total")).alias("gamma"))
-    same = F.lit(True)
-    for c in context:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    kept = x.join(total, same).withColumn("kept", (F.col("c") - F.col("d")) / F.col("total"))
-    return kept, total
-
-
-def train(texts: DataFrame) -> dict[str, DataFrame]:
-    """Model tables of ``lang, words`` rows: log10 probabilities and back-off weights by n-gram key."""
-    tri = written(trigrams(texts, "lang").groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-tri")
-    bi = written(tri.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-bi")
-    uni = written(bi.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")), "kn-uni")
-    vocabulary = uni.groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("types")).withColumnRenamed("lang", "l3")
-    u_kept, u_total = _discounted(uni, ["lang"])
-    base = u_total.join(vocabulary, F.expr("_lang <=> l3")).select(
-        F.col("_lang").alias("l0"), (F.col("gamma") / F.col("types")).alias("p0"))
-    p1 = u_kept.join(F.broadcast(base), F.expr("lang <=> l0")).select("lang", "w", (F.col("kept") + F.col("p0")).alias("p"))
-    p1 = written(p1, "kn-p1")
-    b_kept, b_total = _discounted(bi, ["lang", "v"])
-    p2 = b_kept.alias("b").join(p1.alias("q"), F.expr("b.lang <=> q.lang and b.w = q.w")).select(
-        "b.lang", "b.v", "b.w", F.expr("kept + gamma * p").alias("p"))
-    p2 = written(p2, "kn-p2")
-    t_kept, t_total = _discounted(tri, ["lang", "u", "v"])
-    p3 = t_kept.alias("t").join(p2.alias("q"), F.expr("t.lang <=> q.lang and t.v = q.v and t.w = q.w")).select(
-        "t.lang", "t.u", "t.v", "t.w", F.expr("kept + gamma * p").alias("p"))
-    key2 = p2.select(F.xxhash64("lang", "v", "w").alias("key"), F.log10("p").alias("lp"), F.lit(None).cast("double").alias("lg"))
-    gamma2 = t_total.select(F.xxhash64("_lang", "_u", "_v").alias("key"), F.lit(None).cast("double").alias("lp"), F.log10("gamma").alias("lg"))
-    key1 = p1.select(F.xxhash64("lang", "w").alias("key"), F.log10("p").alias("lp"), F.lit(None).cast("double").alias("lg"))
-    gamma1 = b_total.select(F.xxhash64("_lang", "_v").alias("key"), F.lit(None).cast("double").alias("lp"), F.log10("gamma").alias("lg"))
-    merge = [F.max("lp").alias("lp"), F.max("lg").alias("lg")]
-    return {
-        "tri": written(p3.select(F.xxhash64("lang", "u", "v", "w").alias("key"), F.log10("p").alias("lp")), "kn-tri-p"),
-        "bi": written(key2.unionAll(gamma2).groupBy("key").agg(*merge), "kn-bi-p"),
-        "uni": written(key1.unionAll(gamma1).groupBy("key").agg(*merge), "kn-uni-p"),
-        "unknown": written(base.select(F.col("l0").alias("lang"), F.log10("p0").alias("lp0")), "kn-unknown"),
-    }
-
-
-def score(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
-    """``doc_id, k, lang, log10_perplexity`` of every distinct (id, text) with words whose language has a model."""
-    x = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "lang", words(F.col("text")).alias("words")) \
-        .where("size(words) > 0").alias("d")
-    x = x.join(model["unknown"].alias("m"), F.expr("d.lang <=> m.lang")).select("doc_id", "k", "d.lang", "lp0", "words")
-    x = trigrams(x, "doc_id", "k", "lang", "lp0").withColumn("uvw", F.xxhash64("lang", "u", "v", "w"))
-    grams = x.groupBy("uvw").agg(*[F.min(c).alias(n) for n, c in (
-        ("vw", F.xxhash64("lang", "v", "w")), ("uv", F.xxhash64("lang", "u", "v")), ("w", F.xxhash64("lang", "w")),
-        ("v", F.xxhash64("lang", "v")), ("lp0", F.col("lp0")))])
-
-    def look(x: DataFrame, table: str, on: str, lp: str | None, lg: str | None) -> DataFrame:
-        t = model[table].select(F.col("key").alias(f"key_{on}"), *[F.col(a).alias(b) for a, b in (("lp", lp), ("lg", lg)) if b])
-        return x.join(t, F.col(on) == F.col(f"key_{on}"), "left").drop(f"key_{on}", *([on] if on != "uvw" else []))
-
-    grams = look(grams, "tri", "uvw", "p3", None)
-    grams = look(grams, "bi", "vw", "p2", None)
-    grams = look(grams, "bi", "uv", None, "g2")
-    grams = look(grams, "uni", "w", "p1", None)
-    grams = look(grams, "uni", "v", None, "g1")
-    lp = F.expr("coalesce(p3, coalesce(g2, 0D) + coalesce(p2, coalesce(g1, 0D) + coalesce(p1, lp0)))")
-    grams = grams.select(F.col("uvw").alias("gram"), F.round(lp * UNIT).cast("long").alias("lp"))
-    x = x.select("doc_id", "k", "lang", "uvw").join(grams, F.col("uvw") == F.col("gram"))
-    x = x.groupBy("doc_id", "k", "lang").agg(F.sum("lp").alias("s"), F.count(F.lit(1)).alias("n"))
-    return x.select("doc_id", "k", "lang", (-F.col("s") / F.col("n") / UNIT).alias("log10_perplexity"))
-
-
 def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``lang, threshold``: upper edge of the histogram cell that holds the quantile of ``log10_perplexity``."""
     cells = scores.groupBy("lang", F.ceil(F.col("log10_perplexity") * STEPS).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
@@ -168,9 +70,14 @@ def classify(docs: DataFrame, labels: DataFrame, train_docs: float = TRAIN_DOCS,
     chosen = meta.join(sizes, F.expr("lang <=> l1")) \
         .where(draw < F.least(F.lit(500_000.0), F.lit(1_000_000.0 * train_docs) / F.col("n"))).select("doc_id").distinct()
     chosen = written(chosen, "train-ids")
-    texts = docs.select("doc_id", "lang", "text").join(chosen, "doc_id") \
-        .select("lang", words(F.col("text")).alias("words")).where((F.size("words") > 0) & (F.size("words") <= F.lit(train_words)))
-    scores = written(score(docs.select("doc_id", "text", "lang"), train(written(texts, "train-words"))), "perplexity")
+    spoken, scratch = words(F.col("text")), Scratch()
+    texts = docs.select("doc_id", "lang", "text").where(draw < 500_000).join(chosen, "doc_id").select("lang", "text") \
+        .where((F.size(spoken) > 0) & (F.size(spoken) <= F.lit(train_words)))
+    texts = scratch.written(texts, "train-texts")
+    model = train(texts.select("lang", spoken.alias("words")))
+    scratch.drop()
+    scores = written(score(docs.select("doc_id", "text", "lang"), model), "perplexity")
+    model.scratch.drop()
     judged = scores.join(good, "doc_id", "left_semi").join(chosen, "doc_id", "left_anti")
     limits = thresholds(judged, quantile).withColumnRenamed("lang", "l2")
     x = scores.join(limits, F.expr("lang <=> l2"), "left").drop("l2")

@@ -1,11 +1,16 @@
 """Kneser-Ney: probabilities against a plain statement, thresholds, and odd rows."""
 
 import math
+import os
 import random
+import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ledgerline.llm import common, kneser_ney, ngrams
 from ledgerline.llm import quality as Q
 
 
@@ -146,3 +151,47 @@ def test_every_trusted_document_counts(spark):
     own = sorted(want[i] for i in set(texts) - read)
     at = own[math.ceil(len(own) * Q.QUANTILE) - 1]
     assert all(at <= r["threshold"] <= at + 1 / Q.STEPS + 1e-9 for r in rows)
+
+
+def test_training_and_scoring_by_parts(spark, monkeypatch, tmp_path):
+    """Any number of parts, turns and buckets gives the same model; nothing it wrote or shuffled is left behind."""
+    for name, value in (("BUCKET", 300), ("PART_WORDS", 400), ("TURN_BYTES", 1000), ("COMMON", 7), ("GROUP_BYTES", 500), ("HELD", 30)):
+        monkeypatch.setattr(kneser_ney, name, value)
+    monkeypatch.setattr(ngrams, "CHUNK_BYTES", 2000)
+    rnd = random.Random(6)
+    say = lambda: [rnd.choice(["ab", "cd", "ef", "gh", "\x02", "\x03", f"x{rnd.randrange(60)}"]) for _ in range(rnd.randrange(1, 30))]
+    train = [(lang, say()) for lang in ("en", None, "de") for _ in range(70)]
+    model = Q.train(spark.createDataFrame(train, "lang string, words array<string>"))
+    assert model.buckets > 20 and len(model.grams) > 4
+    tests = [(i, " \t".join(say()) + " ", rnd.choice(["en", None, "de", "fr"])) for i in range(150)]
+    got = Q.score(spark.createDataFrame(tests, "doc_id long, text string, lang string"), model)
+    got = {r["doc_id"]: r["log10_perplexity"] for r in got.collect()}
+    plain = {lang: Plain([[f"word {w}" for w in t] for x, t in train if x == lang]) for lang in ("en", None, "de")}
+    assert set(got) == {i for i, _, lang in tests if lang != "fr"}
+    for i, t, lang in tests:
+        if lang != "fr":
+            assert abs(got[i] - plain[lang].log10([f"word {w}" for w in t.split()])) < 1e-9
+    model.scratch.drop()
+
+
+def test_what_is_written_for_the_models_goes(spark):
+    docs = spark.createDataFrame([(i, f"the cat {i} sat", "en") for i in range(60)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    folder = common.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert Q.decisions(docs, labels).where("perplexity is not null").count() == 60
+    left = {re.sub("llm-|-[0-9a-f]{12}$", "", x) for x in set(os.listdir(folder)) - before if not x.startswith(".")}
+    assert left == {"trusted", "train-ids", "perplexity"}
+
+
+def test_hashes_are_those_of_spark(spark):
+    rnd = random.Random(2)
+    words = [rnd.choice("aé€😀") * rnd.randrange(1, 200) + str(i) for i in range(300)]
+    x = ngrams.hashed(pa.array([w.encode() for w in words]))
+    assert len(set(x.tolist())) == 300
+    assert x[5:9].tolist() == ngrams.hashed(pa.array([w.encode() for w in words]).slice(5, 4)).tolist()
+    rows = spark.createDataFrame([(i, int(v), int(v) ^ i) for i, v in enumerate(x.view(np.int64))], "i long, a long, b long")
+    want = {r["i"]: (r["a"], r["b"], r["h"]) for r in rows.select("*", F.xxhash64("a", "b").alias("h")).collect()}
+    for a, b, h in want.values():
+        a, b = (np.array([v], np.int64).view(np.uint64) for v in (a, b))
+        assert ngrams.xxhash(b, ngrams.xxhash(a, ngrams.SEED)).view(np.int64)[0] == h
